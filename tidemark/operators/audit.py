@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.metrics import run_duration, validity_percentage
 from tidemark.functions.values import OPEN_END, ts_literal
+from tidemark.operators.keys import surrogate_key
 from tidemark.schemas import RUN_LOG
 
 # Run states and the stages a run passes through.
@@ -66,12 +67,10 @@ def run_log_open(
     )
     fresh = first.join(runs.select("run_key"), "run_key", "left_anti").select("run_key", "a.*")
     known = sources.select("source_name", "source_id")
-    start = runs.agg(F.coalesce(F.max("dag_run_id"), F.lit(0)).alias("_base"))
-    # One row per new run, so ordering them in one task is cheap.
-    ordinal = F.row_number().over(Window.orderBy("run_start_date", "run_key"))
-    opened = fresh.join(known, "source_name", "left").join(start)
-    rows = opened.select(
-        (F.col("_base") + ordinal).alias("dag_run_id"),
+    numbered = surrogate_key(fresh.join(known, "source_name", "left"), "_id")
+    last = max_or_zero(runs, "dag_run_id").scalar()
+    rows = numbered.select(
+        (last + F.col("_id")).alias("dag_run_id"),
         "run_key",
         "source_id",
         F.lit(status).alias("dag_run_status"),

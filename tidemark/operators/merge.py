@@ -48,11 +48,11 @@ def merge_classify(
     return joined.withColumn("merge_type", merge_type(record_id))
 
 
-def merge_counts(classified: DataFrame) -> DataFrame:
-    """One row: inserts, updates, duplicates."""
+def merge_counts(classified: DataFrame, *more: Column) -> DataFrame:
+    """One row: inserts, updates, duplicates, and any further aggregates asked for."""
     kinds = {"insert_count": "INSERT", "update_count": "UPDATE", "duplicate_count": "DUPLICATE"}
     return classified.agg(
-        *[F.count_if(F.col("merge_type") == k).alias(name) for name, k in kinds.items()]
+        *[F.count_if(F.col("merge_type") == k).alias(name) for name, k in kinds.items()], *more
     )
 
 

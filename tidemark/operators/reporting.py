@@ -208,6 +208,7 @@ def interaction_volume_over_time(view: DataFrame) -> DataFrame:
     return view.groupBy(day).agg(_rows().alias("interactions"))
 
 
-def latest_interactions(view: DataFrame, n: int = 25) -> DataFrame:
-    newest = [F.desc("interaction_date"), F.desc("source_system_identifier")]
-    return view.orderBy(*newest).limit(n)
+def latest_interactions(view: DataFrame, n: int = 25, ties: tuple[str, ...] = ()) -> DataFrame:
+    """The newest ``n`` rows; each task keeps its own best ``n``, so nothing is sorted whole."""
+    newest = ["interaction_date", "source_system_identifier", *ties]
+    return view.orderBy(*[F.desc(c) for c in newest]).limit(n)

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,31 +21,32 @@ from tidemark.functions.values import cast_numeric, scd_defaults, tag_run, ts_li
 from tidemark.operators import audit
 from tidemark.operators.conform import conform, type_landing
 from tidemark.operators.dedup import dedup_by_rank
-from tidemark.operators.filters import filter_merge_type
+from tidemark.operators.filters import CHANGED, filter_merge_type
 from tidemark.operators.keys import with_file_position_ids
-from tidemark.operators.merge import join_stage_to_fact, merge_classify
+from tidemark.operators.merge import join_stage_to_fact, merge_classify, merge_counts
 from tidemark.operators.quality import error_rows, validate_required
 from tidemark.plans.state import CLOSED, SLOT, Commit, FeedState
-from tidemark.schemas import RUN_LOG
+from tidemark.schemas import RUN_LOG, struct
 from tidemark.sources.sinks import sink_overwrite
+from tidemark.sources.topic import CORRUPT
 
 IDENTIFIER = "source_system_identifier"
 PERSISTED, FACT, ERRORS = "persisted", "fact", "errors"
 IDS = {PERSISTED: "prs_record_id", FACT: "fact_id", ERRORS: "data_error_id"}
 
 _VERSION = "is_active boolean, start_date timestamp_ntz, end_date timestamp_ntz"
-FACT_SCHEMA = T.StructType.fromDDL(
+FACT_SCHEMA = struct(
     "fact_id bigint, source_id int, source_record_id bigint, source_system_identifier string,"
     " agent_id int, interaction_date timestamp_ntz, support_area_id int,"
     " interaction_status string, interaction_type string, customer_type_id int,"
     " handle_time int, work_time int, first_contact_resolution boolean, query_status string,"
     f" solution_type string, customer_rating int, dag_run_id bigint, is_valid boolean, {_VERSION}"
 )
-ERROR_SCHEMA = T.StructType.fromDDL(
+ERROR_SCHEMA = struct(
     "data_error_id bigint, dag_run_id bigint, source_id int, error_type string,"
     f" error_description string, source_system_identifier string, source_record_id bigint, {_VERSION}"
 )
-TRAIL_SCHEMA = T.StructType.fromDDL(
+TRAIL_SCHEMA = struct(
     "run_key string, status string, op_ts timestamp_ntz, seq int"
 )
 
@@ -81,17 +82,15 @@ def land(batch: DataFrame, spec: FeedSpec) -> DataFrame:
     return kept.select(spec.position, *spec.hash_columns, "hash_key")
 
 
-def persisted_schema(landing: DataFrame, spec: FeedSpec) -> T.StructType:
+def persisted_schema(typed: DataFrame) -> T.StructType:
     """Schema of the versioned store: the typed landing row with its keys and interval."""
-    typed = type_landing(landing, spec).schema
     head = f"{IDS[PERSISTED]} bigint, source_id int, dag_run_id bigint, {IDENTIFIER} string"
-    tail = T.StructType.fromDDL(_VERSION).fields
-    return T.StructType(T.StructType.fromDDL(head).fields + typed.fields + tail)
+    return T.StructType(struct(head).fields + typed.schema.fields + struct(_VERSION).fields)
 
 
-def _slots(df: DataFrame, buckets: int) -> set[int]:
-    """Buckets that occur: at most as many values as there are buckets."""
-    return {r[0] for r in df.select(bucket_of(IDENTIFIER, buckets)).distinct().collect()}
+def _slots(when: Column, buckets: int) -> Column:
+    """Buckets of the rows ``when`` picks: at most as many values as there are buckets."""
+    return F.collect_set(F.when(when, bucket_of(IDENTIFIER, buckets)))
 
 
 def _rewrite(
@@ -99,7 +98,7 @@ def _rewrite(
 ) -> DataFrame:
     """New content of the touched buckets, and the versions closed on the way.
 
-    ``keys`` has one row per identifier to close. The left side is never replicated,
+    ``keys`` has each identifier to close once. The left side is never replicated,
     and when the batch is small Spark broadcasts it and the store is not shuffled for
     the join.
     """
@@ -132,43 +131,48 @@ class _Run:
             buckets=dict(before.buckets),
         )
         self.counts: dict[str, int] = {}
-
-    def _path(self, name: str) -> str:
-        return self.state.batch_path(self.seq, name)
+        self.schemas: dict[str, T.StructType] = {}
 
     def _stored(self, name: str) -> DataFrame:
-        return self.state.spark.read.parquet(self._path(name))
+        path = self.state.batch_path(self.seq, name)
+        return self.state.spark.read.schema(self.schemas[name]).parquet(path)
 
-    def _write(self, name: str, df: DataFrame) -> None:
-        sink_overwrite(df, self._path(name))
+    def _write(self, name: str, df: DataFrame) -> DataFrame:
+        """Store one output of the batch and hand back the stored rows."""
+        sink_overwrite(df, self.state.batch_path(self.seq, name))
+        self.schemas[name] = df.schema
+        return self._stored(name)
 
     def source_to_landing(self, batch: DataFrame) -> None:
-        seen = Observation()
+        spec, seen = self.spec, Observation()
         # A maximum stays right when Spark repeats a task, which a sum would not.
-        watched = batch.observe(seen, F.max(self.spec.position).alias("top"))
-        self._write("landing", land(watched, self.spec))
-        self.counts["batch_count"] = self._stored("landing").count()
+        watched = batch.observe(seen, F.max(spec.position).alias("top"))
+        if CORRUPT in batch.columns:
+            unreadable = F.col(CORRUPT).isNotNull()
+            self._write("rejected", batch.where(unreadable).select(spec.position, CORRUPT))
+            watched = watched.where(~unreadable)
+        self._write("landing", land(watched, spec))
         top = seen.get["top"]
         known = [c for c in (top, self.before.source_checkpoint) if c is not None]
         self.after.source_checkpoint = max(known) if known else None
 
     def landing_to_persisted(self) -> None:
         state, spec, buckets = self.state, self.spec, self.state.bucket_count
-        landing = self._stored("landing")
-        schema = persisted_schema(landing, spec)
-        typed = type_landing(landing, spec).withColumn(
+        typed = type_landing(self._stored("landing"), spec).withColumn(
             IDENTIFIER, source_identifier(spec.source, spec.natural_key)
         )
-        touched = _slots(typed, buckets) if self.before.buckets else set()
-        active = state.active(self.before, PERSISTED, schema, touched)
+        landed = typed.agg(F.count(F.lit(1)).alias("n"), _slots(F.lit(True), buckets).alias("s"))
+        landed = landed.first()
+        schema = persisted_schema(typed.drop(IDENTIFIER))
+        active = state.active(self.before, PERSISTED, schema, set(landed["s"]))
         classified = merge_classify(typed, active, spec.natural_key)
-        self._write("classified", classified.withColumnRenamed(IDS[PERSISTED], "matched_id"))
+        snapshot = self._write("classified", classified.withColumnRenamed(IDS[PERSISTED], "matched"))
 
-        snapshot = self._stored("classified")
-        found = {r["merge_type"]: r["n"] for r in snapshot.groupBy("merge_type").agg(
-            F.count(F.lit(1)).alias("n")).collect()}
-        for kind in ("INSERT", "UPDATE", "DUPLICATE"):
-            self.counts[f"{kind.lower()}_count"] = found.get(kind, 0)
+        changed = F.col("merge_type").isin(*CHANGED)
+        found = merge_counts(snapshot, _slots(changed, buckets).alias("s")).first()
+        self.counts["batch_count"] = landed["n"]
+        for kind in ("insert_count", "update_count", "duplicate_count"):
+            self.counts[kind] = found[kind]
 
         last = self.before.next_ids.get(PERSISTED, 0)
         numbered = with_file_position_ids(snapshot, IDS[PERSISTED], last)
@@ -177,15 +181,10 @@ class _Run:
             self.source_id,
             self.dag_run_id,
         )
-        fresh = scd_defaults(fresh, self.as_of).select(schema.names)
-        changed = _slots(filter_merge_type(snapshot), buckets)
-        closing = filter_merge_type(snapshot, "UPDATE").select(IDENTIFIER)
-        kept = state.active(self.before, PERSISTED, schema, changed)
-        state.replace_buckets(
-            self.seq, PERSISTED, _rewrite(kept, closing, fresh, self.as_of, buckets)
-        )
-        self._advance(PERSISTED, changed, sum(found.values()))
-        self.fresh = fresh
+        self.fresh = scd_defaults(fresh, self.as_of).select(schema.names)
+        closing = filter_merge_type(snapshot, "UPDATE")
+        kept = state.active(self.before, PERSISTED, schema, set(found["s"]))
+        self._replace(PERSISTED, kept, closing, self.fresh, set(found["s"]), landed["n"])
 
     def persisted_to_cdc(self) -> None:
         """The rows this run made active. They are already at hand, so the store is not read."""
@@ -194,44 +193,47 @@ class _Run:
         self._write("cdc", cdc)
 
     def cdc_to_stage(self) -> None:
-        stage = validate_required(conform(self._stored("cdc"), self.spec, self.dims))
-        buckets = self.state.bucket_count
-        touched = _slots(self._stored("cdc"), buckets)
-        fact = self.state.active(self.before, FACT, FACT_SCHEMA, touched)
-        self._write("stage", join_stage_to_fact(stage, fact))
-        self.touched = touched
-
-        stored = self._stored("stage")
-        self.counts["valid_count"] = stored.where("is_valid").count()
-        failing = error_rows(stored)
-        last = self.before.next_ids.get(ERRORS, 0)
-        numbered = with_file_position_ids(stored, IDS[ERRORS], last)
-        fresh = scd_defaults(error_rows(numbered, IDS[ERRORS]), self.as_of)
-        fresh = fresh.select(ERROR_SCHEMA.names)
-        slots = _slots(failing, buckets)
-        if slots:
-            old = self.state.active(self.before, ERRORS, ERROR_SCHEMA, slots)
-            self.state.replace_buckets(
-                self.seq,
-                ERRORS,
-                _rewrite(old, failing.select(IDENTIFIER), fresh, self.as_of, buckets),
-            )
-            self._advance(ERRORS, slots, stored.count())
+        state, buckets = self.state, self.state.bucket_count
+        cdc = self._stored("cdc")
+        self.touched = set(cdc.agg(_slots(F.lit(True), buckets)).first()[0])
+        fact = state.active(self.before, FACT, FACT_SCHEMA, self.touched)
+        stage = validate_required(conform(cdc, self.spec, self.dims))
+        stored = self._write("stage", join_stage_to_fact(stage, fact))
+
+        found = stored.agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count_if("is_valid").alias("valid"),
+            _slots(~F.col("is_valid"), buckets).alias("s"),
+        ).first()
+        self.counts["valid_count"] = found["valid"]
+        if found["s"]:
+            last = self.before.next_ids.get(ERRORS, 0)
+            numbered = with_file_position_ids(stored, IDS[ERRORS], last)
+            fresh = scd_defaults(error_rows(numbered, IDS[ERRORS]), self.as_of)
+            old = state.active(self.before, ERRORS, ERROR_SCHEMA, set(found["s"]))
+            self._replace(ERRORS, old, error_rows(stored), fresh, set(found["s"]), found["n"])
 
     def stage_to_fact(self) -> None:
         stored = self._stored("stage")
         last = self.before.next_ids.get(FACT, 0)
-        fresh = with_file_position_ids(stored, IDS[FACT], last)
-        fresh = scd_defaults(fresh, self.as_of).select(FACT_SCHEMA.names)
-        closing = filter_merge_type(stored, "UPDATE").select(IDENTIFIER)
+        fresh = scd_defaults(with_file_position_ids(stored, IDS[FACT], last), self.as_of)
+        closing = filter_merge_type(stored, "UPDATE")
         kept = self.state.active(self.before, FACT, FACT_SCHEMA, self.touched)
-        self.state.replace_buckets(
-            self.seq,
-            FACT,
-            _rewrite(kept, closing, fresh, self.as_of, self.state.bucket_count),
-        )
         rows = self.counts["insert_count"] + self.counts["update_count"]
-        self._advance(FACT, self.touched, rows)
+        self._replace(FACT, kept, closing, fresh, self.touched, rows)
+
+    def _replace(
+        self,
+        table: str,
+        kept: DataFrame,
+        closing: DataFrame,
+        fresh: DataFrame,
+        slots: set[int],
+        ids: int,
+    ) -> None:
+        rows = _rewrite(kept, closing, fresh, self.as_of, self.state.bucket_count)
+        self.state.replace_buckets(self.seq, table, rows)
+        self._advance(table, slots, ids)
 
     def _advance(self, table: str, slots: set[int], ids: int) -> None:
         for slot in slots:
@@ -322,7 +324,7 @@ def error_versions(state: FeedState) -> DataFrame:
 def persisted_versions(state: FeedState, spec: FeedSpec) -> DataFrame:
     commit = state.latest()
     landing = state.spark.read.parquet(state.batch_path(commit.seq, "landing"))
-    return state.table(commit, PERSISTED, persisted_schema(landing, spec))
+    return state.table(commit, PERSISTED, persisted_schema(type_landing(landing, spec)))
 
 
 def run_log(state: FeedState) -> DataFrame:

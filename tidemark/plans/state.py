@@ -18,7 +18,6 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +28,13 @@ CLOSED = -1
 SLOT = "slot"
 
 
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Files and folders a glob matches, in name order; asks the file system of the path."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(status.getPath().toString() for status in found or [])
+
+
 @dataclass
 class Commit:
     """The state after one batch: which folder holds each bucket, and the counters."""
@@ -53,19 +59,10 @@ class FeedState:
 
     def latest(self) -> Commit:
         """The last published commit. Only the newest commit file is opened."""
-        try:
-            listing = (
-                self.spark.read.format("binaryFile")
-                .option("recursiveFileLookup", True)
-                .option("pathGlobFilter", "*.json")
-                .load(f"{self.folder}/commits")
-            )
-        except AnalysisException:
+        published = matching_paths(self.spark, f"{self.folder}/commits/*/*.json")
+        if not published:
             return Commit()
-        newest = listing.agg(F.max("path")).first()[0]
-        if newest is None:
-            return Commit()
-        row = self.spark.read.schema(COMMIT).json(newest).first()
+        row = self.spark.read.schema(COMMIT).json(published[-1]).first()
         return Commit(
             row.seq,
             row.run_key,
@@ -105,14 +102,11 @@ class FeedState:
 
     def closed(self, commit: Commit, table: str, schema: T.StructType) -> DataFrame:
         """Closed versions of every published batch."""
-        if not any(name == table for name, _ in commit.buckets):
-            return self.spark.createDataFrame([], schema)
         number = F.regexp_extract(F.col("_metadata.file_path"), rf"/versions/{table}/(\d+)/", 1)
         pattern = f"{self._versions(table, '*')}/{SLOT}={CLOSED}"
-        try:
-            rows = self.spark.read.schema(schema).parquet(pattern)
-        except AnalysisException:  # nothing has been closed yet
+        if not matching_paths(self.spark, pattern):
             return self.spark.createDataFrame([], schema)
+        rows = self.spark.read.schema(schema).parquet(pattern)
         return rows.where(number.cast("bigint") <= commit.seq).select(schema.names)
 
     def table(self, commit: Commit, table: str, schema: T.StructType) -> DataFrame:
@@ -132,6 +126,25 @@ class FeedState:
             .parquet(self._versions(table, seq))
         )
 
+    def sweep(self, commit: Commit) -> int:
+        """Delete bucket folders that ``commit`` no longer points to; returns how many.
+
+        Only folders older than the commit go: closed versions stay, and so does
+        anything a running batch may be writing. Readers of older commits must be done.
+        """
+        live = {(t, seq, b) for (t, b), seq in commit.buckets.items()}
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
+        removed = 0
+        for found in matching_paths(self.spark, f"{self.folder}/versions/*/*/{SLOT}=*"):
+            table, number, slot = found.split("/")[-3:]
+            bucket = int(slot.split("=")[1])
+            old = int(number) < commit.seq and bucket != CLOSED
+            if old and (table, int(number), bucket) not in live:
+                path = hadoop(found)
+                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+                removed += 1
+        return removed
+
     def batches(self, commit: Commit, name: str, schema: T.StructType) -> DataFrame:
         """A per-batch output (landing, CDC, stage, run log) of every published batch."""
         if commit.seq == 0:

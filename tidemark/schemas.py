@@ -5,27 +5,41 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+    "percentage": T.DecimalType(5, 2),
+    "duration": T.DayTimeIntervalType(),
+}
+
+
+def struct(spec: str) -> T.StructType:
+    """``"name type, name type"`` as a schema; needs no running session."""
+    fields = [field.split() for field in spec.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
 
 
 # Raw feeds, field names as the producers write them.
-ALPHA_DOCUMENT = _struct(
+ALPHA_DOCUMENT = struct(
     """_id string, serial_number bigint, record_id bigint, INTERACTION_ID bigint,
     SUPPORT_CATEGORY string, AGENT_PSEUDO_NAME string, CONTACT_DATE string,
     INTERACTION_STATUS string, INTERACTION_TYPE string, TYPE_OF_CUSTOMER string,
     INTERACTION_DURATION int, TOTAL_TIME int, STATUS_OF_CUSTOMER_INCIDENT string,
     RESOLVED_IN_FIRST_CONTACT string, SOLUTION_TYPE string, RATING int"""
 )
-BETA_RECORD = _struct(
+BETA_RECORD = struct(
     """SUPPORT_IDENTIFIER string, CONTACT_REGARDING string, AGENT_CODE string,
     DATE_OF_INTERACTION string, STATUS_OF_INTERACTION string, TYPE_OF_INTERACTION string,
     CUSTOMER_TYPE string, CONTACT_DURATION string, AFTER_CONTACT_WORK_TIME string,
     INCIDENT_STATUS string, FIRST_CONTACT_SOLVE string, TYPE_OF_RESOLUTION string,
     SUPPORT_RATING string, TIME_STAMP string"""
 )
-TOPIC_MESSAGE = _struct("offset bigint, value string")
-GAMMA_OBJECT = _struct(
+TOPIC_MESSAGE = struct("offset bigint, value string")
+GAMMA_OBJECT = struct(
     """TICKET_IDENTIFIER string, SUPPORT_CATEGORY string, AGENT_NAME string,
     DATE_OF_CALL string, CALL_STATUS string, CALL_TYPE string, TYPE_OF_CUSTOMER string,
     DURATION string, WORK_TIME string, TICKET_STATUS string,
@@ -54,20 +68,22 @@ FACT_COLUMNS = [
 REQUIRED_COLUMNS = [c for c in FACT_COLUMNS if not c.startswith("source_") and c != "dag_run_id"]
 VERSION_COLUMNS = ["is_active", "start_date", "end_date"]
 
-RUN_LOG = _struct(
+RUN_LOG = struct(
     """dag_run_id bigint, run_key string, source_id int, dag_run_status string,
     run_start_date timestamp_ntz, run_end_date timestamp_ntz, batch_count bigint,
     insert_count bigint, update_count bigint, duplicate_count bigint, valid_count bigint,
-    validity_percentage decimal(5,2), run_duration interval day to second,
+    validity_percentage percentage, run_duration duration,
     source_checkpoint bigint"""
 )
-RUN_HISTORY = _struct(
+RUN_HISTORY = struct(
     """run_id bigint, script_name string, input_value int, records_generated bigint,
     start_time timestamp_ntz, end_time timestamp_ntz, duration double, status string,
     error_message string, log_file string"""
 )
-COMMIT = _struct(
-    """seq bigint, run_key string, source_checkpoint bigint,
-    next_ids map<string,bigint>,
-    buckets array<struct<table: string, bucket: int, seq: bigint>>"""
+COMMIT = T.StructType(
+    [
+        *struct("seq bigint, run_key string, source_checkpoint bigint").fields,
+        T.StructField("next_ids", T.MapType(T.StringType(), T.LongType())),
+        T.StructField("buckets", T.ArrayType(struct("table string, bucket int, seq bigint"))),
+    ]
 )

@@ -6,6 +6,7 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.filters import filter_beyond_checkpoint
 from tidemark.schemas import BETA_RECORD, TOPIC_MESSAGE
@@ -52,7 +53,7 @@ def parse_xml_records(messages: DataFrame) -> DataFrame:
     Text that is not XML gives all-NULL fields and keeps the text in
     ``_corrupt_record``, for the caller to set aside.
     """
-    schema = BETA_RECORD.add(CORRUPT, "string") if CORRUPT not in BETA_RECORD.names else BETA_RECORD
+    schema = T.StructType([*BETA_RECORD.fields, T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "nullValue": "", "columnNameOfCorruptRecord": CORRUPT}
     record = F.from_xml("value", schema.simpleString(), options)
     parsed = messages.select(F.col("offset").alias("topic_offset"), record.alias("r"))
