@@ -92,10 +92,10 @@ def star_join(spark: SparkSession, sf: str) -> DataFrame:
     orders, customer, nation, region = (
         c.table(spark, sf, t) for t in ("orders", "customer", "nation", "region")
     )
-    joined = (
-        orders.join(customer, orders.o_custkey == customer.c_custkey)
-        .join(nation, customer.c_nationkey == nation.n_nationkey, "left")
-        .join(region, nation.n_regionkey == region.r_regionkey, "left")
+    joined = reporting.star_join(
+        orders,
+        [(customer, "o_custkey", "c_custkey")],
+        [(nation, "c_nationkey", "n_nationkey"), (region, "n_regionkey", "r_regionkey")],
     )
     return joined.select("o_orderkey", "o_totalprice", "c_name", "n_name", "r_name")
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.metrics import run_duration, validity_percentage
 from tidemark.functions.values import OPEN_END, ts_literal
 from tidemark.operators.keys import surrogate_key
+from tidemark.operators.quality import without_match
 from tidemark.schemas import RUN_LOG
 
 # Run states and the stages a run passes through.
@@ -65,7 +66,7 @@ def run_log_open(
     first = arrivals.groupBy("run_key").agg(
         F.min(F.struct("run_start_date", "source_name")).alias("a")
     )
-    fresh = first.join(runs.select("run_key"), "run_key", "left_anti").select("run_key", "a.*")
+    fresh = without_match(first, runs, "run_key").select("run_key", "a.*")
     known = sources.select("source_name", "source_id")
     numbered = surrogate_key(fresh.join(known, "source_name", "left"), "_id")
     last = max_or_zero(runs, "dag_run_id").scalar()

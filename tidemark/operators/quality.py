@@ -67,12 +67,19 @@ def check_foreign_key(child: DataFrame, column: str, parent: DataFrame, parent_k
     """References without a parent row, with the number of rows that hold each.
 
     The child is first reduced to its distinct references, so a hot reference costs
-    one row in the join. A NULL reference breaks nothing.
+    one row in the join. A NULL reference breaks nothing. The join is an outer one with
+    a null test because Spark would move an anti join below the aggregation.
     """
     held = child.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("reference"))
     counted = held.agg(F.count(F.lit(1)).alias("violations"))
-    keys = parent.select(F.col(parent_key).alias("reference"))
-    return counted.join(keys, "reference", "left_anti")
+    return without_match(counted, parent.select(F.col(parent_key).alias("reference")), "reference")
+
+
+def without_match(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Rows of ``left`` whose key ``right`` does not hold, with ``left`` computed first."""
+    held = right.select(F.col(key).alias("_held"))
+    joined = left.join(held, F.col(key) == F.col("_held"), "left")
+    return joined.where(F.col("_held").isNull()).drop("_held")
 
 
 def check_interval_order(df: DataFrame, start: str, end: str) -> DataFrame:

@@ -55,20 +55,33 @@ def data_metrics_view(runs: DataFrame, sources: DataFrame) -> DataFrame:
     )
 
 
-def star_join(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """Fact with its source (required) and its three lookups (optional)."""
-    names = dims["sources"].select("source_id", "source_name")
-    joined = fact.join(names, "source_id")
-    for id_column, (table, name_column) in LOOKUPS.items():
-        joined = joined.join(dims[table].select(id_column, name_column), id_column, "left")
-    return joined
+def star_join(
+    fact: DataFrame,
+    required: list[tuple[DataFrame, str, str]],
+    optional: list[tuple[DataFrame, str, str]],
+) -> DataFrame:
+    """Fact with its dimensions, given as ``(dimension, fact key, dimension key)``.
+
+    Small dimensions are broadcast because Spark sees their size; a large one is
+    shuffled, and adaptive execution splits a hot key on the fact's side.
+    """
+    for how, dimensions in (("inner", required), ("left", optional)):
+        for dimension, fact_key, key in dimensions:
+            named = dimension.withColumnRenamed(key, "_key")
+            fact = fact.join(named, F.col(fact_key) == F.col("_key"), how).drop("_key")
+    return fact
 
 
 def customer_support_fact_view(
     fact: DataFrame, dims: dict[str, DataFrame], as_of: datetime
 ) -> DataFrame:
     """Current valid facts with names in place of keys."""
-    return star_join(valid_as_of(fact, as_of), dims).select(
+    sources = dims["sources"].select("source_id", "source_name")
+    names = [
+        (dims[table].select(key, name), key, key) for key, (table, name) in LOOKUPS.items()
+    ]
+    current = valid_as_of(fact, as_of)
+    return star_join(current, [(sources, "source_id", "source_id")], names).select(
         "source_name",
         "source_record_id",
         "source_system_identifier",

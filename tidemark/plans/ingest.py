@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from tidemark.feeds import FeedSpec
 from tidemark.functions.keys import bucket_of, row_hash, source_identifier
+from tidemark.functions.metrics import run_duration
 from tidemark.functions.values import cast_numeric, scd_defaults, tag_run, ts_literal
 from tidemark.operators import audit
 from tidemark.operators.conform import conform, type_landing
@@ -46,9 +47,6 @@ ERROR_SCHEMA = struct(
     "data_error_id bigint, dag_run_id bigint, source_id int, error_type string,"
     f" error_description string, source_system_identifier string, source_record_id bigint, {_VERSION}"
 )
-TRAIL_SCHEMA = struct(
-    "run_key string, status string, op_ts timestamp_ntz, seq int"
-)
 
 
 @dataclass(frozen=True)
@@ -145,13 +143,17 @@ class _Run:
 
     def source_to_landing(self, batch: DataFrame) -> None:
         spec, seen = self.spec, Observation()
-        # A maximum stays right when Spark repeats a task, which a sum would not.
-        watched = batch.observe(seen, F.max(spec.position).alias("top"))
-        if CORRUPT in batch.columns:
-            unreadable = F.col(CORRUPT).isNotNull()
+        # A maximum, or whether a count is zero, stays right when Spark repeats a task.
+        checked = CORRUPT in batch.columns
+        unreadable = F.col(CORRUPT).isNotNull() if checked else F.lit(False)
+        watched = batch.observe(
+            seen,
+            F.max(spec.position).alias("top"),
+            F.count_if(unreadable).alias("unreadable"),
+        )
+        self._write("landing", land(watched.where(~unreadable), spec))
+        if seen.get["unreadable"]:  # messages are parsed again only when one is broken
             self._write("rejected", batch.where(unreadable).select(spec.position, CORRUPT))
-            watched = watched.where(~unreadable)
-        self._write("landing", land(watched, spec))
         top = seen.get["top"]
         known = [c for c in (top, self.before.source_checkpoint) if c is not None]
         self.after.source_checkpoint = max(known) if known else None
@@ -248,13 +250,13 @@ class _Run:
         )
         counts = spark.createDataFrame(
             [(self.dag_run_id, *self.counts.values(), self.after.source_checkpoint)],
-            "dag_run_id bigint, "
-            + ", ".join(f"{c} bigint" for c in [*self.counts, "source_checkpoint"]),
+            struct(
+                "dag_run_id bigint, "
+                + ", ".join(f"{c} bigint" for c in [*self.counts, "source_checkpoint"])
+            ),
         )
-        self._write("run_log", audit.run_log_close(opened, counts, finished).coalesce(1))
-        self._write("trail", spark.createDataFrame(trail, TRAIL_SCHEMA).coalesce(1))
-        self.state.publish(self.after)
-
+        run = audit.run_log_close(opened, counts, finished).drop("run_duration")
+        self.state.publish(self.after, run, trail)
 
 
 def _wall_clock() -> datetime:
@@ -302,7 +304,7 @@ def ingest_batch(
         steps.append((audit.run_status_trail(done + 1)[done + 1], clock()))
     finished = clock()
     steps.append((audit.SUCCESS, finished))
-    trail = [(run_key, status, at, i) for i, (status, at) in enumerate(steps)]
+    trail = [(status, at, i) for i, (status, at) in enumerate(steps)]
     stages.finalise(started, finished, trail)
     return BatchResult(stages.seq, **stages.counts, checkpoint=stages.after.source_checkpoint)
 
@@ -328,8 +330,10 @@ def persisted_versions(state: FeedState, spec: FeedSpec) -> DataFrame:
 
 
 def run_log(state: FeedState) -> DataFrame:
-    return state.batches(state.latest(), "run_log", RUN_LOG)
+    runs = state.commits().withColumn("run_duration", run_duration())
+    return runs.select(RUN_LOG.names)
 
 
 def status_trail(state: FeedState) -> DataFrame:
-    return state.batches(state.latest(), "trail", TRAIL_SCHEMA)
+    """Every status of every published run, in order of ``seq``."""
+    return state.commits().select("run_key", F.inline("trail"))

@@ -37,7 +37,10 @@ def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
 
 @dataclass
 class Commit:
-    """The state after one batch: which folder holds each bucket, and the counters."""
+    """The state after one batch: which folder holds each bucket, and the counters.
+
+    ``seq`` numbers the published batches of a feed; it is also their ``dag_run_id``.
+    """
 
     seq: int = 0
     run_key: str | None = None
@@ -49,7 +52,7 @@ class Commit:
 class FeedState:
     """Reads and publishes the tables of one feed below ``root``."""
 
-    def __init__(self, spark: SparkSession, root: str, source: str, buckets: int = 16):
+    def __init__(self, spark: SparkSession, root: str, source: str, buckets: int = 8):
         self.spark = spark
         self.folder = f"{root.rstrip('/')}/{source}"
         self.source = source
@@ -64,20 +67,30 @@ class FeedState:
             return Commit()
         row = self.spark.read.schema(COMMIT).json(published[-1]).first()
         return Commit(
-            row.seq,
+            row.dag_run_id,
             row.run_key,
             row.source_checkpoint,
             dict(row.next_ids),
             {(b.table, b.bucket): b.seq for b in row.buckets},
         )
 
-    def publish(self, commit: Commit) -> None:
+    def publish(self, commit: Commit, run: DataFrame, trail: list[tuple]) -> None:
         """Write the commit row: one file, so it is there whole or not at all."""
         entries = [(t, b, s) for (t, b), s in sorted(commit.buckets.items())]
-        row = (commit.seq, commit.run_key, commit.source_checkpoint, commit.next_ids, entries)
-        frame = self.spark.createDataFrame([row], COMMIT).coalesce(1)
+        kept = T.StructType([f for f in COMMIT.fields if f.name in ("trail", "next_ids", "buckets")])
+        state = self.spark.createDataFrame(
+            [(commit.seq, trail, commit.next_ids, entries)],
+            T.StructType([COMMIT["dag_run_id"], *kept.fields]),
+        )
+        frame = run.join(state, "dag_run_id").select(COMMIT.names).coalesce(1)
         frame.write.mode("overwrite").json(f"{self.folder}/commits/{commit.seq:012d}")
 
+    def commits(self) -> DataFrame:
+        """Every published commit row."""
+        if not matching_paths(self.spark, f"{self.folder}/commits/*/*.json"):
+            return self.spark.createDataFrame([], COMMIT)
+        return self.spark.read.schema(COMMIT).json(f"{self.folder}/commits/*")
+
     # -- tables ----------------------------------------------------------------
 
     def batch_path(self, seq: int, name: str) -> str:
@@ -146,7 +159,7 @@ class FeedState:
         return removed
 
     def batches(self, commit: Commit, name: str, schema: T.StructType) -> DataFrame:
-        """A per-batch output (landing, CDC, stage, run log) of every published batch."""
+        """A per-batch output (landing, CDC, stage) of every published batch."""
         if commit.seq == 0:
             return self.spark.createDataFrame([], schema)
         pattern = f"{self.folder}/batches/*/{name}"

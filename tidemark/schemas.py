@@ -80,9 +80,13 @@ RUN_HISTORY = struct(
     start_time timestamp_ntz, end_time timestamp_ntz, duration double, status string,
     error_message string, log_file string"""
 )
+TRAIL = struct("status string, op_ts timestamp_ntz, seq int")
+# One published batch: its run-log row (the duration follows from its ends), the
+# statuses it went through, and the state it left.
 COMMIT = T.StructType(
     [
-        *struct("seq bigint, run_key string, source_checkpoint bigint").fields,
+        *[f for f in RUN_LOG.fields if f.name != "run_duration"],
+        T.StructField("trail", T.ArrayType(TRAIL)),
         T.StructField("next_ids", T.MapType(T.StringType(), T.LongType())),
         T.StructField("buckets", T.ArrayType(struct("table string, bucket int, seq bigint"))),
     ]
