@@ -12,7 +12,7 @@ from tidemark.session import get_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    return get_session("tidemark-tests", cores=8)
+    return get_session("tidemark-tests", cores=8, **{"spark.sql.shuffle.partitions": "4"})
 
 
 @pytest.fixture(scope="session")

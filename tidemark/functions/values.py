@@ -30,7 +30,7 @@ def empty_to_null(df: DataFrame) -> DataFrame:
     """Empty text becomes NULL in every string column."""
     text = {name for name, kind in df.dtypes if kind == "string"}
     return df.select(
-        *[F.nullif(F.col(c), F.lit("")).alias(c) if c in text else F.col(c) for c in df.columns]
+        *[F.when(F.col(c) != "", F.col(c)).alias(c) if c in text else F.col(c) for c in df.columns]
     )
 
 

@@ -43,7 +43,7 @@ def history_from_changes(
     op: str = "op",
     op_ts: str = "op_ts",
     seq: str = "seq",
-    chunk_seconds: int = 3600,
+    chunk_seconds: int = 60,
 ) -> DataFrame:
     """Every change as a version ``[start_date, end_date]`` with its operation.
 

@@ -16,8 +16,7 @@ OBJECT_NAME = r"(?:^|/)(?:object=)?\s*(\d{1,10})_client_gamma_support_data_\d{8}
 
 def object_sequence(path: Column) -> Column:
     """Sequence number in an object's path; NULL when the name is not one of ours."""
-    number = F.regexp_extract(F.url_decode(path), OBJECT_NAME, 1)
-    return F.nullif(number, F.lit("")).cast("bigint")
+    return F.regexp_extract(F.url_decode(path), OBJECT_NAME, 1).try_cast("bigint")
 
 
 def list_objects(spark: SparkSession, folder: str) -> DataFrame:

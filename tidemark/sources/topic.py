@@ -57,13 +57,10 @@ def parse_xml_records(messages: DataFrame) -> DataFrame:
     options = {"mode": "PERMISSIVE", "nullValue": "", "columnNameOfCorruptRecord": CORRUPT}
     record = F.from_xml("value", schema.simpleString(), options)
     parsed = messages.select(F.col("offset").alias("topic_offset"), record.alias("r"))
-    fields = [F.nullif(F.trim(f"r.{n}"), F.lit("")).isNull() for n in BETA_RECORD.names]
+    fields = [(F.col(f"r.{n}"), n.lower()) for n in BETA_RECORD.names]
     return parsed.select(
         "topic_offset",
-        *[
-            F.when(~blank, F.col(f"r.{n}")).alias(n.lower())
-            for n, blank in zip(BETA_RECORD.names, fields)
-        ],
+        *[F.when(F.trim(text) != "", text).alias(name) for text, name in fields],
         F.col(f"r.{CORRUPT}").alias(CORRUPT),
     )
 
