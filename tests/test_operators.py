@@ -249,17 +249,10 @@ def test_checkpoint_is_taken_before_duplicates_go(spark):
 # -- keys ----------------------------------------------------------------------
 
 
-def test_file_position_ids_are_dense_and_repeatable(spark, tmp_path):
-    path = str(tmp_path / "stored")
-    spark.range(0, 5000, numPartitions=7).write.parquet(path)
-    stored = spark.read.parquet(path)
-    numbered = keys.with_file_position_ids(stored, "rid", 50)
-    got = rows(numbered)
-    assert sorted(r[1] for r in got) == list(range(51, 5051))
-    assert rows(numbered.repartition(3)) == got
-    assert rows(keys.with_file_position_ids(stored, "rid", 50).where("id % 2 = 0")) == [
-        r for r in got if r[0] % 2 == 0
-    ]
+def test_surrogate_keys_are_unique_and_above_the_last(spark):
+    numbered = keys.surrogate_key(spark.range(0, 5000, numPartitions=7), "rid", 50)
+    ids = [r[0] for r in rows(numbered, "rid")]
+    assert len(set(ids)) == 5000 and min(ids) == 51
 
 
 # -- reporting -----------------------------------------------------------------

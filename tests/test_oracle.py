@@ -8,8 +8,6 @@ import __spark_entry__ as entry_point
 from verify import compare, connect
 
 DATA = "/root/testdata/sf0.001"
-SLOW = {"ingest_batch", "ingest_batch_beta", "ingest_batch_gamma", "stream_ingest"}
-SLOW |= {"exactly_once_resume", "cross_batch_upsert"}
 
 
 @pytest.fixture(scope="module")
@@ -17,18 +15,12 @@ def con():
     return connect(DATA)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_point.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(entry_point.queries()))
 def test_query(spark, con, name):
     verdict, _ = compare(spark, con, DATA, name)
     assert verdict.startswith("ok"), verdict
 
 
-@pytest.mark.parametrize("name", sorted(SLOW))
-def test_pipeline_query(spark, con, name):
-    verdict, _ = compare(spark, con, DATA, name)
-    assert verdict.startswith("ok"), verdict
-
-
 def test_entry_has_rows(spark):
     assert entry_point.entry(spark).count() > 0
 

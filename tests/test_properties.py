@@ -22,10 +22,10 @@ _change = st.tuples(
     st.sampled_from([1, 2, 3]),
     st.sampled_from(["JDOE", "GHOST", None]),
 )
-_batches = st.lists(st.lists(_change, min_size=1, max_size=8), min_size=1, max_size=3)
+_batches = st.lists(st.lists(_change, min_size=1, max_size=8), min_size=2, max_size=2)
 
 
-@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=2, deadline=None, suppress_health_check=list(HealthCheck))
 @given(_batches)
 def test_random_batches(spark, dims, batches):
     state = FeedState(spark, tempfile.mkdtemp(prefix="run-", dir="/tmp"), "CLIENT_ALPHA", buckets=2)

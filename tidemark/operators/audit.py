@@ -18,6 +18,8 @@ STARTED, SUCCESS = "STARTED", "SUCCESS"
 STAGES = ["LND TO PRS", "PRS TO CDC", "CDC TO PRE-DM", "PRE-DM TO DM"]
 LOADED = "ALL LOADING STAGES COMPLETED"
 
+COUNTS = ["batch_count", "insert_count", "update_count", "duplicate_count", "valid_count"]
+
 
 def max_or_zero(df: DataFrame, column: str, name: str = "max_value") -> DataFrame:
     return df.agg(F.coalesce(F.max(column), F.lit(0)).alias(name))
@@ -103,18 +105,22 @@ def run_log_close(
 
     ``counts`` has one row per ``dag_run_id``.
     """
-    names = ["batch_count", "insert_count", "update_count", "duplicate_count", "valid_count"]
-    open_rows = run.drop(*names, "source_checkpoint", "validity_percentage", "run_duration")
-    closed = open_rows.join(counts, "dag_run_id").withColumns(
+    open_rows = run.drop(*COUNTS, "source_checkpoint", "validity_percentage", "run_duration")
+    closed = close_counted(open_rows.join(counts, "dag_run_id"), finished, status)
+    return closed.select(RUN_LOG.names)
+
+
+def close_counted(run: DataFrame, finished: datetime, status: str = SUCCESS) -> DataFrame:
+    """The same for rows that carry their counts already; other columns are kept."""
+    share = validity_percentage(*[F.col(f"{c}_count") for c in ("valid", "insert", "update")])
+    ended = run.withColumns(
         {
             "run_end_date": ts_literal(finished),
             "dag_run_status": F.lit(status),
-            "validity_percentage": validity_percentage(
-                F.col("valid_count"), F.col("insert_count"), F.col("update_count")
-            ),
+            "validity_percentage": share,
         }
     )
-    return closed.withColumn("run_duration", run_duration()).select(RUN_LOG.names)
+    return ended.withColumn("run_duration", run_duration())
 
 
 def run_status_trail(completed: int, failed: bool = False) -> list[str]:

@@ -2,43 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_FILES = 200_000
-
 
 def surrogate_key(df: DataFrame, name: str, last: int = 0) -> DataFrame:
     """Unique ids above ``last``, increasing within a partition, with gaps between.
 
-    Needs no shuffle. The ids follow the physical layout, so the frame must be written
-    by the same job that assigns them, with no exchange in between: an executor lost
-    later would otherwise renumber rows that others have already read.
+    Needs no shuffle. The ids follow the physical layout, so they must be written by
+    the job that assigns them, with no exchange in between, and be read from there
+    afterwards: an executor lost later would otherwise renumber rows that others have
+    already read. A job uses up 2**33 ids per task, of 2**63 in all.
     """
     return df.withColumn(name, F.lit(last) + 1 + F.monotonically_increasing_id())
-
-
-def with_file_position_ids(stored: DataFrame, name: str, last: int) -> DataFrame:
-    """Dense ids above ``last`` for the rows of stored Parquet files.
-
-    A row's id is the number of rows in the files before its own plus its place in
-    that file. The files do not change, so every job, retry and executor computes the
-    same id. ``stored`` must come straight from a Parquet read.
-    """
-    placed = stored.select(
-        "*",
-        F.col("_metadata.file_name").alias("_file"),
-        F.col("_metadata.row_index").alias("_place"),
-    )
-    sizes = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_rows"))
-    # One row per file: this window never sees table rows.
-    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
-    # The frame must not be shuffled here (by file, at that), so the offsets are
-    # broadcast while the listed files keep them small.
-    if len(stored.inputFiles()) <= MAX_BROADCAST_FILES:
-        offsets = F.broadcast(offsets)
-    numbered = placed.join(offsets, "_file")
-    return numbered.withColumn(name, F.lit(last) + 1 + F.col("_before") + F.col("_place")).drop(
-        "_file", "_place", "_before"
-    )

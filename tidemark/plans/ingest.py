@@ -23,11 +23,11 @@ from tidemark.operators import audit
 from tidemark.operators.conform import conform, type_landing
 from tidemark.operators.dedup import dedup_by_rank
 from tidemark.operators.filters import CHANGED, filter_merge_type
-from tidemark.operators.keys import with_file_position_ids
+from tidemark.operators.keys import surrogate_key
 from tidemark.operators.merge import join_stage_to_fact, merge_classify, merge_counts
 from tidemark.operators.quality import error_rows, validate_required
 from tidemark.plans.state import CLOSED, SLOT, Commit, FeedState
-from tidemark.schemas import RUN_LOG, struct
+from tidemark.schemas import COMMIT, RUN_LOG, struct
 from tidemark.sources.sinks import sink_overwrite
 from tidemark.sources.topic import CORRUPT
 
@@ -125,7 +125,7 @@ class _Run:
             before,
             seq=self.seq,
             run_key=self.run_key,
-            next_ids=dict(before.next_ids),
+            last_ids=dict(before.last_ids),
             buckets=dict(before.buckets),
         )
         self.counts: dict[str, int] = {}
@@ -168,25 +168,30 @@ class _Run:
         schema = persisted_schema(typed.drop(IDENTIFIER))
         active = state.active(self.before, PERSISTED, schema, set(landed["s"]))
         classified = merge_classify(typed, active, spec.natural_key)
-        snapshot = self._write("classified", classified.withColumnRenamed(IDS[PERSISTED], "matched"))
+        snapshot = self._write(
+            "classified",
+            self._numbered(classified.withColumnRenamed(IDS[PERSISTED], "matched_id"), PERSISTED),
+        )
 
         changed = F.col("merge_type").isin(*CHANGED)
-        found = merge_counts(snapshot, _slots(changed, buckets).alias("s")).first()
+        found = merge_counts(
+            snapshot,
+            _slots(changed, buckets).alias("s"),
+            F.max(IDS[PERSISTED]).alias("last"),
+        ).first()
         self.counts["batch_count"] = landed["n"]
         for kind in ("insert_count", "update_count", "duplicate_count"):
             self.counts[kind] = found[kind]
 
-        last = self.before.next_ids.get(PERSISTED, 0)
-        numbered = with_file_position_ids(snapshot, IDS[PERSISTED], last)
         fresh = tag_run(
-            filter_merge_type(numbered).withColumnRenamed("lnd_hash_key", "hash_key"),
+            filter_merge_type(snapshot).withColumnRenamed("lnd_hash_key", "hash_key"),
             self.source_id,
             self.dag_run_id,
         )
         self.fresh = scd_defaults(fresh, self.as_of).select(schema.names)
-        closing = filter_merge_type(snapshot, "UPDATE")
         kept = state.active(self.before, PERSISTED, schema, set(found["s"]))
-        self._replace(PERSISTED, kept, closing, self.fresh, set(found["s"]), landed["n"])
+        closing = filter_merge_type(snapshot, "UPDATE")
+        self._replace(PERSISTED, kept, closing, self.fresh, set(found["s"]), found["last"])
 
     def persisted_to_cdc(self) -> None:
         """The rows this run made active. They are already at hand, so the store is not read."""
@@ -200,29 +205,34 @@ class _Run:
         self.touched = set(cdc.agg(_slots(F.lit(True), buckets)).first()[0])
         fact = state.active(self.before, FACT, FACT_SCHEMA, self.touched)
         stage = validate_required(conform(cdc, self.spec, self.dims))
-        stored = self._write("stage", join_stage_to_fact(stage, fact))
+        staged = self._numbered(join_stage_to_fact(stage, fact), FACT)
+        stored = self._write("stage", self._numbered(staged, ERRORS))
 
+        invalid = ~F.col("is_valid")
         found = stored.agg(
-            F.count(F.lit(1)).alias("n"),
             F.count_if("is_valid").alias("valid"),
-            _slots(~F.col("is_valid"), buckets).alias("s"),
+            _slots(invalid, buckets).alias("s"),
+            F.max(IDS[FACT]).alias("last_fact"),
+            F.max(F.when(invalid, F.col(IDS[ERRORS]))).alias("last_error"),
         ).first()
         self.counts["valid_count"] = found["valid"]
+        self.last_fact = found["last_fact"]
         if found["s"]:
-            last = self.before.next_ids.get(ERRORS, 0)
-            numbered = with_file_position_ids(stored, IDS[ERRORS], last)
-            fresh = scd_defaults(error_rows(numbered, IDS[ERRORS]), self.as_of)
+            failing = error_rows(stored, IDS[ERRORS])
             old = state.active(self.before, ERRORS, ERROR_SCHEMA, set(found["s"]))
-            self._replace(ERRORS, old, error_rows(stored), fresh, set(found["s"]), found["n"])
+            fresh = scd_defaults(failing, self.as_of)
+            self._replace(ERRORS, old, failing, fresh, set(found["s"]), found["last_error"])
 
     def stage_to_fact(self) -> None:
         stored = self._stored("stage")
-        last = self.before.next_ids.get(FACT, 0)
-        fresh = scd_defaults(with_file_position_ids(stored, IDS[FACT], last), self.as_of)
-        closing = filter_merge_type(stored, "UPDATE")
         kept = self.state.active(self.before, FACT, FACT_SCHEMA, self.touched)
-        rows = self.counts["insert_count"] + self.counts["update_count"]
-        self._replace(FACT, kept, closing, fresh, self.touched, rows)
+        fresh = scd_defaults(stored, self.as_of)
+        closing = filter_merge_type(stored, "UPDATE")
+        self._replace(FACT, kept, closing, fresh, self.touched, self.last_fact)
+
+    def _numbered(self, df: DataFrame, table: str) -> DataFrame:
+        """New record ids; the frame is written as it is, and read from there by all."""
+        return surrogate_key(df, IDS[table], self.before.last_ids.get(table, 0))
 
     def _replace(
         self,
@@ -231,32 +241,30 @@ class _Run:
         closing: DataFrame,
         fresh: DataFrame,
         slots: set[int],
-        ids: int,
+        last_id: int | None,
     ) -> None:
         rows = _rewrite(kept, closing, fresh, self.as_of, self.state.bucket_count)
         self.state.replace_buckets(self.seq, table, rows)
-        self._advance(table, slots, ids)
-
-    def _advance(self, table: str, slots: set[int], ids: int) -> None:
         for slot in slots:
             self.after.buckets[(table, slot)] = self.seq
-        self.after.next_ids[table] = self.before.next_ids.get(table, 0) + ids
+        if last_id is not None:
+            self.after.last_ids[table] = last_id
 
     def finalise(self, started: datetime, finished: datetime, trail: list[tuple]) -> None:
-        spark = self.state.spark
-        opened = spark.createDataFrame(
-            [(self.dag_run_id, self.run_key, self.source_id, audit.STARTED, started)],
-            T.StructType(RUN_LOG.fields[:5]),
-        )
-        counts = spark.createDataFrame(
-            [(self.dag_run_id, *self.counts.values(), self.after.source_checkpoint)],
-            struct(
-                "dag_run_id bigint, "
-                + ", ".join(f"{c} bigint" for c in [*self.counts, "source_checkpoint"])
-            ),
-        )
-        run = audit.run_log_close(opened, counts, finished).drop("run_duration")
-        self.state.publish(self.after, run, trail)
+        row = {
+            "dag_run_id": self.dag_run_id,
+            "run_key": self.run_key,
+            "source_id": self.source_id,
+            "run_start_date": started,
+            "source_checkpoint": self.after.source_checkpoint,
+            "trail": trail,
+            **self.counts,
+            **self.after.as_row(),
+        }
+        known = T.StructType([f for f in COMMIT.fields if f.name in row])
+        values = [tuple(row[name] for name in known.names)]
+        run = audit.close_counted(self.state.spark.createDataFrame(values, known), finished)
+        self.state.publish(run, self.seq)
 
 
 def _wall_clock() -> datetime:

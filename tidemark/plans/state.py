@@ -35,6 +35,12 @@ def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(status.getPath().toString() for status in found or [])
 
 
+def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows, in a form the optimizer knows to be empty, so that joins with it vanish."""
+    nothing = spark.range(1).where(F.lit(False))
+    return nothing.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 @dataclass
 class Commit:
     """The state after one batch: which folder holds each bucket, and the counters.
@@ -45,9 +51,13 @@ class Commit:
     seq: int = 0
     run_key: str | None = None
     source_checkpoint: int | None = None
-    next_ids: dict[str, int] = field(default_factory=dict)
+    last_ids: dict[str, int] = field(default_factory=dict)
     buckets: dict[tuple[str, int], int] = field(default_factory=dict)
 
+    def as_row(self) -> dict:
+        entries = [(table, bucket, seq) for (table, bucket), seq in sorted(self.buckets.items())]
+        return {"last_ids": self.last_ids, "buckets": entries}
+
 
 class FeedState:
     """Reads and publishes the tables of one feed below ``root``."""
@@ -70,25 +80,19 @@ class FeedState:
             row.dag_run_id,
             row.run_key,
             row.source_checkpoint,
-            dict(row.next_ids),
+            dict(row.last_ids),
             {(b.table, b.bucket): b.seq for b in row.buckets},
         )
 
-    def publish(self, commit: Commit, run: DataFrame, trail: list[tuple]) -> None:
+    def publish(self, run: DataFrame, seq: int) -> None:
         """Write the commit row: one file, so it is there whole or not at all."""
-        entries = [(t, b, s) for (t, b), s in sorted(commit.buckets.items())]
-        kept = T.StructType([f for f in COMMIT.fields if f.name in ("trail", "next_ids", "buckets")])
-        state = self.spark.createDataFrame(
-            [(commit.seq, trail, commit.next_ids, entries)],
-            T.StructType([COMMIT["dag_run_id"], *kept.fields]),
-        )
-        frame = run.join(state, "dag_run_id").select(COMMIT.names).coalesce(1)
-        frame.write.mode("overwrite").json(f"{self.folder}/commits/{commit.seq:012d}")
+        row = run.select(COMMIT.names).coalesce(1)
+        row.write.mode("overwrite").json(f"{self.folder}/commits/{seq:012d}")
 
     def commits(self) -> DataFrame:
         """Every published commit row."""
         if not matching_paths(self.spark, f"{self.folder}/commits/*/*.json"):
-            return self.spark.createDataFrame([], COMMIT)
+            return empty_table(self.spark, COMMIT)
         return self.spark.read.schema(COMMIT).json(f"{self.folder}/commits/*")
 
     # -- tables ----------------------------------------------------------------
@@ -110,7 +114,7 @@ class FeedState:
             if name == table and (only is None or bucket in only)
         ]
         if not paths:
-            return self.spark.createDataFrame([], schema)
+            return empty_table(self.spark, schema)
         return self.spark.read.schema(schema).parquet(*paths)
 
     def closed(self, commit: Commit, table: str, schema: T.StructType) -> DataFrame:
@@ -118,7 +122,7 @@ class FeedState:
         number = F.regexp_extract(F.col("_metadata.file_path"), rf"/versions/{table}/(\d+)/", 1)
         pattern = f"{self._versions(table, '*')}/{SLOT}={CLOSED}"
         if not matching_paths(self.spark, pattern):
-            return self.spark.createDataFrame([], schema)
+            return empty_table(self.spark, schema)
         rows = self.spark.read.schema(schema).parquet(pattern)
         return rows.where(number.cast("bigint") <= commit.seq).select(schema.names)
 
@@ -161,7 +165,7 @@ class FeedState:
     def batches(self, commit: Commit, name: str, schema: T.StructType) -> DataFrame:
         """A per-batch output (landing, CDC, stage) of every published batch."""
         if commit.seq == 0:
-            return self.spark.createDataFrame([], schema)
+            return empty_table(self.spark, schema)
         pattern = f"{self.folder}/batches/*/{name}"
         number = F.regexp_extract(F.col("_metadata.file_path"), rf"/batches/(\d+)/{name}/", 1)
         rows = self.spark.read.schema(schema).parquet(pattern)

@@ -87,7 +87,7 @@ COMMIT = T.StructType(
     [
         *[f for f in RUN_LOG.fields if f.name != "run_duration"],
         T.StructField("trail", T.ArrayType(TRAIL)),
-        T.StructField("next_ids", T.MapType(T.StringType(), T.LongType())),
+        T.StructField("last_ids", T.MapType(T.StringType(), T.LongType())),
         T.StructField("buckets", T.ArrayType(struct("table string, bucket int, seq bigint"))),
     ]
 )

@@ -186,17 +186,17 @@ def _seed(
     spark: SparkSession, blocks: dict[str, str], columns: list[str], note: str | None, id_name: str
 ) -> DataFrame:
     rows = [
-        dict(zip(columns, fields), source_name=source, is_active=True)
+        dict(zip(columns, fields), source_id=number, is_active=True)
         | ({"description": note.format(source)} if note else {})
-        for source, block in blocks.items()
+        for number, (source, block) in enumerate(blocks.items(), 1)
         for fields in lines(block)
     ]
     for i, row in enumerate(rows, 1):
         row[id_name] = i
     extra = ", description string" if note else ""
     text = "".join(f", {c} string" for c in columns)
-    schema = f"{id_name} int{text}, source_name string{extra}, is_active boolean"
-    return seed_dimension(local_table(spark, rows, schema), sources(spark))
+    schema = f"{id_name} int{text}, source_id int{extra}, is_active boolean"
+    return local_table(spark, rows, schema)
 
 
 def support_areas(spark: SparkSession) -> DataFrame:
