@@ -108,5 +108,10 @@ def join_stage_to_fact(
 def fact_scd2_merge(
     fact: DataFrame, stage: DataFrame, as_of: datetime, key: str = "source_system_identifier"
 ) -> DataFrame:
-    """Close every matched fact and append all stage rows, valid or not."""
-    return scd2_apply(fact, join_stage_to_fact(stage, fact, key), key, as_of)
+    """Close every matched fact and append all stage rows, valid or not.
+
+    An identifier without an active fact closes nothing, so the stage need not be
+    classified first: that would be a second join over the same rows.
+    """
+    closed = update_from_keys(fact, stage, key, as_of)
+    return closed.unionByName(scd_defaults(stage, as_of).select(fact.columns))

@@ -24,7 +24,7 @@ from tidemark.operators.conform import conform, type_landing
 from tidemark.operators.dedup import dedup_by_rank
 from tidemark.operators.filters import CHANGED, filter_merge_type
 from tidemark.operators.keys import surrogate_key
-from tidemark.operators.merge import join_stage_to_fact, merge_classify, merge_counts
+from tidemark.operators.merge import merge_classify, merge_counts
 from tidemark.operators.quality import error_rows, validate_required
 from tidemark.plans.state import CLOSED, SLOT, Commit, FeedState
 from tidemark.schemas import COMMIT, RUN_LOG, struct
@@ -202,21 +202,19 @@ class _Run:
     def cdc_to_stage(self) -> None:
         state, buckets = self.state, self.state.bucket_count
         cdc = self._stored("cdc")
-        self.touched = set(cdc.agg(_slots(F.lit(True), buckets)).first()[0])
-        fact = state.active(self.before, FACT, FACT_SCHEMA, self.touched)
         stage = validate_required(conform(cdc, self.spec, self.dims))
-        staged = self._numbered(join_stage_to_fact(stage, fact), FACT)
-        stored = self._write("stage", self._numbered(staged, ERRORS))
+        stored = self._write("stage", self._numbered(self._numbered(stage, FACT), ERRORS))
 
         invalid = ~F.col("is_valid")
         found = stored.agg(
             F.count_if("is_valid").alias("valid"),
+            _slots(F.lit(True), buckets).alias("touched"),
             _slots(invalid, buckets).alias("s"),
             F.max(IDS[FACT]).alias("last_fact"),
             F.max(F.when(invalid, F.col(IDS[ERRORS]))).alias("last_error"),
         ).first()
         self.counts["valid_count"] = found["valid"]
-        self.last_fact = found["last_fact"]
+        self.touched, self.last_fact = set(found["touched"]), found["last_fact"]
         if found["s"]:
             failing = error_rows(stored, IDS[ERRORS])
             old = state.active(self.before, ERRORS, ERROR_SCHEMA, set(found["s"]))
@@ -224,11 +222,11 @@ class _Run:
             self._replace(ERRORS, old, failing, fresh, set(found["s"]), found["last_error"])
 
     def stage_to_fact(self) -> None:
+        """Every stage row is appended; a fact its identifier still holds is closed."""
         stored = self._stored("stage")
         kept = self.state.active(self.before, FACT, FACT_SCHEMA, self.touched)
         fresh = scd_defaults(stored, self.as_of)
-        closing = filter_merge_type(stored, "UPDATE")
-        self._replace(FACT, kept, closing, fresh, self.touched, self.last_fact)
+        self._replace(FACT, kept, stored, fresh, self.touched, self.last_fact)
 
     def _numbered(self, df: DataFrame, table: str) -> DataFrame:
         """New record ids; the frame is written as it is, and read from there by all."""
