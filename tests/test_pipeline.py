@@ -80,6 +80,8 @@ def test_two_document_batches(spark, dims, run_alpha):
     assert first.interaction_date == datetime(2021, 1, 1)
     assert (first.agent_id, first.support_area_id, first.customer_type_id) == (1, 1, 3)
 
+    assert rows(ingest.stage_rows(state)) == rows(fact.drop("is_active", "start_date", "end_date"))
+
     errors = ingest.error_versions(state)
     assert rows(errors, "source_system_identifier", "is_active", "end_date") == [
         ("CLIENT_ALPHA-3", False, T2),

@@ -27,7 +27,7 @@ from tidemark.operators.keys import surrogate_key
 from tidemark.operators.merge import merge_classify, merge_counts
 from tidemark.operators.quality import error_rows, validate_required
 from tidemark.plans.state import CLOSED, SLOT, Commit, FeedState
-from tidemark.schemas import COMMIT, RUN_LOG, struct
+from tidemark.schemas import COMMIT, RUN_LOG, VERSION_COLUMNS, struct
 from tidemark.sources.sinks import sink_overwrite
 from tidemark.sources.topic import CORRUPT
 
@@ -290,6 +290,8 @@ def ingest_batch(
         return BatchResult(0, checkpoint=before.source_checkpoint)
 
     source = dims["sources"].where(F.col("source_name") == spec.source).first()
+    if source is None:
+        raise ValueError(f"no source is named {spec.source}")
     run = (source["source_id"], before.seq + 1, run_key)
     stages = _Run(state, spec, dims, before, run, as_of)
     started = clock()
@@ -335,6 +337,12 @@ def persisted_versions(state: FeedState, spec: FeedSpec) -> DataFrame:
     return state.table(commit, PERSISTED, persisted_schema(type_landing(landing, spec)))
 
 
+def stage_rows(state: FeedState) -> DataFrame:
+    """Conformed rows of every published batch, before versioning."""
+    columns = T.StructType([f for f in FACT_SCHEMA.fields if f.name not in VERSION_COLUMNS])
+    return state.batches(state.latest(), "stage", columns)
+
+
 def run_log(state: FeedState) -> DataFrame:
     runs = state.commits().withColumn("run_duration", run_duration())
     return runs.select(RUN_LOG.names)

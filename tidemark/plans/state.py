@@ -16,7 +16,6 @@ Where a table format with MERGE is installed, this module is the part to replace
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -170,7 +169,3 @@ class FeedState:
         number = F.regexp_extract(F.col("_metadata.file_path"), rf"/batches/(\d+)/{name}/", 1)
         rows = self.spark.read.schema(schema).parquet(pattern)
         return rows.where(number.cast("bigint") <= commit.seq).select(schema.names)
-
-
-def stacked(*frames: DataFrame) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.values import empty_to_null, rename_columns
-from tidemark.operators.filters import filter_beyond_checkpoint
 from tidemark.schemas import GAMMA_OBJECT
 
 # Fixed value: the object name. A dataset written by Spark holds its part files in a
@@ -40,7 +39,7 @@ def has_new_objects(objects: DataFrame, checkpoint: int) -> DataFrame:
 
 
 def order_files_by_sequence(objects: DataFrame) -> DataFrame:
-    """The order in which objects take effect: a rank column, not a physical sort."""
+    """The order in which objects take effect. One row per object, so sorting is cheap."""
     return objects.select("file_seq", "file_name").orderBy("file_seq", "file_name")
 
 
@@ -78,7 +77,3 @@ def union_files(*frames: DataFrame) -> DataFrame:
     for frame in rest:
         head = head.unionByName(frame)
     return head
-
-
-def beyond(objects: DataFrame, checkpoint: int) -> DataFrame:
-    return filter_beyond_checkpoint(objects, "file_seq", checkpoint)
