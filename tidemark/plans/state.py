@@ -90,9 +90,10 @@ class FeedState:
 
     def commits(self) -> DataFrame:
         """Every published commit row."""
-        if not matching_paths(self.spark, f"{self.folder}/commits/*/*.json"):
+        published = matching_paths(self.spark, f"{self.folder}/commits/*/*.json")
+        if not published:
             return empty_table(self.spark, COMMIT)
-        return self.spark.read.schema(COMMIT).json(f"{self.folder}/commits/*")
+        return self.spark.read.schema(COMMIT).json(published)
 
     # -- tables ----------------------------------------------------------------
 
@@ -118,12 +119,15 @@ class FeedState:
 
     def closed(self, commit: Commit, table: str, schema: T.StructType) -> DataFrame:
         """Closed versions of every published batch."""
-        number = F.regexp_extract(F.col("_metadata.file_path"), rf"/versions/{table}/(\d+)/", 1)
-        pattern = f"{self._versions(table, '*')}/{SLOT}={CLOSED}"
-        if not matching_paths(self.spark, pattern):
+        found = self._published(commit, self._versions(table, "*") + f"/{SLOT}={CLOSED}")
+        if not found:
             return empty_table(self.spark, schema)
-        rows = self.spark.read.schema(schema).parquet(pattern)
-        return rows.where(number.cast("bigint") <= commit.seq).select(schema.names)
+        return self.spark.read.schema(schema).parquet(*found)
+
+    def _published(self, commit: Commit, pattern: str) -> list[str]:
+        """Matching folders ``.../<seq>/<name>`` of batches up to the commit."""
+        folders = matching_paths(self.spark, pattern)
+        return [f for f in folders if int(f.split("/")[-2]) <= commit.seq]
 
     def table(self, commit: Commit, table: str, schema: T.StructType) -> DataFrame:
         """All versions of a table, active and closed."""
@@ -163,9 +167,7 @@ class FeedState:
 
     def batches(self, commit: Commit, name: str, schema: T.StructType) -> DataFrame:
         """A per-batch output (landing, CDC, stage) of every published batch."""
-        if commit.seq == 0:
+        found = self._published(commit, f"{self.folder}/batches/*/{name}")
+        if not found:
             return empty_table(self.spark, schema)
-        pattern = f"{self.folder}/batches/*/{name}"
-        number = F.regexp_extract(F.col("_metadata.file_path"), rf"/batches/(\d+)/{name}/", 1)
-        rows = self.spark.read.schema(schema).parquet(pattern)
-        return rows.where(number.cast("bigint") <= commit.seq).select(schema.names)
+        return self.spark.read.schema(schema).parquet(*found)
