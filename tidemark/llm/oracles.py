@@ -2,6 +2,212 @@
 
 from __future__ import annotations
 
+from tidemark.llm.line_dedup import DENOMINATOR, NUMERATOR
+from tidemark.llm.pii import GENERALISE, KINDS, REACH, REMOVE, SUPPORT
+from tidemark.llm.url_filter import DAMPING, ROUNDS, RULES, THRESHOLD
+
+SHARDS = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, text, coalesce(octet_length(encode(text)), 0) + 1 AS size, coalesce(sha256(text), '') AS key
+  FROM documents),
+e AS (
+  SELECT key, size, sum(size) OVER (ORDER BY key)::BIGINT AS stop
+  FROM (SELECT key, sum(size)::BIGINT AS size FROM d GROUP BY key)),
+t AS (SELECT max(stop) AS total, max(size) AS largest FROM e),
+search AS (
+  SELECT greatest(largest, (total + 7) // 8) AS low, (total + 7) // 8 + largest AS high,
+    (greatest(largest, (total + 7) // 8) + (total + 7) // 8 + largest) // 2 AS mid, 0 AS k, 0::BIGINT AS pos, total
+  FROM t
+  UNION ALL
+  SELECT
+    CASE WHEN over AND pos < total THEN mid + 1 ELSE low END,
+    CASE WHEN over AND pos >= total THEN mid ELSE high END,
+    CASE WHEN NOT over THEN mid WHEN pos >= total THEN (low + mid) // 2 ELSE (mid + 1 + high) // 2 END,
+    CASE WHEN over THEN 0 ELSE k + 1 END,
+    CASE WHEN over THEN 0 ELSE reach END,
+    total
+  FROM (
+    SELECT low, high, mid, k, pos, total, (k = 8 OR pos >= total) AS over, greatest(pos, coalesce(found, 0)) AS reach
+    FROM (
+      SELECT low, high, mid, k, pos, total, max(stop) FILTER (stop <= pos + mid) AS found
+      FROM search, e WHERE low < high GROUP BY low, high, mid, k, pos, total))),
+best AS (SELECT min(high) AS capacity, any_value(total) AS total FROM search),
+fill AS (
+  SELECT 0 AS k, 0::BIGINT AS pos, capacity, total FROM best
+  UNION ALL
+  SELECT f.k + 1, max(e.stop) FILTER (e.stop <= f.pos + f.capacity), f.capacity, f.total
+  FROM fill f, e WHERE f.k < 8 AND f.pos < f.total GROUP BY f.k, f.pos, f.capacity, f.total),
+placed AS (
+  SELECT d.*, (SELECT count(*) FROM fill f WHERE f.k > 0 AND f.pos < e.stop)::INTEGER AS shard
+  FROM d JOIN e USING (key)),
+bits(i, v, n) AS (
+  SELECT range::BIGINT, range::BIGINT, 0 FROM range(256)
+  UNION ALL
+  SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, n + 1 FROM bits WHERE n < 8),
+crc AS (SELECT list(v ORDER BY i) AS words FROM bits WHERE n = 8)
+SELECT doc_id, size::BIGINT AS size,
+  CASE WHEN coalesce(text, '') = '' THEN 0 ELSE xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(range(octet_length(encode(text))),
+      lambda n: ('0x' || substr(hex(encode(text)), 2 * n + 1, 2))::BIGINT)),
+    lambda x, y: xor(crc.words[(xor(x, y) & 255) + 1], x >> 8))) END::BIGINT AS text_crc32,
+  'bytes' AS law, shard,
+  row_number() OVER (PARTITION BY shard ORDER BY key, doc_id) - 1 AS slot,
+  NULL::INTEGER AS grown_shard
+FROM placed, crc
+"""
+
+LINES = rf"""
+WITH docs AS (
+  SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
+spread AS (
+  SELECT doc_id, unnest(range(len(lines))) AS line, unnest(lines) AS string FROM docs WHERE lines IS NOT NULL),
+sets AS (
+  SELECT doc_id, line,
+    list_sort(list_distinct(list_filter(regexp_split_to_array(lower(string), '[\x20\x09-\x0D]+'), lambda w: w <> ''))) AS words
+  FROM spread),
+firsts AS (
+  SELECT words, min(row(doc_id, line)) AS first, len(words) AS n FROM sets WHERE len(words) > 0 GROUP BY words),
+named AS (SELECT row_number() OVER (ORDER BY first) AS id, * FROM firsts),
+tokens AS (SELECT id, n, unnest(words) AS word FROM named),
+rarity AS (SELECT word, count(*) AS df FROM tokens GROUP BY word),
+placed AS (
+  SELECT id, n, word, row_number() OVER (PARTITION BY id ORDER BY df, word) AS place FROM tokens JOIN rarity USING (word)),
+prefix AS (SELECT * FROM placed WHERE place <= n - ({NUMERATOR} * n + {DENOMINATOR} - 1) // {DENOMINATOR} + 1),
+pairs AS (
+  SELECT DISTINCT b.id AS id, a.id AS other FROM prefix a JOIN prefix b ON a.word = b.word AND a.id < b.id
+  WHERE {DENOMINATOR} * a.n >= {NUMERATOR} * b.n AND {DENOMINATOR} * b.n >= {NUMERATOR} * a.n),
+common AS (
+  SELECT p.id, len(list_intersect(a.words, b.words)) AS c, a.n + b.n AS n
+  FROM pairs p JOIN named a ON a.id = p.other JOIN named b ON b.id = p.id),
+gone AS (SELECT DISTINCT id FROM common WHERE {DENOMINATOR} * c >= {NUMERATOR} * (n - c)),
+removed AS (
+  SELECT s.doc_id, list_sort(list(DISTINCT s.line)) AS gone
+  FROM sets s JOIN named ON named.words = s.words LEFT JOIN gone USING (id)
+  WHERE gone.id IS NOT NULL OR row(s.doc_id, s.line) <> first
+  GROUP BY s.doc_id)
+SELECT doc_id, coalesce(len(lines), 0)::BIGINT AS n_lines, coalesce(len(gone), 0)::BIGINT AS n_removed,
+  coalesce(array_to_string(gone, ','), '') AS removed
+FROM docs LEFT JOIN removed USING (doc_id)
+"""
+
+_BASE = {
+    "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true"),
+    "ip": (
+        r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+        "len(list_filter(string_split(v, '.'), lambda x: len(ltrim(x, '0')) > 3 OR coalesce(try_cast(x AS HUGEINT), 256) > 255)) = 0",
+    ),
+    "card": (
+        r"[0-9](?:[\x20-]?[0-9])+",
+        "len(digits) BETWEEN 14 AND 19 AND list_sum(list_transform(range(len(digits)), lambda i: "
+        "CASE WHEN i % 2 = 0 THEN substr(reverse(digits), i + 1, 1)::INTEGER "
+        "WHEN substr(reverse(digits), i + 1, 1)::INTEGER > 4 THEN 2 * substr(reverse(digits), i + 1, 1)::INTEGER - 9 "
+        "ELSE 2 * substr(reverse(digits), i + 1, 1)::INTEGER END)) % 10 = 0",
+    ),
+    "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", "len(digits) BETWEEN 10 AND 15"),
+}
+
+
+def _kind(name: str) -> str:
+    pattern, valid = _BASE[name]
+    return f"""
+  SELECT doc_id, text_key, {KINDS.index(name)} AS ord, '{name}' AS kind, start, start + length(v) AS stop, v, before, after
+  FROM (
+    SELECT *, regexp_replace(v, '[^0-9]', '', 'g') AS digits, right(gap, {REACH}) AS before,
+      left(lead(gap) OVER w, {REACH}) AS after,
+      (sum(length(gap)) OVER w + coalesce(sum(length(v)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS start
+    FROM (
+      SELECT doc_id, text_key, unnest(range(len(regexp_split_to_array(text, '{pattern}')))) AS i,
+        unnest(regexp_split_to_array(text, '{pattern}')) AS gap, unnest(regexp_extract_all(text, '{pattern}')) AS v
+      FROM d)
+    WINDOW w AS (PARTITION BY doc_id, text_key ORDER BY i))
+  WHERE v IS NOT NULL AND {valid}"""
+
+
+_TERM = r"\p{L}[\p{L}\p{N}]{3,}"
+
+
+def _context(side: str, origin: str, whole: str) -> str:
+    return f"""
+  SELECT doc_id, text_key, entity, lower(v) AS term, ({origin} + start)::BIGINT AS start, ({origin} + start + length(v))::BIGINT AS stop
+  FROM (
+    SELECT *, (sum(length(gap)) OVER w + coalesce(sum(length(v)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS start
+    FROM (
+      SELECT doc_id, text_key, entity, ord, b_start, b_stop, {side} AS area, unnest(range(len(regexp_split_to_array({side}, '{_TERM}')))) AS i,
+        unnest(regexp_split_to_array({side}, '{_TERM}')) AS gap, unnest(regexp_extract_all({side}, '{_TERM}')) AS v
+      FROM m)
+    WINDOW w AS (PARTITION BY doc_id, text_key, entity, ord, b_start ORDER BY i))
+  WHERE v IS NOT NULL AND ({whole})"""
+
+
+PERSONAL = f"""
+WITH d AS (SELECT DISTINCT doc_id, coalesce(text, '') AS text, md5(coalesce(text, '')) AS text_key FROM documents),
+base AS ({' UNION ALL '.join(map(_kind, KINDS))}),
+m AS (
+  SELECT doc_id, text_key, ord, start AS b_start, stop AS b_stop, before, after, kind || ':' ||
+    CASE kind WHEN 'email' THEN lower(v) WHEN 'ip' THEN v ELSE regexp_replace(v, '[^0-9]', '', 'g') END AS entity
+  FROM base),
+near AS (
+  {_context('before', 'b_start - length(area)', f'length(area) < {REACH} OR start > 0')}
+  UNION ALL
+  {_context('after', 'b_stop', f'length(area) < {REACH} OR start + length(v) < {REACH}')}),
+context AS (
+  SELECT * FROM near n WHERE NOT EXISTS (
+    SELECT 1 FROM base b WHERE b.doc_id = n.doc_id AND b.text_key = n.text_key AND b.start < n.stop AND n.start < b.stop)),
+n_e AS (SELECT entity, count(DISTINCT row(doc_id, text_key)) AS n_e FROM m GROUP BY entity),
+n_et AS (
+  SELECT entity, term, count(DISTINCT row(doc_id, text_key)) AS n_et FROM context GROUP BY ALL HAVING n_et >= {SUPPORT}),
+n_t AS (
+  SELECT term, count(*) AS n_t FROM (
+    SELECT unnest(list_distinct(regexp_extract_all(lower(text), '{_TERM}'))) AS term FROM documents)
+  WHERE term IN (SELECT term FROM n_et) GROUP BY term),
+n AS (SELECT count(*)::DOUBLE AS n FROM documents),
+shares AS (
+  SELECT entity, term, log2(n * n_et / (n_e * n_t)) / log2(n / n_e) AS share
+  FROM n_et JOIN n_e USING (entity) JOIN n_t USING (term), n WHERE n_e < n),
+added AS (
+  SELECT doc_id, text_key, {len(KINDS)} AS ord, CASE WHEN max(share) >= {REMOVE} THEN 'removed' ELSE 'generalised' END AS kind, start, stop
+  FROM context JOIN shares USING (entity, term) WHERE share >= {GENERALISE}
+  GROUP BY doc_id, text_key, start, stop),
+marks AS (SELECT doc_id, text_key, ord, kind, start, stop FROM base UNION ALL SELECT doc_id, text_key, ord, kind, start, stop FROM added),
+listed AS (
+  SELECT doc_id, text_key,
+    {', '.join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in KINDS)},
+    coalesce(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, ord) FILTER (ord < {len(KINDS)}), '') AS own,
+    string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, ord) AS spans
+  FROM marks GROUP BY ALL)
+SELECT o.doc_id, {', '.join(f"coalesce(n_{k}, 0) AS n_{k}" for k in KINDS)}, sha256(coalesce(own, '')) AS base_sha256,
+  coalesce(spans, '') AS spans
+FROM documents o LEFT JOIN listed l ON o.doc_id = l.doc_id AND md5(coalesce(o.text, '')) = l.text_key
+"""
+
+NEAR = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+    lambda x: x <> '') AS words
+  FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+    ELSE list_sort(list_distinct(list_transform(range(1, len(words) - 1),
+      lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2]))) END AS shingles
+  FROM w),
+classes AS (SELECT shingles, min(doc_id) AS id, len(shingles) AS n FROM s WHERE len(shingles) > 0 GROUP BY shingles),
+flat AS (SELECT id, n, unnest(shingles) AS shingle FROM classes),
+common AS (
+  SELECT a.id AS a, b.id AS b, any_value(a.n) + any_value(b.n) AS n, count(*) AS c
+  FROM flat a JOIN flat b ON a.shingle = b.shingle AND a.id < b.id GROUP BY a.id, b.id),
+links AS (SELECT a, b FROM common WHERE 100 * c >= 85 * (n - c)),
+both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(id, far) AS (
+  SELECT id, id FROM classes
+  UNION
+  SELECT reach.id, both_ways.b FROM reach JOIN both_ways ON reach.far = both_ways.a),
+roots AS (SELECT id, min(far) AS root FROM reach GROUP BY id)
+SELECT s.doc_id, len(s.shingles)::BIGINT AS n_shingles, coalesce(root, s.doc_id) AS component_id,
+  s.doc_id = coalesce(root, s.doc_id) AS kept
+FROM s LEFT JOIN classes c ON s.shingles = c.shingles LEFT JOIN roots USING (id)
+"""
+
 WARC = """
 WITH p AS (
   SELECT page_id, coalesce(html, '') AS payload, octet_length(encode(coalesce(html, ''))) AS n
@@ -14,4 +220,61 @@ SELECT p.page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(p.payload) AS payload
 FROM p LEFT JOIN w ON n >= 1000 AND p.payload = w.payload
 """
 
-SQL: dict[str, str] = {"op9_warc": WARC}
+_FITS = " ".join(
+    f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN '{r.name}'"
+    for r in sorted(RULES, key=lambda r: (-len(r.name), r.name))
+)
+_BLOCKS = ", ".join(f"'{r.name}'" for r in RULES if r.verdict == "block")
+_LINK = r"(?i)(?:href|src|action)\s*=\s*[\x22\x27]?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#\x22\x27\s>]+)"
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+def _spread(seed: str, source: str, target: str) -> str:
+    return f"""
+  SELECT 0 AS n, host, {1 - DAMPING} * {seed} AS score FROM hosts
+  UNION ALL
+  SELECT any_value(r.n) + 1, h.host, {1 - DAMPING} * any_value(h.{seed}) + {DAMPING} * coalesce(sum(r.score * e.part), 0)
+  FROM (SELECT n, host, score FROM {seed}_r WHERE n < {ROUNDS}) o
+  JOIN hosts h ON h.host = o.host
+  JOIN (SELECT n, host, score FROM {seed}_r WHERE n < {ROUNDS}) r ON true
+  LEFT JOIN (SELECT {target} AS dst, {source} AS src, links / sum(links) OVER (PARTITION BY {source}) AS part FROM links) e
+    ON e.dst = h.host AND e.src = r.host
+  GROUP BY h.host"""
+
+
+URLS = rf"""
+WITH RECURSIVE p AS (
+  SELECT page_id, html,
+    translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), {_LOWER}) AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+judged AS (SELECT *, CASE {_FITS} END AS rule FROM p),
+links AS (
+  SELECT host AS src, dst, count(*) AS links FROM (
+    SELECT host, translate(unnest(regexp_extract_all(coalesce(html, ''), '{_LINK}', 1)), {_LOWER}) AS dst FROM p)
+  WHERE host <> '' AND host <> dst GROUP BY ALL),
+hosts AS (
+  SELECT host, max(allowed) AS allowed, max(blocked) AS blocked FROM (
+    SELECT host, avg((rule IS NOT NULL AND rule NOT IN ({_BLOCKS}))::INTEGER) AS allowed,
+      avg((rule IS NOT NULL AND rule IN ({_BLOCKS}))::INTEGER) AS blocked
+    FROM judged WHERE host <> '' GROUP BY host
+    UNION ALL SELECT DISTINCT dst, 0, 0 FROM links)
+  GROUP BY host),
+allowed_r AS ({_spread('allowed', 'src', 'dst')}),
+blocked_r AS ({_spread('blocked', 'dst', 'src')}),
+verdicts AS (
+  SELECT a.host, CASE WHEN b.score - a.score > {THRESHOLD * (1 - DAMPING)} THEN 'block' ELSE 'allow' END AS of_host
+  FROM allowed_r a JOIN blocked_r b USING (host) WHERE a.n = {ROUNDS} AND b.n = {ROUNDS})
+SELECT page_id, j.host, path, rule,
+  CASE WHEN rule IN ({_BLOCKS}) THEN 'block' WHEN rule IS NOT NULL THEN 'allow' ELSE coalesce(of_host, 'allow') END AS verdict
+FROM judged j LEFT JOIN verdicts USING (host)
+"""
+
+SQL: dict[str, str] = {
+    "op3_shard_documents": SHARDS,
+    "op4_line_dedup": LINES,
+    "op6_personal_data": PERSONAL,
+    "op7_near_duplicates": NEAR,
+    "op9_warc": WARC,
+    "op10_url_verdicts": URLS,
+}
