@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import passes, sieve, stored, table_of, words
+from tidemark.llm.common import SPACES, hashes, passes, sieve, stored, table_of
 
 # Similarity as a fraction: 4/5 = 0.8.
 NUMERATOR, DENOMINATOR = 4, 5
@@ -27,7 +27,7 @@ LAST = (1 << 63) - 1
 
 
 def _words(line: Column) -> Column:
-    return F.array_distinct(words(F.lower(line)))
+    return F.array_remove(F.split(F.lower(line), SPACES), "")
 
 
 def _slot(word_hash: Column) -> Column:
@@ -40,12 +40,17 @@ def rarity(docs: DataFrame) -> Column:
     Counted over all documents. Words that share a slot share its count: any order of the
     words gives the same result, a better one only fewer candidates.
     """
-    spread = docs.where("text is not null").select(F.explode(words(F.lower("text"))).alias("w"))
+    spread = docs.where("text is not null").select(F.explode(_words(F.col("text"))).alias("w"))
     counted = spread.groupBy(_slot(F.xxhash64("w")).alias("slot")).agg(F.count("*").alias("n"))
     scaled = counted.select("slot", F.round(F.log2(F.col("n").cast("double")) * 1000).alias("value"))
     return table_of(scaled, RARITY_SLOTS, "int")
 
 
+def _short(key: Column) -> Column:
+    """32 bits of a key: words that share them only make more candidates."""
+    return key.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
+
+
 def overlap_needed(n: Column, m: Column) -> Column:
     """Least number of common words of similar sets with n and m words."""
     return F.ceil((n + m) * NUMERATOR / F.lit(float(NUMERATOR + DENOMINATOR)) - 1e-9)
@@ -62,12 +67,13 @@ def line_sets(docs: DataFrame) -> DataFrame:
         "doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.posexplode(F.split("text", "\n")).alias("line", "string")
     ).withColumn("ranks", rarity(docs))
 
-    def key(word: Column) -> Column:
-        h = F.xxhash64(word)
+    def key(h: Column) -> Column:
         high = F.shiftleft(F.get(F.col("ranks"), _slot(h).cast("int")).cast("long"), HASH_BITS)
         return high.bitwiseOR(h.bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
 
-    keyed = lines.select("doc_id", "doc", "line", F.sort_array(F.transform(_words(F.col("string")), key)).alias("keys"))
+    # Distinct by hash: sets are told apart on their words where a pair is verified.
+    distinct = F.array_distinct(hashes(_words(F.col("string"))))
+    keyed = lines.select("doc_id", "doc", "line", F.sort_array(F.transform(distinct, key)).alias("keys"))
     keyed = keyed.where(F.size("keys") > 0)
     n = F.size("keys")
     bit = lambda k: F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))
@@ -79,7 +85,7 @@ def line_sets(docs: DataFrame) -> DataFrame:
         F.hash("keys").alias("s2"),
         n.alias("n"),
         F.aggregate("keys", F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(bit(k))).alias("parity"),
-        F.slice("keys", F.lit(1), prefix_length(n).cast("int")).alias("prefix"),
+        F.transform(F.slice("keys", F.lit(1), prefix_length(n).cast("int")), _short).alias("prefix"),
     )
 
 
@@ -124,7 +130,7 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
         .where(passes(bitmap, F.col("doc")))
         .select("doc", F.posexplode(F.split("text", "\n")).alias("line", "string"))
         .join(wanted, ["doc", "line"])
-        .select("doc", "line", _words(F.col("string")).alias("words"))
+        .select("doc", "line", F.array_distinct(_words(F.col("string"))).alias("words"))
         .where(F.size("words") > 0)
     )
     both = (
