@@ -47,8 +47,8 @@ def rarity(docs: DataFrame) -> Column:
 
 
 def _short(key: Column) -> Column:
-    """32 bits of a key: words that share them only make more candidates."""
-    return key.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
+    """31 bits of a key: words that share them only make more candidates."""
+    return key.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
 
 
 def overlap_needed(n: Column, m: Column) -> Column:
