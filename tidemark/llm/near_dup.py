@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, hashes, lower_ascii, stored, words
+from tidemark.llm.common import components, hashes, lower_ascii, passes, sieve, stored, words
 
 BANDS, ROWS, BATCH = 20, 5, 20
 CHUNK_DOCS, CHUNK_SHINGLES = 512, 1_000_000
@@ -271,8 +271,9 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85, miss: fl
         .withColumn("bin", F.when(F.col("chunks") == 1, shared).otherwise(F.struct(F.col("comp").alias("c"), "meet.i", "meet.j")))
         .select("print", "comp", "sign", "meet.side", "bin")
     )
-    # The sets of those that meet are made again from their whole texts.
-    again = text.join(members.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    # The sets of those that meet are made again from their whole texts. The bitmap lets
+    # through all of them and few others, which find no partner in the join below.
+    again = text.where("doc_id is not null").where(passes(sieve(members, "id"), F.col("doc_id")))
     sets = again.select(worded).mapInArrow(_sets(width), "print binary, shingles binary")
     met = dealt.join(sets.dropDuplicates(["print"]), "print")
     keep = least_matches(percent / 100, miss)
