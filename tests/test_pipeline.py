@@ -242,3 +242,23 @@ def test_batch_cost_does_not_depend_on_history(run_alpha, spark):
     moved = [k for k, seq in after.items() if seq == 3 and k[0] == ingest.FACT]
     assert len(moved) == 1
     assert filter_active(ingest.fact_versions(state)).agg(F.count_distinct("source_system_identifier"), F.count(F.lit(1))).first()[:] == (40, 40)
+
+
+def test_another_bucket_count_is_refused(spark, run_alpha, tmp_path):
+    state, step = run_alpha
+    step("run-1", FIRST, T1)
+    other = FeedState(spark, str(tmp_path / "state"), "CLIENT_ALPHA", buckets=8)
+    with pytest.raises(ValueError, match="4 buckets"):
+        other.latest()
+    assert FeedState(spark, str(tmp_path / "state"), "CLIENT_ALPHA", buckets=4).latest().seq == 1
+
+
+def test_unreadable_keys_stay_apart(spark, dims, run_alpha, tmp_path):
+    state, _ = run_alpha
+    write_documents(tmp_path / "docs", "one", FIRST)
+    rows = alpha(spark, tmp_path / "docs", state)
+    first = rows.limit(1)
+    keys = ["abc", "xyz", "12x", "7", "7", None, None]
+    batch = first.drop("interaction_id").crossJoin(spark.createDataFrame([(k,) for k in keys], "interaction_id string"))
+    landed = ingest.land(batch.select(rows.columns), ALPHA)
+    assert sorted(str(r.interaction_id) for r in landed.collect()) == ["7", "None", "None", "None", "None"]

@@ -7,6 +7,7 @@ import pytest
 import __spark_entry__ as entry_point
 from tidemark.checks import carriers as c
 from tidemark.checks import merges, reports, scalars
+from tidemark.checks.registry import QUERIES
 from tidemark.feeds import ALPHA
 from tidemark.operators import audit, conform, dedup, filters, merge, quality
 from tidemark.plans.ingest import land
@@ -21,7 +22,7 @@ def plan(df) -> str:
 
 
 @pytest.mark.parametrize(
-    "name", sorted(n for n in entry_point.queries() if not n.startswith(WRITING))
+    "name", sorted(n for n in QUERIES if not n.startswith(WRITING))
 )
 def test_no_python_rows_and_no_cross_joins(spark, name):
     text = plan(entry_point.queries()[name](spark, DATA))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,7 +24,13 @@ from tidemark.sources import (
 )
 from tidemark.streaming import ingest as streaming
 
-TIMES = [datetime(2026, 1, 1), datetime(2026, 1, 2)]
+
+def version_time(batch: int) -> datetime:
+    """When the versions of a batch begin: a day after those of the batch before."""
+    return datetime(2026, 1, 1) + timedelta(days=batch)
+
+
+TIMES = [version_time(0), version_time(1)]
 
 
 def _deliver_alpha(spark: SparkSession, sf: str, path: str, batch: int) -> None:
@@ -141,7 +147,7 @@ def _stream_alpha(spark: SparkSession, sf: str, drains: int) -> FeedState:
             ALPHA,
             dims,
             f"{folder}/checkpoint",
-            TIMES.__getitem__,
+            version_time,
         ).awaitTermination()
     return state
 
@@ -182,7 +188,7 @@ def cross_batch_upsert(spark: SparkSession, sf: str) -> DataFrame:
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         rows = parse_xml_records(batch)
-        ingest.ingest_batch(state, BETA, rows, dims, f"beta-{batch_id}", TIMES[batch_id])
+        ingest.ingest_batch(state, BETA, rows, dims, f"beta-{batch_id}", version_time(batch_id))
 
     for delivery in range(len(TIMES)):
         _deliver_beta(spark, sf, f"{folder}/raw", delivery)

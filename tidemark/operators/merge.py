@@ -100,7 +100,7 @@ def join_stage_to_fact(
     stage: DataFrame, fact: DataFrame, key: str = "source_system_identifier"
 ) -> DataFrame:
     """Stage rows marked UPDATE when an active fact holds their identifier, else INSERT."""
-    held = filter_active(fact).select(key, F.lit(True).alias("_held"))
+    held = filter_active(fact).select(key, F.lit(True).alias("_held")).distinct()
     kind = F.when(F.col("_held").isNotNull(), "UPDATE").otherwise("INSERT")
     return stage.join(held, key, "left").withColumn("merge_type", kind).drop("_held")
 

@@ -15,7 +15,6 @@ from tidemark.functions.metrics import interval_epoch_seconds
 from tidemark.operators.conform import LOOKUPS
 from tidemark.operators.filters import filter_success_runs, valid_as_of
 
-RUN_LIMITS = (5, 10, 25, 50, 100)
 
 
 def _rows() -> Column:
@@ -124,18 +123,10 @@ def run_status_counts(states: DataFrame) -> DataFrame:
     )
 
 
-def run_limit(requested: int | str) -> int:
-    """A page size on offer; anything else falls back to the smallest."""
-    try:
-        wanted = int(requested)
-    except ValueError:
-        wanted = 0
-    return wanted if wanted in RUN_LIMITS else RUN_LIMITS[0]
-
-
-def latest_n_runs(history: DataFrame, script: str, n: int | str = 5) -> DataFrame:
+def latest_n_runs(history: DataFrame, script: str, n: int = 5) -> DataFrame:
+    """The ``n`` runs of a script that started last."""
     mine = history.where(F.col("script_name") == script)
-    return mine.orderBy(F.desc("start_time"), F.desc("run_id")).limit(run_limit(n))
+    return mine.orderBy(F.desc("start_time"), F.desc("run_id")).limit(n)
 
 
 def order_runs_desc(metrics: DataFrame) -> DataFrame:

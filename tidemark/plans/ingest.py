@@ -73,10 +73,16 @@ class StageFailed(RuntimeError):
 
 
 def land(batch: DataFrame, spec: FeedSpec) -> DataFrame:
-    """Hash the raw rows and keep one per natural key."""
+    """Hash the raw rows and keep one per natural key.
+
+    Keys that cannot be read stay apart by their text, although all become NULL; only rows
+    without any key form one group.
+    """
     hashed = batch.withColumn("hash_key", row_hash(list(spec.hash_columns)))
-    keyed = hashed.withColumn(spec.natural_key, cast_numeric(spec.natural_key, "bigint"))
-    kept = dedup_by_rank(keyed, spec.natural_key, [r() for r in spec.rank])
+    read = cast_numeric(spec.natural_key, "bigint")
+    unread = F.when(read.isNull(), F.col(spec.natural_key).cast("string"))
+    keyed = hashed.withColumns({"_unread": unread, spec.natural_key: read})
+    kept = dedup_by_rank(keyed, [spec.natural_key, "_unread"], [r() for r in spec.rank])
     return kept.select(spec.position, *spec.hash_columns, "hash_key")
 
 
@@ -96,11 +102,11 @@ def _rewrite(
 ) -> DataFrame:
     """New content of the touched buckets, and the versions closed on the way.
 
-    ``keys`` has each identifier to close once. The left side is never replicated,
+    ``keys`` may repeat an identifier, as rows without a readable key share one. The left side is never replicated,
     and when the batch is small Spark broadcasts it and the store is not shuffled for
     the join.
     """
-    hit = keys.select(IDENTIFIER, F.lit(True).alias("_hit"))
+    hit = keys.select(IDENTIFIER, F.lit(True).alias("_hit")).distinct()
     matched = F.col("_hit").isNotNull()
     stamped = active.join(hit, IDENTIFIER, "left").withColumns(
         {

@@ -52,10 +52,11 @@ class Commit:
     source_checkpoint: int | None = None
     last_ids: dict[str, int] = field(default_factory=dict)
     buckets: dict[tuple[str, int], int] = field(default_factory=dict)
+    bucket_count: int | None = None
 
     def as_row(self) -> dict:
         entries = [(table, bucket, seq) for (table, bucket), seq in sorted(self.buckets.items())]
-        return {"last_ids": self.last_ids, "buckets": entries}
+        return {"last_ids": self.last_ids, "buckets": entries, "bucket_count": self.bucket_count}
 
 
 class FeedState:
@@ -70,17 +71,24 @@ class FeedState:
     # -- commits ---------------------------------------------------------------
 
     def latest(self) -> Commit:
-        """The last published commit. Only the newest commit file is opened."""
+        """The last published commit. Only the newest commit file is opened.
+
+        Rows lie by a hash modulo the number of buckets, so a feed stored with another
+        number cannot be read or continued with this one.
+        """
         published = matching_paths(self.spark, f"{self.folder}/commits/*/*.json")
         if not published:
-            return Commit()
+            return Commit(bucket_count=self.bucket_count)
         row = self.spark.read.schema(COMMIT).json(published[-1]).first()
+        if row.bucket_count not in (None, self.bucket_count):
+            raise ValueError(f"{self.source} is stored in {row.bucket_count} buckets, not {self.bucket_count}")
         return Commit(
             row.dag_run_id,
             row.run_key,
             row.source_checkpoint,
             dict(row.last_ids),
             {(b.table, b.bucket): b.seq for b in row.buckets},
+            self.bucket_count,
         )
 
     def publish(self, run: DataFrame, seq: int) -> None:

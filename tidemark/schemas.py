@@ -89,5 +89,6 @@ COMMIT = T.StructType(
         T.StructField("trail", T.ArrayType(TRAIL)),
         T.StructField("last_ids", T.MapType(T.StringType(), T.LongType())),
         T.StructField("buckets", T.ArrayType(struct("table string, bucket int, seq bigint"))),
+        T.StructField("bucket_count", T.IntegerType()),
     ]
 )

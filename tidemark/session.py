@@ -28,12 +28,13 @@ def get_session(app: str = "tidemark", cores: int | str = "*", **conf: str) -> S
 
 
 def work_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder every executor can reach, below ``spark.checkpoint.dir``.
+    """A fresh folder every executor can reach, below ``spark.checkpoint.dir``
+    or, where that is unset, the context's checkpoint folder.
 
     A machine-local folder is used only when the setting is absent and the session
     is local; on a cluster a missing setting is an error.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")

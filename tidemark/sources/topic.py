@@ -48,13 +48,18 @@ def scan_topic_since(
 
 
 def parse_xml_records(messages: DataFrame) -> DataFrame:
-    """One XML record per message to text fields; blank or absent is NULL.
+    """One XML record per message to text fields, padding kept; blank or absent is NULL.
 
     Text that is not XML gives all-NULL fields and keeps the text in
     ``_corrupt_record``, for the caller to set aside.
     """
     schema = T.StructType([*BETA_RECORD.fields, T.StructField(CORRUPT, T.StringType())])
-    options = {"mode": "PERMISSIVE", "nullValue": "", "columnNameOfCorruptRecord": CORRUPT}
+    options = {
+        "mode": "PERMISSIVE",
+        "nullValue": "",
+        "ignoreSurroundingSpaces": "false",
+        "columnNameOfCorruptRecord": CORRUPT,
+    }
     record = F.from_xml("value", schema.simpleString(), options)
     parsed = messages.select(F.col("offset").alias("topic_offset"), record.alias("r"))
     fields = [(F.col(f"r.{n}"), n.lower()) for n in BETA_RECORD.names]

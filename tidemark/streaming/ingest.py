@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from tidemark.feeds import FeedSpec
 from tidemark.plans.ingest import ingest_batch
@@ -14,14 +15,25 @@ from tidemark.plans.state import FeedState
 from tidemark.schemas import ALPHA_DOCUMENT, TOPIC_MESSAGE
 
 
-def document_stream(spark: SparkSession, folder: str, files_per_batch: int = 100) -> DataFrame:
-    reader = spark.readStream.schema(ALPHA_DOCUMENT).option("maxFilesPerTrigger", files_per_batch)
-    return reader.json(folder)
+def _reader(spark: SparkSession, schema: StructType, files_per_batch: int | None):
+    """A delivery is one micro-batch, unless the caller caps its files.
+
+    A cap splits deliveries, and each part then gets versions of its own.
+    """
+    reader = spark.readStream.schema(schema)
+    return reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader
+
+
+def document_stream(
+    spark: SparkSession, folder: str, files_per_batch: int | None = None
+) -> DataFrame:
+    return _reader(spark, ALPHA_DOCUMENT, files_per_batch).json(folder)
 
 
-def message_stream(spark: SparkSession, folder: str, files_per_batch: int = 100) -> DataFrame:
-    reader = spark.readStream.schema(TOPIC_MESSAGE).option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(folder)
+def message_stream(
+    spark: SparkSession, folder: str, files_per_batch: int | None = None
+) -> DataFrame:
+    return _reader(spark, TOPIC_MESSAGE, files_per_batch).parquet(folder)
 
 
 def stream_ingest(
