@@ -73,8 +73,9 @@ def line_sets(docs: DataFrame) -> DataFrame:
 
     # Distinct by hash: sets are told apart on their words where a pair is verified.
     distinct = F.array_distinct(hashes(_words(F.col("string"))))
-    keyed = lines.select("doc_id", "doc", "line", F.sort_array(F.transform(distinct, key)).alias("keys"))
-    keyed = keyed.where(F.size("keys") > 0)
+    # Exploding one array of keys makes it once, although many columns use it.
+    keys = F.explode(F.array(F.sort_array(F.transform(distinct, key)))).alias("keys")
+    keyed = lines.select("doc_id", "doc", "line", keys).where(F.size("keys") > 0)
     n = F.size("keys")
     bit = lambda k: F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))
     return keyed.select(
@@ -130,7 +131,7 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
         .where(passes(bitmap, F.col("doc")))
         .select("doc", F.posexplode(F.split("text", "\n")).alias("line", "string"))
         .join(wanted, ["doc", "line"])
-        .select("doc", "line", F.array_distinct(_words(F.col("string"))).alias("words"))
+        .select("doc", "line", F.explode(F.array(F.array_distinct(_words(F.col("string"))))).alias("words"))
         .where(F.size("words") > 0)
     )
     both = (
