@@ -73,9 +73,11 @@ def line_sets(docs: DataFrame) -> DataFrame:
 
     # Distinct by hash: sets are told apart on their words where a pair is verified.
     distinct = F.array_distinct(hashes(_words(F.col("string"))))
-    # Exploding one array of keys makes it once, although many columns use it.
-    keys = F.explode(F.array(F.sort_array(F.transform(distinct, key)))).alias("keys")
-    keyed = lines.select("doc_id", "doc", "line", keys).where(F.size("keys") > 0)
+    made = lines.select("doc_id", "doc", "line", F.sort_array(F.transform(distinct, key)).alias("made"))
+    # Exploding one array of keys makes it once, although many columns use it. It comes after
+    # a projection of its own, so that no row carries the table of ranks.
+    keyed = made.select("doc_id", "doc", "line", F.explode(F.array("made")).alias("keys"))
+    keyed = keyed.where(F.size("keys") > 0)
     n = F.size("keys")
     bit = lambda k: F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))
     return keyed.select(
