@@ -7,27 +7,37 @@ least ``SIMILARITY`` share a word among the first few (prefix filter), have near
 (position filter); a parity bitmap of the words bounds the overlap as well. Pairs left are
 verified on their words.
 
+The place of a word in a set bounds the sizes of the sets that can share it: its ``reach``.
+Words of a prefix that no other set of fitting size and reach has are dropped before sets
+are compared.
+
 A set is removed if any earlier set is similar. So that groups of near copies do not meet
-in all pairs, each set is first compared with the earliest set of each of its prefix words;
-only sets not removed by that are compared with all earlier ones.
+in all pairs, each set is first compared with the earliest set of its size at each of its
+prefix words; only sets not removed by that are compared with all earlier ones.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACES, hashes, passes, sieve, stored, table_of
+from tidemark.llm.common import SPACES, any_of, hashes, passes, sieve, stored, table_of
 
 # Similarity as a fraction: 4/5 = 0.8.
 NUMERATOR, DENOMINATOR = 4, 5
 RARITY_SLOTS = 1 << 19
-RARITY_BITS, HASH_BITS = 16, 47
+HASH_BITS = 47
+# Ranks run from 0 to 64000. Words of at least this rank are 1/4096 of all words or more.
+TOP_RANK, HEAVY_RANK = 64_000, 52_000
 LAST = (1 << 63) - 1
 
 
 def _words(line: Column) -> Column:
-    return F.array_remove(F.split(F.lower(line), SPACES), "")
+    """Words of a line without line feeds. Most lines hold no white space but blanks."""
+    other = any_of([F.contains(line, F.lit(c)) for c in "\t\x0b\x0c\r"])
+    return F.array_remove(F.when(other, F.split(F.lower(line), SPACES)).otherwise(F.split(F.lower(line), " ")), "")
 
 
 def _slot(word_hash: Column) -> Column:
@@ -35,25 +45,33 @@ def _slot(word_hash: Column) -> Column:
 
 
 def rarity(docs: DataFrame) -> Column:
-    """How frequent the words of each hash slot are, as 1000 log2: an array of fixed size.
+    """How frequent the words of each hash slot are: an array of fixed size.
 
-    Counted over all documents. Words that share a slot share its count: any order of the
-    words gives the same result, a better one only fewer candidates.
+    64000 + 1000 log2 of their share of all words, in the high bits of a long. Counted over
+    all documents. Words that share a slot share its count: any order of the words gives
+    the same result, a better one only fewer candidates.
     """
-    spread = docs.where("text is not null").select(F.explode(_words(F.col("text"))).alias("w"))
-    counted = spread.groupBy(_slot(F.xxhash64("w")).alias("slot")).agg(F.count("*").alias("n"))
-    scaled = counted.select("slot", F.round(F.log2(F.col("n").cast("double")) * 1000).alias("value"))
-    return table_of(scaled, RARITY_SLOTS, "int")
+    flat = F.replace(F.col("text"), F.lit("\n"), F.lit(" "))
+    spread = docs.where("text is not null").select(F.explode(_words(flat)).alias("w"))
+    counted = spread.groupBy(_slot(F.xxhash64("w")).alias("slot")).agg(F.count("*").cast("double").alias("n"))
+    share = F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(0)))
+    rank = F.round(TOP_RANK + F.log2(share) * 1000).cast("long")
+    return table_of(counted.select("slot", F.shiftleft(rank, HASH_BITS).alias("value")), RARITY_SLOTS, "long")
 
 
 def _short(key: Column) -> Column:
-    """31 bits of a key: words that share them only make more candidates."""
-    return key.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
+    """31 bits of a key, negative for frequent words: words that share them only make more candidates."""
+    low = key.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
+    return F.when(key >= F.lit(HEAVY_RANK << HASH_BITS), F.bitwise_not(low)).otherwise(low)
 
 
-def overlap_needed(n: Column, m: Column) -> Column:
-    """Least number of common words of similar sets with n and m words."""
-    return F.ceil((n + m) * NUMERATOR / F.lit(float(NUMERATOR + DENOMINATOR)) - 1e-9)
+def reach(n: Column, at: Column) -> Column:
+    """Largest size of a similar set that shares the word at place ``at`` of ``n`` as first word.
+
+    From there on at most n - at words are common, and similar sets of n and m words have
+    NUMERATOR / (NUMERATOR + DENOMINATOR) of n + m in common at least.
+    """
+    return F.floor((n * DENOMINATOR - at * (NUMERATOR + DENOMINATOR)) / F.lit(float(NUMERATOR))).cast("int")
 
 
 def prefix_length(n: Column) -> Column:
@@ -62,26 +80,25 @@ def prefix_length(n: Column) -> Column:
 
 
 def line_sets(docs: DataFrame) -> DataFrame:
-    """doc_id, doc (null as the last), line, and of its set: s1, s2, n, parity, prefix."""
+    """doc (doc_id, null as the last), line, and of its set: s1, s2, n, parity, prefix."""
     lines = docs.where("text is not null").select(
-        "doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.posexplode(F.split("text", "\n")).alias("line", "string")
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.posexplode(F.split("text", "\n")).alias("line", "string")
     ).withColumn("ranks", rarity(docs))
 
     def key(h: Column) -> Column:
-        high = F.shiftleft(F.get(F.col("ranks"), _slot(h).cast("int")).cast("long"), HASH_BITS)
-        return high.bitwiseOR(h.bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
+        rank = F.get(F.col("ranks"), _slot(h).cast("int"))
+        return rank.bitwiseOR(h.bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
 
     # Distinct by hash: sets are told apart on their words where a pair is verified.
     distinct = F.array_distinct(hashes(_words(F.col("string"))))
-    made = lines.select("doc_id", "doc", "line", F.sort_array(F.transform(distinct, key)).alias("made"))
+    made = lines.select("doc", "line", F.sort_array(F.transform(distinct, key)).alias("made"))
     # Exploding one array of keys makes it once, although many columns use it. It comes after
     # a projection of its own, so that no row carries the table of ranks.
-    keyed = made.select("doc_id", "doc", "line", F.explode(F.array("made")).alias("keys"))
+    keyed = made.select("doc", "line", F.explode(F.array("made")).alias("keys"))
     keyed = keyed.where(F.size("keys") > 0)
     n = F.size("keys")
     bit = lambda k: F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))
     return keyed.select(
-        "doc_id",
         "doc",
         "line",
         F.xxhash64("keys").alias("s1"),
@@ -92,50 +109,71 @@ def line_sets(docs: DataFrame) -> DataFrame:
     )
 
 
-def _postings(sets: DataFrame) -> DataFrame:
-    return sets.select("doc", "line", "n", "parity", F.posexplode("prefix").alias("at", "key"))
+def _may_match(a: Callable[[str], Column], b: Callable[[str], Column]) -> Column:
+    """Filters on two postings of one word; a is the earlier set."""
+    earlier = (a("doc") < b("doc")) | ((a("doc") == b("doc")) & (a("line") < b("line")))
+    sizes = (a("n") <= b("reach")) & (b("n") <= a("reach"))
+    both = a("n") + b("n")
+    differing = F.bit_count(a("parity").bitwiseXOR(b("parity")))
+    # Twice the common words, for each of which the needed share of both sizes.
+    common = (both - differing) * (NUMERATOR + DENOMINATOR) >= both * (2 * NUMERATOR)
+    return earlier & sizes & common
 
 
-def _may_match(a: str, b: str) -> Column:
-    """Filters on two postings of one word; a is the earlier set."""
-    col = lambda side, name: F.col(f"{side}.{name}")
-    n, m = col(a, "n"), col(b, "n")
-    need = overlap_needed(n, m)
-    earlier = (col(a, "doc") < col(b, "doc")) | ((col(a, "doc") == col(b, "doc")) & (col(a, "line") < col(b, "line")))
-    sizes = (n * DENOMINATOR >= m * NUMERATOR) & (m * DENOMINATOR >= n * NUMERATOR)
-    position = F.least(n - col(a, "at"), m - col(b, "at")) >= need
-    differing = F.bit_count(col(a, "parity").bitwiseXOR(col(b, "parity")))
-    return earlier & sizes & position & ((n + m - differing) >= 2 * need)
+ENTRY = ["doc", "line", "n", "reach", "parity"]
 
 
-PAIR = ["doc", "line", "other_doc", "other_line"]
+def postings(sets: DataFrame) -> DataFrame:
+    """The prefix words that may join a set to another: key, ENTRY, and lead_doc, lead_line.
+
+    The last two name the earliest set of the same size and word where it may be similar,
+    else they are null. Few words are frequent; their postings are all kept and meet their
+    leads by a join, since a window would gather each such word in one task.
+    """
+    spread = lambda found: found.select("doc", "line", "n", "parity", F.posexplode("prefix").alias("at", "key")).select(
+        "key", "doc", "line", "n", reach(F.col("n"), F.col("at")).alias("reach"), "parity"
+    )
+    by_size = Window.partitionBy("key").orderBy("n", "doc", "line")
+    same_size = Window.partitionBy("key", "n").orderBy("doc", "line")
+    rare = spread(sets).where("key >= 0").select(
+        "*",
+        F.lead("n").over(by_size).alias("next_n"),
+        F.max("reach").over(by_size.rowsBetween(Window.unboundedPreceding, -1)).alias("reached"),
+        F.first(F.struct(*ENTRY)).over(same_size.rowsBetween(Window.unboundedPreceding, 0)).alias("lead"),
+    )
+    # The next larger set is within reach, or a smaller one reaches this.
+    rare = rare.where("next_n <= reach or reached >= n").select("key", *ENTRY, "lead")
+    frequent = spread(sets.where(F.array_min("prefix") < 0)).where("key < 0")
+    leads = frequent.groupBy("key", "n").agg(F.min(F.struct(*ENTRY)).alias("lead"))
+    met = rare.unionByName(frequent.join(leads, ["key", "n"]))
+    led = _may_match(lambda c: F.col(f"lead.{c}"), F.col)
+    return met.select(
+        "key", *ENTRY, F.when(led, F.col("lead.doc")).alias("lead_doc"), F.when(led, F.col("lead.line")).alias("lead_line")
+    )
 
 
-def _pairs(matched: DataFrame, a: str, b: str) -> DataFrame:
-    return matched.select(
-        F.col(f"{b}.doc").alias("doc"),
-        F.col(f"{b}.line").alias("line"),
-        F.col(f"{a}.doc").alias("other_doc"),
-        F.col(f"{a}.line").alias("other_line"),
-    ).distinct()
+PAIR = ["doc", "line", "other_doc", "other_line"]
 
 
 def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """(doc, line) of those pairs whose whole word sets are similar."""
     other = pairs.select(F.col("other_doc").alias("doc"), F.col("other_line").alias("line"))
     wanted = stored(pairs.select("doc", "line").union(other).distinct(), "lines-wanted")
-    bitmap = sieve(wanted, "doc")
+    in_doc = sieve(wanted, "doc")
+    at_line = sieve(wanted.select(F.xxhash64("doc", "line").alias("place")), "place")
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
     # Only documents that may hold a wanted line are taken apart again.
     lines = (
         docs.where("text is not null")
         .select(doc.alias("doc"), "text")
-        .where(passes(bitmap, F.col("doc")))
+        .where(passes(in_doc, F.col("doc")))
         .select("doc", F.posexplode(F.split("text", "\n")).alias("line", "string"))
+        .where(passes(at_line, F.xxhash64("doc", "line")))
         .join(wanted, ["doc", "line"])
         .select("doc", "line", F.explode(F.array(F.array_distinct(_words(F.col("string"))))).alias("words"))
         .where(F.size("words") > 0)
     )
+    lines = stored(lines, "lines-compared")
     both = (
         pairs.join(lines, ["doc", "line"])
         .join(lines.toDF("other_doc", "other_line", "others"), ["other_doc", "other_line"])
@@ -146,30 +184,32 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, doc and line of every line to remove."""
+    """doc and line of every line to remove; doc is doc_id, null as the last."""
     rows = stored(line_sets(docs), "line-rows")
     group = ["s1", "s2", "n", "parity"]
     sets = stored(
         rows.groupBy(*group)
-        .agg(F.min(F.struct("doc", "line")).alias("first"), F.first("prefix").alias("prefix"))
-        .select("first.doc", "first.line", *group, "prefix"),
+        .agg(F.min(F.struct("doc", "line")).alias("first"), F.first("prefix").alias("prefix"), F.count("*").alias("copies"))
+        .select("first.doc", "first.line", *group, "prefix", "copies"),
         "line-sets",
     )
-    posted = _postings(sets)
-    in_order = Window.partitionBy("key").orderBy("doc", "line")
-    entry = F.struct("doc", "line", "n", "parity", "at")
-    led = posted.select(entry.alias("b"), F.first(entry).over(in_order).alias("a"))
-    firsts = stored(_pairs(led.where(_may_match("a", "b")), "a", "b"), "line-leaders")
+    posted = stored(postings(sets), "line-postings")
+    to_lead = posted.where("lead_doc is not null")
+    firsts = stored(to_lead.select("doc", "line", "lead_doc", "lead_line").distinct().toDF(*PAIR), "line-leaders")
     by_first = stored(verified(docs, firsts), "line-matched")
-    left = sets.join(by_first, ["doc", "line"], "left_anti")
-    met = _postings(left).alias("b").join(posted.alias("a"), (F.col("a.key") == F.col("b.key")) & _may_match("a", "b"))
-    rest = stored(_pairs(met, "a", "b").join(firsts, PAIR, "left_anti"), "line-rest")
+    left = posted.join(by_first, ["doc", "line"], "left_anti").alias("b")
+    side = lambda name: lambda c: F.col(f"{name}.{c}")
+    met = left.join(posted.alias("a"), (F.col("a.key") == F.col("b.key")) & _may_match(side("a"), side("b")))
+    pairs = met.select("b.doc", "b.line", "a.doc", "a.line").toDF(*PAIR).distinct()
+    rest = stored(pairs.join(firsts, PAIR, "left_anti"), "line-rest")
     gone = by_first.union(verified(docs, rest)).withColumn("gone", F.lit(True))
-    judged = sets.join(gone, ["doc", "line"], "left").select(
-        *group, F.col("doc").alias("first_doc"), F.col("line").alias("first_line"), "gone"
+    judged = (
+        sets.join(gone, ["doc", "line"], "left")
+        .where("gone or copies > 1")
+        .select(*group, F.col("doc").alias("first_doc"), F.col("line").alias("first_line"), "gone")
     )
     first = (F.col("doc") == F.col("first_doc")) & (F.col("line") == F.col("first_line"))
-    return rows.join(judged, group).where(F.coalesce("gone", F.lit(False)) | ~first).select("doc_id", "doc", "line")
+    return rows.join(judged, group).where(F.coalesce("gone", F.lit(False)) | ~first).select("doc", "line")
 
 
 def line_report(docs: DataFrame) -> DataFrame:
