@@ -117,6 +117,23 @@ def test_replayed_and_empty_batches_change_nothing(run_alpha):
     assert rows(ingest.fact_versions(state)) == before and state.latest().seq == 1
 
 
+def test_an_older_run_key_is_not_applied_again(run_alpha):
+    state, step = run_alpha
+    step("run-1", FIRST, T1)
+    assert step("run-2", SECOND, T2).seq == 2
+    after = rows(ingest.fact_versions(state))
+    again = step("run-1", [document(8, 1, RATING=5)], T3)
+    assert again == ingest.BatchResult(1, checkpoint=state.latest().source_checkpoint, replayed=True)
+    assert rows(ingest.fact_versions(state)) == after and state.latest().seq == 2
+
+
+def test_a_published_number_is_refused(run_alpha):
+    state, step = run_alpha
+    step("run-1", FIRST, T1)
+    with pytest.raises(RuntimeError, match="already published"):
+        state.publish(state.commits(), 1, "other")
+
+
 def test_redelivered_batch_is_all_duplicates(run_alpha):
     state, step = run_alpha
     step("run-1", FIRST, T1)

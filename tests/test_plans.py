@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 from tidemark.checks import carriers as c
@@ -14,7 +15,7 @@ from tidemark.plans.ingest import land
 from tidemark.sources import seeds
 
 DATA = "/root/testdata/sf0.001"
-WRITING = ("scan_", "sink_", "ingest_", "stream_", "exactly_once", "cross_batch")
+WRITING = ("scan_", "sink_", "ingest_", "replayed_", "stream_", "exactly_once", "cross_batch")
 
 
 def plan(df) -> str:
@@ -57,6 +58,27 @@ def test_small_dimensions_are_broadcast_by_their_size(spark, dims):
     assert "SortMergeJoin" not in text and text.count("BroadcastHashJoin") >= 3
 
 
+def test_a_small_landing_does_not_shuffle_the_store(spark, tmp_path):
+    ids = F.col("id")
+    active = spark.range(400_000).select(
+        ids.alias("k"), ids.alias("prs_record_id"), F.sha2(ids.cast("string"), 256).alias("hash_key"), F.lit(True).alias("is_active")
+    )
+    active.write.parquet(str(tmp_path / "store"))
+    spark.range(399_950, 400_050).select(ids.alias("k"), F.lit("h").alias("hash_key")).write.parquet(str(tmp_path / "landing"))
+    store, landed = (spark.read.parquet(str(tmp_path / name)) for name in ("store", "landing"))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1m")
+    try:
+        found = merge.merge_classify(landed, store, "k")
+        assert found.groupBy("merge_type").count().collect()
+        text = plan(found)
+        counts = {r.merge_type: r["count"] for r in found.groupBy("merge_type").count().collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "BroadcastHashJoin [k#" in text and "LeftSemi, BuildRight" in text
+    assert counts == {"UPDATE": 50, "INSERT": 50}
+
+
 def test_growing_lookups_are_not_forced_into_memory(spark):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1KB")

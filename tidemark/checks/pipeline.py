@@ -129,6 +129,15 @@ def ingest_batch_gamma(spark: SparkSession, sf: str) -> DataFrame:
     return _without_ids(ingest.fact_versions(two_batches(spark, sf, "gamma")))
 
 
+@check("replayed_run_key", fact_sql("alpha"))
+def replayed_run_key(spark: SparkSession, sf: str) -> DataFrame:
+    """The first run's key once more, with the whole feed, after two batches: nothing changes."""
+    state = two_batches(spark, sf, "alpha")
+    again = rename_columns(c.carrier(spark, sf, c.alpha))
+    ingest.ingest_batch(state, ALPHA, again, seeds.dimensions(spark), "alpha-0", version_time(2))
+    return _without_ids(ingest.fact_versions(state))
+
+
 # -- streaming -----------------------------------------------------------------
 
 

@@ -20,12 +20,14 @@ def join_landing_to_active(
 ) -> DataFrame:
     """Landing rows with the active stored version of their key, if any.
 
-    Only the version's id and hash are taken, so only those columns are scanned. A
-    NULL key matches nothing.
+    Only the version's id and hash are taken, so only those columns are scanned. The
+    store is first cut to the landed keys: a landing that Spark measures to be small is
+    broadcast for that, so the store is not shuffled. A NULL key matches nothing.
     """
     stored = filter_active(active).select(
         F.col(key), F.col(record_id), F.col("hash_key").alias("prs_hash_key")
     )
+    stored = stored.join(landing.select(key), key, "left_semi")
     return landing.withColumnRenamed("hash_key", "lnd_hash_key").join(stored, key, "left")
 
 
@@ -100,7 +102,8 @@ def join_stage_to_fact(
     stage: DataFrame, fact: DataFrame, key: str = "source_system_identifier"
 ) -> DataFrame:
     """Stage rows marked UPDATE when an active fact holds their identifier, else INSERT."""
-    held = filter_active(fact).select(key, F.lit(True).alias("_held")).distinct()
+    met = filter_active(fact).select(key).join(stage.select(key), key, "left_semi")
+    held = met.distinct().withColumn("_held", F.lit(True))
     kind = F.when(F.col("_held").isNotNull(), "UPDATE").otherwise("INSERT")
     return stage.join(held, key, "left").withColumn("merge_type", kind).drop("_held")
 

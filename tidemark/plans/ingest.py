@@ -268,7 +268,7 @@ class _Run:
         known = T.StructType([f for f in COMMIT.fields if f.name in row])
         values = [tuple(row[name] for name in known.names)]
         run = audit.close_counted(self.state.spark.createDataFrame(values, known), finished)
-        self.state.publish(run, self.seq)
+        self.state.publish(run, self.seq, self.run_key)
 
 
 def _wall_clock() -> datetime:
@@ -287,11 +287,12 @@ def ingest_batch(
     """Take one batch through every layer and publish the result.
 
     ``as_of`` stamps every version the batch opens or closes. A batch whose run key was
-    the last to be published is not applied again. An empty batch changes nothing.
+    published before, by whichever run, is not applied again. An empty batch changes nothing.
     """
     before = state.latest()
-    if before.run_key == run_key:
-        return BatchResult(before.seq, checkpoint=before.source_checkpoint, replayed=True)
+    applied = state.published_as(run_key)
+    if applied is not None:
+        return BatchResult(applied, checkpoint=before.source_checkpoint, replayed=True)
     if batch.isEmpty():
         return BatchResult(0, checkpoint=before.source_checkpoint)
 

@@ -15,6 +15,7 @@ Where a table format with MERGE is installed, this module is the part to replace
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +35,10 @@ def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(status.getPath().toString() for status in found or [])
 
 
+def _digest(run_key: str) -> str:
+    return hashlib.sha256(run_key.encode()).hexdigest()
+
+
 def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """No rows, in a form the optimizer knows to be empty, so that joins with it vanish."""
     nothing = spark.range(1).where(F.lit(False))
@@ -91,10 +96,21 @@ class FeedState:
             self.bucket_count,
         )
 
-    def publish(self, run: DataFrame, seq: int) -> None:
-        """Write the commit row: one file, so it is there whole or not at all."""
+    def publish(self, run: DataFrame, seq: int, run_key: str) -> None:
+        """Write the commit row: one file, so it is there whole or not at all.
+
+        Its folder is named after the number and the run key. A number that another
+        writer has published is refused.
+        """
+        if matching_paths(self.spark, f"{self.folder}/commits/{seq:012d}-*/*.json"):
+            raise RuntimeError(f"batch {seq} of {self.source} is already published")
         row = run.select(COMMIT.names).coalesce(1)
-        row.write.mode("overwrite").json(f"{self.folder}/commits/{seq:012d}")
+        row.write.mode("overwrite").json(f"{self.folder}/commits/{seq:012d}-{_digest(run_key)}")
+
+    def published_as(self, run_key: str) -> int | None:
+        """The number under which a run key was published, by the names of commits alone."""
+        found = matching_paths(self.spark, f"{self.folder}/commits/*-{_digest(run_key)}/*.json")
+        return int(found[0].split("/")[-2].split("-")[0]) if found else None
 
     def commits(self) -> DataFrame:
         """Every published commit row."""
