@@ -12,8 +12,9 @@ Words of a prefix that no other set of fitting size and reach has are dropped be
 are compared.
 
 A set is removed if any earlier set is similar. So that groups of near copies do not meet
-in all pairs, each set is first compared with the earliest set of its size at each of its
-prefix words; only sets not removed by that are compared with all earlier ones.
+in all pairs, each set is first compared with one lead: of the earliest sets of its size at
+each of its prefix words, the one that leads most of them. Only sets not removed by that are
+compared with all earlier ones.
 """
 
 from __future__ import annotations
@@ -170,17 +171,20 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
         .select("doc", F.posexplode(F.split("text", "\n")).alias("line", "string"))
         .where(passes(at_line, F.xxhash64("doc", "line")))
         .join(wanted, ["doc", "line"])
-        .select("doc", "line", F.explode(F.array(F.array_distinct(_words(F.col("string"))))).alias("words"))
-        .where(F.size("words") > 0)
     )
+    # Lines travel as strings, a fraction of the size of their word arrays.
     lines = stored(lines, "lines-compared")
-    both = (
-        pairs.join(lines, ["doc", "line"])
-        .join(lines.toDF("other_doc", "other_line", "others"), ["other_doc", "other_line"])
-        .withColumn("common", F.size(F.array_intersect("words", "others")))
+    both = pairs.join(lines, ["doc", "line"]).join(
+        lines.toDF("other_doc", "other_line", "other"), ["other_doc", "other_line"]
     )
-    union = F.size("words") + F.size("others") - F.col("common")
-    return both.where(F.col("common") * DENOMINATOR >= union * NUMERATOR).select("doc", "line").distinct()
+    # Exploding one array makes it once, although the test uses it several times.
+    sets = F.struct(*(F.array_distinct(_words(F.col(c))).alias(c) for c in ("string", "other")))
+    met = both.select("doc", "line", F.explode(F.array(sets)).alias("w")).select(
+        "doc", "line", F.size("w.string").alias("n"), F.size("w.other").alias("m"),
+        F.size(F.array_intersect("w.string", "w.other")).alias("common"),
+    )
+    similar = F.col("common") * DENOMINATOR >= (F.col("n") + F.col("m") - F.col("common")) * NUMERATOR
+    return met.where((F.col("common") > 0) & similar).select("doc", "line").distinct()
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
@@ -194,8 +198,11 @@ def removed_lines(docs: DataFrame) -> DataFrame:
         "line-sets",
     )
     posted = stored(postings(sets), "line-postings")
-    to_lead = posted.where("lead_doc is not null")
-    firsts = stored(to_lead.select("doc", "line", "lead_doc", "lead_line").distinct().toDF(*PAIR), "line-leaders")
+    # Of the leads of a set, the one it shares most prefix words with; one shuffle serves both steps.
+    leads = posted.where("lead_doc is not null").select("doc", "line", "lead_doc", "lead_line").toDF(*PAIR)
+    shared = leads.repartition("doc", "line").groupBy(*PAIR).agg(F.count("*").alias("words"))
+    best = shared.groupBy("doc", "line").agg(F.max(F.struct("words", "other_doc", "other_line")).alias("lead"))
+    firsts = stored(best.select("doc", "line", "lead.other_doc", "lead.other_line"), "line-leaders")
     by_first = stored(verified(docs, firsts), "line-matched")
     left = posted.join(by_first, ["doc", "line"], "left_anti").alias("b")
     side = lambda name: lambda c: F.col(f"{name}.{c}")
