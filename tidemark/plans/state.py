@@ -102,7 +102,7 @@ class FeedState:
         Its folder is named after the number and the run key. A number that another
         writer has published is refused.
         """
-        if matching_paths(self.spark, f"{self.folder}/commits/{seq:012d}-*/*.json"):
+        if matching_paths(self.spark, f"{self.folder}/commits/{seq:012d}*/*.json"):
             raise RuntimeError(f"batch {seq} of {self.source} is already published")
         row = run.select(COMMIT.names).coalesce(1)
         row.write.mode("overwrite").json(f"{self.folder}/commits/{seq:012d}-{_digest(run_key)}")
