@@ -279,3 +279,61 @@ def test_unreadable_keys_stay_apart(spark, dims, run_alpha, tmp_path):
     batch = first.drop("interaction_id").crossJoin(spark.createDataFrame([(k,) for k in keys], "interaction_id string"))
     landed = ingest.land(batch.select(rows.columns), ALPHA)
     assert sorted(str(r.interaction_id) for r in landed.collect()) == ["7", "None", "None", "None", "None"]
+
+
+def test_rebucketing_keeps_every_row(spark, run_alpha, dims, tmp_path):
+    state, step = run_alpha
+    step("run-1", FIRST, T1)
+    before = rows(ingest.fact_versions(state)), rows(ingest.error_versions(state))
+    stored = rows(ingest.persisted_versions(state, ALPHA))
+    other = state.rebucket(7, T2)
+    with pytest.raises(ValueError, match="7 buckets"):
+        state.latest()
+    assert (rows(ingest.fact_versions(other)), rows(ingest.error_versions(other))) == before
+    assert rows(ingest.persisted_versions(other, ALPHA)) == stored
+    assert rows(ingest.run_log(other), "run_key") == [("run-1",)]
+    write_documents(tmp_path / "docs", "run-2", SECOND)
+    two = ingest.ingest_batch(other, ALPHA, alpha(spark, tmp_path / "docs", other), dims, "run-2", T3)
+    assert (two.seq, two.insert_count, two.update_count, two.duplicate_count) == (3, 1, 2, 1)
+    fact = ingest.fact_versions(other)
+    assert fact.count() == 6 and filter_active(fact).count() == 4
+    assert other.sweep(other.latest()) > 0 and ingest.fact_versions(other).count() == 6
+
+
+def test_an_empty_feed_can_be_rebucketed(spark, tmp_path):
+    state = FeedState(spark, str(tmp_path / "state"), "CLIENT_ALPHA", buckets=4).rebucket(9, T1)
+    assert state.latest().seq == 0 and state.bucket_count == 9
+
+
+def test_failed_and_unfinished_runs_are_in_the_log(run_alpha, monkeypatch):
+    state, step = run_alpha
+    step("run-1", FIRST, T1)
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest._Run, "finalise", lambda *args: 1 / 0)
+        with pytest.raises(ingest.StageFailed):
+            step("run-2", SECOND, T2)
+        patch.setattr(ingest._Run, "cdc_to_stage", lambda self: (_ for _ in ()).throw(KeyboardInterrupt))
+        with pytest.raises(KeyboardInterrupt):
+            step("killed", [], T2)
+    shown = ["run_key", "dag_run_status", "dag_run_id", "batch_count"]
+    assert rows(ingest.run_log(state), *shown) == [
+        ("killed", "STARTED", None, None),
+        ("run-1", "SUCCESS", 1, 3),
+        ("run-2", "FAILED - FINALIZE DAG RUN", None, None),
+    ]
+    assert [r.status for r in ingest.failed_trail(state).where("run_key = 'run-2'").orderBy("seq").collect()][-1] == "FAILED - FINALIZE DAG RUN"
+    step("run-2", [], T2)
+    assert rows(ingest.run_log(state).where("run_key = 'run-2'"), *shown) == [("run-2", "SUCCESS", 2, 4)]
+
+
+def test_what_a_dead_batch_left_is_not_published_by_another(run_alpha, monkeypatch):
+    """The dead batch closed an error version; the batch that gets its number has no errors."""
+    state, step = run_alpha
+    step("run-1", FIRST, T1)
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest._Run, "finalise", lambda *args: 1 / 0)
+        with pytest.raises(ingest.StageFailed):
+            step("run-2", [document(5, 3, AGENT_PSEUDO_NAME="GHOST", RATING=1)], T2)
+    step("run-3", [document(6, 3)], T2)
+    errors = ingest.error_versions(state)
+    assert rows(errors, "source_system_identifier", "is_active") == [("CLIENT_ALPHA-3", True)]

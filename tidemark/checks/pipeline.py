@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.checks import carriers as c
 from tidemark.checks import oracle as o
@@ -93,11 +94,11 @@ def batches_sql(feed: str) -> str:
             FROM ({o.latest(feed, f"NOT ({first})")}) t LEFT JOIN one f ON f.{key} = t.{key})"""
 
 
-def fact_sql(feed: str) -> str:
-    key, (_, name) = o.KEY[feed], o.SOURCE[feed]
+def fact_sql(feed: str, second: int = 2) -> str:
+    """``second`` is the number of the second batch."""
     return f"""WITH {batches_sql(feed)},
     c1 AS ({o.conformed(feed, "SELECT * FROM one", 1)}),
-    c2 AS ({o.conformed(feed, "SELECT * EXCLUDE (merge_type) FROM two WHERE merge_type <> 'DUPLICATE'", 2)}),
+    c2 AS ({o.conformed(feed, "SELECT * EXCLUDE (merge_type) FROM two WHERE merge_type <> 'DUPLICATE'", second)}),
     versions AS (
         SELECT c1.*, c2.source_system_identifier IS NULL AS is_active,
                TIMESTAMP '2026-01-01' AS start_date,
@@ -138,6 +139,75 @@ def replayed_run_key(spark: SparkSession, sf: str) -> DataFrame:
     return _without_ids(ingest.fact_versions(state))
 
 
+@check("rebucket_state", fact_sql("alpha", 3))
+def rebucket_state(spark: SparkSession, sf: str) -> DataFrame:
+    """Two batches with the store laid out in another number of buckets between them."""
+    folder = work_folder(spark, "rebucket")
+    state = FeedState(spark, f"{folder}/state", ALPHA.source, buckets=8)
+    dims = seeds.dimensions(spark)
+    for batch, as_of in enumerate(TIMES):
+        _deliver_alpha(spark, sf, f"{folder}/raw", batch)
+        rows = _scan_alpha(spark, f"{folder}/raw", state)
+        ingest.ingest_batch(state, ALPHA, rows, dims, f"alpha-{batch}", as_of)
+        if batch == 0:
+            state = state.rebucket(5, as_of)
+    return _without_ids(ingest.fact_versions(state))
+
+
+@check(
+    "fact_to_persisted",
+    f"""SELECT source_system_identifier, dag_run_id, start_date, is_active,
+    source_system_identifier AS persisted_identifier, dag_run_id AS persisted_run,
+    start_date AS persisted_start, is_active AS persisted_active FROM ({fact_sql("alpha")}) f""",
+)
+def fact_to_persisted(spark: SparkSession, sf: str) -> DataFrame:
+    """Each version of the fact next to the persisted version its record id names."""
+    state = two_batches(spark, sf, "alpha")
+    stored = ingest.persisted_versions(state, ALPHA).select(
+        F.col("prs_record_id").alias("source_record_id"),
+        F.col("source_system_identifier").alias("persisted_identifier"),
+        F.col("dag_run_id").alias("persisted_run"),
+        F.col("start_date").alias("persisted_start"),
+        F.col("is_active").alias("persisted_active"),
+    )
+    shown = ["source_record_id", "source_system_identifier", "dag_run_id", "start_date", "is_active"]
+    return ingest.fact_versions(state).select(shown).join(stored, "source_record_id").drop("source_record_id")
+
+
+# A first try without agents fails where rows are conformed; its retry is published. The
+# second half fails under one key and is published under another.
+_TRIES = [("alpha-0", False), ("alpha-0", True), ("alpha-1", False), ("alpha-2", True)]
+
+
+@check(
+    "run_log_of_failed_run",
+    f"""WITH {batches_sql("alpha")}
+    SELECT 'alpha-0' AS run_key, 'SUCCESS' AS dag_run_status, CAST(1 AS BIGINT) AS dag_run_id,
+           count(*) AS batch_count, count(*) AS insert_count, CAST(0 AS BIGINT) AS update_count FROM one
+    UNION ALL SELECT 'alpha-1', 'FAILED - CDC TO PRE-DM', NULL, NULL, NULL, NULL
+    UNION ALL SELECT 'alpha-2', 'SUCCESS', 2, count(*), count(*) FILTER (merge_type = 'INSERT'),
+           count(*) FILTER (merge_type = 'UPDATE') FROM two""",
+)
+def run_log_of_failed_run(spark: SparkSession, sf: str) -> DataFrame:
+    folder = work_folder(spark, "failed-run")
+    state = FeedState(spark, f"{folder}/state", ALPHA.source)
+    dims = seeds.dimensions(spark)
+    without_agents = {name: rows for name, rows in dims.items() if name != "agents"}
+    delivered = 0
+    for key, whole in _TRIES:
+        if delivered == state.latest().seq:
+            _deliver_alpha(spark, sf, f"{folder}/raw", delivered)
+            delivered += 1
+        rows = _scan_alpha(spark, f"{folder}/raw", state)
+        try:
+            ingest.ingest_batch(state, ALPHA, rows, dims if whole else without_agents, key, version_time(delivered))
+        except ingest.StageFailed:
+            if whole:
+                raise
+    log = ingest.run_log(state)
+    return log.select("run_key", "dag_run_status", "dag_run_id", "batch_count", "insert_count", "update_count")
+
+
 # -- streaming -----------------------------------------------------------------
 
 

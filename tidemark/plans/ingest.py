@@ -18,20 +18,19 @@ from pyspark.sql import types as T
 from tidemark.feeds import FeedSpec
 from tidemark.functions.keys import bucket_of, row_hash, source_identifier
 from tidemark.functions.metrics import run_duration
-from tidemark.functions.values import cast_numeric, scd_defaults, tag_run, ts_literal
+from tidemark.functions.values import OPEN_END, cast_numeric, scd_defaults, tag_run, ts_literal
 from tidemark.operators import audit
 from tidemark.operators.conform import conform, type_landing
 from tidemark.operators.dedup import dedup_by_rank
 from tidemark.operators.filters import CHANGED, filter_merge_type
 from tidemark.operators.keys import surrogate_key
 from tidemark.operators.merge import merge_classify, merge_counts
-from tidemark.operators.quality import error_rows, validate_required
-from tidemark.plans.state import CLOSED, SLOT, Commit, FeedState
-from tidemark.schemas import COMMIT, RUN_LOG, VERSION_COLUMNS, struct
+from tidemark.operators.quality import error_rows, validate_required, without_match
+from tidemark.plans.state import CLOSED, IDENTIFIER, REBUCKETED, SLOT, Commit, FeedState
+from tidemark.schemas import ATTEMPT, COMMIT, RUN_LOG, VERSION_COLUMNS, struct
 from tidemark.sources.sinks import sink_overwrite
 from tidemark.sources.topic import CORRUPT
 
-IDENTIFIER = "source_system_identifier"
 PERSISTED, FACT, ERRORS = "persisted", "fact", "errors"
 IDS = {PERSISTED: "prs_record_id", FACT: "fact_id", ERRORS: "data_error_id"}
 
@@ -301,8 +300,17 @@ def ingest_batch(
         raise ValueError(f"no source is named {spec.source}")
     run = (source["source_id"], before.seq + 1, run_key)
     stages = _Run(state, spec, dims, before, run, as_of)
+    state.clear(stages.seq)
     started = clock()
     steps: list[tuple[str, datetime]] = [(audit.STARTED, started)]
+    attempt = state.attempt()
+    shown = {"run_key": run_key, "source_id": source["source_id"], "run_start_date": started}
+
+    def note(status: str, ended: datetime) -> None:
+        trail = [(s, at, i) for i, (s, at) in enumerate(steps)]
+        state.note(attempt, shown | {"dag_run_status": status, "run_end_date": ended, "trail": trail})
+
+    note(audit.STARTED, OPEN_END)
     work = [
         lambda: stages.source_to_landing(batch),
         stages.landing_to_persisted,
@@ -310,17 +318,23 @@ def ingest_batch(
         stages.cdc_to_stage,
         stages.stage_to_fact,
     ]
-    for done, stage in enumerate(work):
+
+    def publish() -> None:
+        finished = clock()
+        trail = [(s, at, i) for i, (s, at) in enumerate([*steps, (audit.SUCCESS, finished)])]
+        stages.finalise(started, finished, trail)
+
+    for done, stage in enumerate([*work, publish]):
         try:
             stage()
         except Exception as problem:
             trail = audit.run_status_trail(done, failed=True)
+            steps.append((trail[-1], clock()))
+            note(*steps[-1])
             raise StageFailed(trail[-1], trail) from problem
-        steps.append((audit.run_status_trail(done + 1)[done + 1], clock()))
-    finished = clock()
-    steps.append((audit.SUCCESS, finished))
-    trail = [(status, at, i) for i, (status, at) in enumerate(steps)]
-    stages.finalise(started, finished, trail)
+        if done < len(work):
+            steps.append((audit.run_status_trail(done + 1)[done + 1], clock()))
+    state.forget(attempt)
     return BatchResult(stages.seq, **stages.counts, checkpoint=stages.after.source_checkpoint)
 
 
@@ -340,7 +354,7 @@ def error_versions(state: FeedState) -> DataFrame:
 
 def persisted_versions(state: FeedState, spec: FeedSpec) -> DataFrame:
     commit = state.latest()
-    landing = state.spark.read.parquet(state.batch_path(commit.seq, "landing"))
+    landing = state.spark.read.parquet(state.landings(commit)[-1])
     return state.table(commit, PERSISTED, persisted_schema(type_landing(landing, spec)))
 
 
@@ -351,10 +365,26 @@ def stage_rows(state: FeedState) -> DataFrame:
 
 
 def run_log(state: FeedState) -> DataFrame:
-    runs = state.commits().withColumn("run_duration", run_duration())
-    return runs.select(RUN_LOG.names)
+    """Every published run, and of each other run key its last try, STARTED or FAILED.
+
+    A run gets its number when it is published. A key that failed and was published later
+    is shown as published only.
+    """
+    published = state.commits().where(F.col("dag_run_status") != REBUCKETED)
+    tries = without_match(state.attempts(), published, "run_key")
+    newest = F.max_by(F.struct(*ATTEMPT.names), F.struct("run_start_date", F.size("trail")))
+    last = tries.groupBy("run_key").agg(newest.alias("t")).select("t.*")
+    runs = published.unionByName(last, allowMissingColumns=True)
+    return runs.withColumn("run_duration", run_duration()).select(RUN_LOG.names)
 
 
 def status_trail(state: FeedState) -> DataFrame:
     """Every status of every published run, in order of ``seq``."""
     return state.commits().select("run_key", F.inline("trail"))
+
+
+def failed_trail(state: FeedState) -> DataFrame:
+    """Every status of every try that was not published, with the time the try began."""
+    longest = F.max_by("trail", F.size("trail")).alias("trail")
+    tries = state.attempts().groupBy("run_key", "run_start_date").agg(longest)
+    return tries.select("run_key", "run_start_date", F.inline("trail"))

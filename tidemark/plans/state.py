@@ -16,16 +16,21 @@ Where a table format with MERGE is installed, this module is the part to replace
 from __future__ import annotations
 
 import hashlib
+import uuid
 from dataclasses import dataclass, field
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.schemas import COMMIT
+from tidemark.functions.keys import bucket_of
+from tidemark.schemas import ATTEMPT, COMMIT
 
 CLOSED = -1
 SLOT = "slot"
+IDENTIFIER = "source_system_identifier"
+REBUCKETED = "REBUCKETED"
 
 
 def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
@@ -69,6 +74,7 @@ class FeedState:
 
     def __init__(self, spark: SparkSession, root: str, source: str, buckets: int = 8):
         self.spark = spark
+        self.root = root
         self.folder = f"{root.rstrip('/')}/{source}"
         self.source = source
         self.bucket_count = buckets
@@ -119,8 +125,82 @@ class FeedState:
             return empty_table(self.spark, COMMIT)
         return self.spark.read.schema(COMMIT).json(published)
 
+    def _delete(self, pattern: str) -> int:
+        found = matching_paths(self.spark, pattern)
+        for name in found:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        return len(found)
+
+    def clear(self, seq: int) -> None:
+        """Delete what a batch left that died under this number before it was published.
+
+        The next batch of the number need not write the same tables, and its commit
+        would publish the rest as well.
+        """
+        if matching_paths(self.spark, f"{self.folder}/commits/{seq:012d}*/*.json"):
+            raise RuntimeError(f"batch {seq} of {self.source} is already published")
+        self._delete(f"{self.folder}/versions/*/{seq:012d}")
+        self._delete(f"{self.folder}/batches/{seq:012d}")
+
+    # -- attempts --------------------------------------------------------------
+
+    def attempt(self) -> str:
+        """A folder for the rows of one try. They are for the run log, never read as state."""
+        return f"{self.folder}/attempts/{uuid.uuid4().hex}"
+
+    def note(self, attempt: str, row: dict) -> None:
+        """Add a row to a try. Rows are not changed: the one with the longest trail holds."""
+        shown = self.spark.createDataFrame([tuple(row[name] for name in ATTEMPT.names)], ATTEMPT)
+        shown.coalesce(1).write.mode("overwrite").json(f"{attempt}/{len(row['trail']):03d}")
+
+    def forget(self, attempt: str) -> None:
+        """A published batch stands in the commits; its try need not be kept."""
+        self._delete(attempt)
+
+    def attempts(self) -> DataFrame:
+        """Every row of every try that did not end in a commit."""
+        found = matching_paths(self.spark, f"{self.folder}/attempts/*/*/*.json")
+        if not found:
+            return empty_table(self.spark, ATTEMPT)
+        return self.spark.read.schema(ATTEMPT).json(found)
+
     # -- tables ----------------------------------------------------------------
 
+    def rebucket(self, buckets: int, at: datetime) -> FeedState:
+        """The feed laid out in another number of buckets, published as a commit of its own.
+
+        All active versions are written once more; closed ones stay where they are. Until
+        the commit is there the old layout is in force, afterwards only the new one can be
+        opened. Returns the feed as it is then.
+        """
+        before, other = self.latest(), FeedState(self.spark, self.root, self.source, buckets)
+        if not before.seq:
+            return other
+        seq = before.seq + 1
+        self.clear(seq)
+        after: dict[tuple[str, int], int] = {}
+        for table in sorted({table for table, _ in before.buckets}):
+            rows = self.spark.read.parquet(*self._active_paths(before, table))
+            self.replace_buckets(seq, table, rows.withColumn(SLOT, bucket_of(IDENTIFIER, buckets)))
+            for found in matching_paths(self.spark, f"{self._versions(table, seq)}/{SLOT}=*"):
+                after[table, int(found.rsplit("=", 1)[1])] = seq
+        key = f"{self.source} in {buckets} buckets, {seq}"
+        laid = Commit(seq, key, before.source_checkpoint, before.last_ids, after, buckets)
+        row = {
+            "dag_run_id": seq,
+            "run_key": key,
+            "dag_run_status": REBUCKETED,
+            "run_start_date": at,
+            "run_end_date": at,
+            "source_checkpoint": before.source_checkpoint,
+            "trail": [],
+            **laid.as_row(),
+        }
+        values = [tuple(row.get(name) for name in COMMIT.names)]
+        self.publish(self.spark.createDataFrame(values, COMMIT), seq, key)
+        return other
+
     def batch_path(self, seq: int, name: str) -> str:
         return f"{self.folder}/batches/{seq:012d}/{name}"
 
@@ -128,15 +208,18 @@ class FeedState:
         number = seq if isinstance(seq, str) else f"{seq:012d}"
         return f"{self.folder}/versions/{table}/{number}"
 
-    def active(
-        self, commit: Commit, table: str, schema: T.StructType, only: set[int] | None = None
-    ) -> DataFrame:
-        """Active versions, from all buckets or only those named."""
-        paths = [
+    def _active_paths(self, commit: Commit, table: str, only: set[int] | None = None) -> list[str]:
+        return [
             f"{self._versions(table, seq)}/{SLOT}={bucket}"
             for (name, bucket), seq in commit.buckets.items()
             if name == table and (only is None or bucket in only)
         ]
+
+    def active(
+        self, commit: Commit, table: str, schema: T.StructType, only: set[int] | None = None
+    ) -> DataFrame:
+        """Active versions, from all buckets or only those named."""
+        paths = self._active_paths(commit, table, only)
         if not paths:
             return empty_table(self.spark, schema)
         return self.spark.read.schema(schema).parquet(*paths)
@@ -177,18 +260,19 @@ class FeedState:
         anything a running batch may be writing. Readers of older commits must be done.
         """
         live = {(t, seq, b) for (t, b), seq in commit.buckets.items()}
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
         removed = 0
         for found in matching_paths(self.spark, f"{self.folder}/versions/*/*/{SLOT}=*"):
             table, number, slot = found.split("/")[-3:]
             bucket = int(slot.split("=")[1])
             old = int(number) < commit.seq and bucket != CLOSED
             if old and (table, int(number), bucket) not in live:
-                path = hadoop(found)
-                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
-                removed += 1
+                removed += self._delete(found)
         return removed
 
+    def landings(self, commit: Commit) -> list[str]:
+        """The landing folder of each published batch, oldest first."""
+        return self._published(commit, f"{self.folder}/batches/*/landing")
+
     def batches(self, commit: Commit, name: str, schema: T.StructType) -> DataFrame:
         """A per-batch output (landing, CDC, stage) of every published batch."""
         found = self._published(commit, f"{self.folder}/batches/*/{name}")

@@ -65,7 +65,21 @@ FACT_COLUMNS = [
     "customer_rating",
     "dag_run_id",
 ]
-REQUIRED_COLUMNS = [c for c in FACT_COLUMNS if not c.startswith("source_") and c != "dag_run_id"]
+# The columns without which a row is invalid.
+REQUIRED_COLUMNS = [
+    "agent_id",
+    "interaction_date",
+    "support_area_id",
+    "interaction_status",
+    "interaction_type",
+    "customer_type_id",
+    "handle_time",
+    "work_time",
+    "first_contact_resolution",
+    "query_status",
+    "solution_type",
+    "customer_rating",
+]
 VERSION_COLUMNS = ["is_active", "start_date", "end_date"]
 
 RUN_LOG = struct(
@@ -75,6 +89,7 @@ RUN_LOG = struct(
     validity_percentage percentage, run_duration duration,
     source_checkpoint bigint"""
 )
+ATTEMPT_FIELDS = ["run_key", "source_id", "dag_run_status", "run_start_date", "run_end_date"]
 RUN_HISTORY = struct(
     """run_id bigint, script_name string, input_value int, records_generated bigint,
     start_time timestamp_ntz, end_time timestamp_ntz, duration double, status string,
@@ -92,3 +107,7 @@ COMMIT = T.StructType(
         T.StructField("bucket_count", T.IntegerType()),
     ]
 )
+# One try at a batch that is not published: its run-log columns and statuses so far.
+ATTEMPT = T.StructType(
+    [*[f for f in RUN_LOG.fields if f.name in ATTEMPT_FIELDS], T.StructField("trail", T.ArrayType(TRAIL))]
+)
