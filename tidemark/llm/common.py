@@ -18,11 +18,23 @@ def table(spark: SparkSession, data: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{data}/{name}.parquet")
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` written to the shared folder and read again: its lineage ends there."""
-    path = work_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` written to the shared folder and read again: its lineage ends there.
+
+    So its shuffle files go when it is written, and not when the driver happens to collect
+    its garbage.
+    """
+    spark = df.sparkSession
+    path, before = work_folder(spark, purpose), spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def lower_ascii(text: Column) -> Column:
