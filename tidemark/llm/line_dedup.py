@@ -35,10 +35,14 @@ TOP_RANK, HEAVY_RANK = 64_000, 52_000
 LAST = (1 << 63) - 1
 
 
-def _words(line: Column) -> Column:
-    """Words of a line without line feeds. Most lines hold no white space but blanks."""
+def _pieces(line: Column) -> Column:
+    """Words of a line without line feeds, and empty strings. Most lines hold no white space but blanks."""
     other = any_of([F.contains(line, F.lit(c)) for c in "\t\x0b\x0c\r"])
-    return F.array_remove(F.when(other, F.split(F.lower(line), SPACES)).otherwise(F.split(F.lower(line), " ")), "")
+    return F.when(other, F.split(F.lower(line), SPACES)).otherwise(F.split(F.lower(line), " "))
+
+
+def _words(line: Column) -> Column:
+    return F.array_remove(_pieces(line), "")
 
 
 def _slot(word_hash: Column) -> Column:
@@ -53,7 +57,7 @@ def rarity(docs: DataFrame) -> Column:
     the same result, a better one only fewer candidates.
     """
     flat = F.replace(F.col("text"), F.lit("\n"), F.lit(" "))
-    spread = docs.where("text is not null").select(F.explode(_words(flat)).alias("w"))
+    spread = docs.where("text is not null").select(F.explode(_pieces(flat)).alias("w")).where("w <> ''")
     counted = spread.groupBy(_slot(F.xxhash64("w")).alias("slot")).agg(F.count("*").cast("double").alias("n"))
     share = F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(0)))
     rank = F.round(TOP_RANK + F.log2(share) * 1000).cast("long")
@@ -87,7 +91,8 @@ def line_sets(docs: DataFrame) -> DataFrame:
     ).withColumn("ranks", rarity(docs))
 
     def key(h: Column) -> Column:
-        rank = F.get(F.col("ranks"), _slot(h).cast("int"))
+        # Never null, so that arrays of keys are sorted as plain longs.
+        rank = F.coalesce(F.get(F.col("ranks"), _slot(h).cast("int")), F.lit(0).cast("long"))
         return rank.bitwiseOR(h.bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
 
     # Distinct by hash: sets are told apart on their words where a pair is verified.
