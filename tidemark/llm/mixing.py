@@ -1,26 +1,32 @@
-"""Pfair mixing: blocks of each source, interleaved so that shares never stray by a block.
-
-A queue with target weight w owes its block i the window from floor(i/w) to
-ceil((i+1)/w). In each slot the released block with the earliest deadline runs. Weights are
-multiples of 1/FRAME, so the schedule repeats after FRAME slots: it is made once for one
-frame, and a row finds its slot by arithmetic. At every time the blocks a queue has had
-differ from w times the slots by less than one.
+"""Mixing by target weights: blocks of each source, interleaved in proportion, to the last row.
+
+A source of weight w and n blocks has had min(n, w v) of them at virtual time v: one that has
+run dry leaves, and the others go on in the proportion of their weights. Summed over sources
+this curve turns v into slots. Sources are the leaves of a Huffman tree of their weights. At
+every node the two children share the node's slots: after t of them one child has had its
+part of the curve, rounded, and the other the rest. A block finds its slot by walking up from
+its source, so that no schedule is made, and every source keeps its own exact weight. A node
+adds half a block of deviation, scaled by the share of the node in those above; as no inner
+node holds more than two thirds of the node above it, a source strays by less than two blocks.
+
+``frame_schedule`` and ``whole_shares`` schedule one frame of whole slots one by one.
 """
 
 from __future__ import annotations
 
 import heapq
-from dataclasses import dataclass
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import positions
 
 FRAME = 1024
-LEAST_SHARE = 8  # in slots of a frame; smaller sources share one queue
 MOST_SOURCES = 100_000
-POOL = "(other)"
+TIE = 1e-6  # in blocks: closer to a half than this is a half
 
 
 def frame_schedule(shares: list[int]) -> list[tuple[int, int]]:
@@ -48,27 +54,6 @@ def frame_schedule(shares: list[int]) -> list[tuple[int, int]]:
     return slots
 
 
-@dataclass
-class Queues:
-    members: dict[str, str]  # source to queue
-    weights: dict[str, float]  # target weight of each queue
-
-
-def queues(weights: dict[str, float], frame: int = FRAME) -> Queues:
-    """Sources too small for the frame share one queue, smallest first."""
-    total = sum(weights.values())
-    members, pool = {s: s for s in weights}, 0.0
-    for source, weight in sorted(weights.items(), key=lambda x: (x[1], x[0])):
-        if weight / total * frame >= LEAST_SHARE and (pool == 0 or pool / total * frame >= LEAST_SHARE):
-            break
-        members[source] = POOL
-        pool += weight
-    joined: dict[str, float] = {}
-    for source, queue in members.items():
-        joined[queue] = joined.get(queue, 0.0) + weights[source] / total
-    return Queues(members, joined)
-
-
 def whole_shares(weights: dict[str, float], frame: int = FRAME) -> dict[str, int]:
     """Weights as whole slots of a frame, by largest remainder, each at least one."""
     exact = {q: w * frame for q, w in weights.items()}
@@ -83,78 +68,131 @@ def whole_shares(weights: dict[str, float], frame: int = FRAME) -> dict[str, int
     return shares
 
 
+class Curve:
+    """Blocks of some sources that are due at a virtual time, and the time at which they are."""
+
+    def __init__(self, blocks: np.ndarray, weights: np.ndarray) -> None:
+        order = np.argsort(blocks / weights, kind="stable")
+        self.members = blocks[order], weights[order]
+        dry = self.members[0] / self.members[1]
+        alive = self.members[1][::-1].cumsum()[::-1] - self.members[1]
+        due = self.members[0].cumsum() + dry * alive
+        due[-1] = self.members[0].sum()
+        self.times, self.due = np.append(0.0, dry), np.append(0.0, due)
+
+    def __add__(self, other: Curve) -> Curve:
+        return Curve(*(np.append(a, b) for a, b in zip(self.members, other.members)))
+
+    def at(self, time: np.ndarray) -> np.ndarray:
+        return np.interp(time, self.times, self.due)
+
+    def time(self, due: np.ndarray) -> np.ndarray:
+        return np.interp(due, self.due, self.times)
+
+
+class Schedule:
+    """Slots of the blocks of sources, given as source to (number of blocks, weight)."""
+
+    def __init__(self, sources: dict[str, tuple[int, float]]) -> None:
+        self.curves: list[Curve] = []
+        self.up: list[tuple[int, bool]] = []  # node above, and whether this is its first child
+        self.leaf = {s: n for n, s in enumerate(sorted(sources))}
+        waiting = []
+        for source, n in self.leaf.items():
+            blocks, weight = sources[source]
+            self.curves.append(Curve(np.array([float(blocks)]), np.array([weight])))
+            self.up.append((-1, False))
+            waiting.append((weight, n))
+        heapq.heapify(waiting)
+        while len(waiting) > 1:
+            (light, a), (heavy, b) = heapq.heappop(waiting), heapq.heappop(waiting)
+            above = len(self.curves)
+            self.curves.append(self.curves[a] + self.curves[b])
+            self.up.append((-1, False))
+            self.up[a], self.up[b] = (above, True), (above, False)
+            heapq.heappush(waiting, (light + heavy, above))
+        # Slots up to here fall before the first source runs dry.
+        self.steady = int(self.curves[-1].due[1] + TIE) if self.curves else 0
+        for curve in self.curves:
+            del curve.members
+
+    def slots(self, source: str, blocks: np.ndarray) -> np.ndarray:
+        node, at = self.leaf[source], blocks.astype(np.float64)
+        while (step := self.up[node])[0] >= 0:
+            own, above = self.curves[node], self.curves[step[0]]
+            # The child has had a block once its part of the curve has passed the block's middle.
+            passed = above.at(own.time(at + 0.5))
+            whole = np.rint(passed)
+            tie = np.abs(own.at(above.time(whole)) - (at + 0.5)) < TIE
+            at = np.where(tie, whole - step[1], np.floor(passed))
+            node = step[0]
+        return at.astype(np.int64)
+
+
+def _placed(schedule: Schedule, starts: dict[str, int], weights: dict[str, float], block: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ordinal, queue = batch.column("pos").to_numpy(), batch.column("queue").dictionary_encode()
+            code, names = queue.indices.to_numpy(), queue.dictionary.to_pylist()
+            slot, weight, number = np.zeros(len(code), np.int64), np.zeros(len(code)), np.zeros(len(code), np.int64)
+            order = np.argsort(code, kind="stable")
+            cuts = np.searchsorted(code[order], np.arange(len(names) + 1))
+            for n, name in enumerate(names):
+                rows = order[cuts[n] : cuts[n + 1]]
+                number[rows] = (ordinal[rows] - starts[name]) // block
+                slot[rows], weight[rows] = schedule.slots(name, number[rows]), weights[name]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("source"), batch.column("queue"), pa.array(weight), pa.array(number), pa.array(slot)],
+                ["doc_id", "source", "queue", "weight", "block", "slot"],
+            )
+
+    return run
+
+
 def mix(
     docs: DataFrame,
     weights: dict[str, float] | None = None,
     temperature: float = 0.9,
     block: int = 8,
-    frame: int = FRAME,
 ) -> DataFrame:
     """One row per document: doc_id, source, queue, weight, block, slot, position, in_mix.
 
     ``weights`` gives the target of each source (its sum need not be 1; sources it does not
     name get none, and so no place); without it a source's weight follows the number of its
     documents to the power ``temperature``. ``block`` documents form a block, in the order
-    of doc_id. ``in_mix`` holds up to the first slot whose queue has no full block left:
-    until there the target is kept, beyond it the sources that are left are surplus.
-    Null and empty sources are one source, "". Repeated rows are scheduled each for itself.
-    An empty table gives no rows. The driver sees one count per source, of which there may
-    be ``MOST_SOURCES``.
+    of doc_id; a source's last block may have fewer. Every row of a source with a weight has
+    a slot and a position: a source that has run dry leaves, and those that are left share
+    the slots by their weights. ``in_mix`` holds before the first source runs dry, where each
+    has its target share of all. Null and empty sources are one source, ""; ``queue`` is the
+    source so named. Repeated rows are scheduled each for itself. An empty table gives no
+    rows. The driver sees one count per source, of which there may be ``MOST_SOURCES``.
     """
-    spark = docs.sparkSession
-    rows = docs.select("doc_id", "source", F.coalesce("source", F.lit("")).alias("_source"))
+    rows = docs.select("doc_id", "source", F.coalesce("source", F.lit("")).alias("queue"))
     if weights is not None:
-        known = spark.createDataFrame([(s,) for s, w in weights.items() if w > 0], "_source string")
-        rows = rows.join(known, "_source", "left_semi")
-    counted = dict(rows.groupBy("_source").count().limit(MOST_SOURCES + 1).collect())
+        known = docs.sparkSession.createDataFrame([(s,) for s, w in weights.items() if w > 0], "queue string")
+        rows = rows.join(known, "queue", "left_semi")
+    counted = dict(rows.groupBy("queue").count().limit(MOST_SOURCES + 1).collect())
     if len(counted) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources")
-    target = {s: float(weights[s]) if weights else n**temperature for s, n in counted.items()}
-    made = queues(target, frame) if target else Queues({}, {})
-    shares = whole_shares(made.weights, max(frame, len(made.weights))) if target else {}
-    names = sorted(shares)
-    frame = sum(shares.values())
-    slots = [
-        (names[q], j, t) for t, (q, j) in enumerate(frame_schedule([shares[n] for n in names]))
-    ]
-    held = {n: 0 for n in names}
-    for source, count in counted.items():
-        held[made.members[source]] += count
-    first_slot = {(q, j): t for q, j, t in slots}
-    horizon = min(
-        (held[n] // block // shares[n] * frame + first_slot[n, held[n] // block % shares[n]] for n in names),
-        default=0,
-    )
-    start, facts = 0, []
-    for n in names:
-        facts.append((n, shares[n], start))
-        start += held[n]
-    member = spark.createDataFrame(list(made.members.items()), "_source string, queue string")
-    queue = spark.createDataFrame(facts, "queue string, share long, start long")
-    placed = positions(rows.join(member, "_source").drop("_source"), ["queue", "doc_id"], "mix-rows")
-    ordinal = F.col("pos") - F.col("start")
-    blocks = placed.join(queue, "queue").select(
+    target = {s: float(weights[s]) if weights is not None else n**temperature for s, n in counted.items()}
+    total = sum(target.values())
+    shares = {s: w / total for s, w in target.items()}
+    schedule = Schedule({s: (-(-n // block), shares[s]) for s, n in counted.items()})
+    starts, start = {}, 0
+    for source in sorted(counted):
+        starts[source] = start
+        start += counted[source]
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {id_type}, source string, queue string, weight double, block long, slot long"
+    laid = positions(rows, ["queue", "doc_id"], "mix-rows").select("doc_id", "source", "queue", "pos")
+    slotted = laid.mapInArrow(_placed(schedule, starts, shares, block), schema)
+    return positions(slotted, ["slot", "queue", "block", "doc_id"], "mix-slots").select(
         "doc_id",
         "source",
         "queue",
-        "share",
-        F.floor(ordinal / block).alias("block"),
-        (ordinal % block).alias("within"),
-    )
-    plan = spark.createDataFrame(slots, "queue string, turn long, at long")
-    turn = F.col("block") % F.col("share")
-    return (
-        blocks.withColumn("turn", turn)
-        .join(plan, ["queue", "turn"])
-        .withColumn("slot", F.floor(F.col("block") / F.col("share")) * F.lit(frame) + F.col("at"))
-        .select(
-            "doc_id",
-            "source",
-            "queue",
-            (F.col("share") / F.lit(float(frame or 1))).alias("weight"),
-            "block",
-            "slot",
-            (F.col("slot") * block + F.col("within")).alias("position"),
-            (F.col("slot") < horizon).alias("in_mix"),
-        )
+        "weight",
+        "block",
+        "slot",
+        F.col("pos").alias("position"),
+        (F.col("slot") < schedule.steady).alias("in_mix"),
     )
