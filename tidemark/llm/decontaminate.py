@@ -1,15 +1,17 @@
 """Benchmark passages in documents: SimHash windows, Hamming blocks, exact similarity.
 
-A window of an item is as long as the largest power of two that an item of that size is
-sure to hold without an edit while it keeps ``similarity`` of its shingles. All windows of
+A window of an item is as long as the largest power of two that the item is sure to hold
+without an edit while it keeps ``similarity`` of its shingles' weight. All windows of
 the items and of the documents get a 64-bit SimHash of their words. The fingerprint is cut
 into ``radius`` + 1 blocks: two fingerprints within ``radius`` bits agree in one block at
 least, so looking up each block finds all of them. A hit aligns the item in the document;
-there the item's distinct shingles are weighed exactly.
+there, as far as its hits reach, the item's distinct shingles are weighed exactly.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,11 +30,33 @@ PASS_WORDS = 200_000  # benchmark words held at a time
 CHUNK = 1 << 17  # document words fingerprinted at a time
 
 
-def window_size(n: int, similarity: float) -> int:
-    """Longest power of two that ``n`` words keep unedited at that similarity."""
-    edits = int((1 - similarity) * (n - SHINGLE + 1) / SHINGLE + 1e-9)
-    run = max(1, (n - edits) // (edits + 1))
-    return 1 << (run.bit_length() - 1)
+def broken_shingles(n: int, size: int) -> int:
+    """Fewest of the shingles of ``n`` words that edits break if no ``size`` words stay together.
+
+    Edits leave runs of fewer than ``size`` words, of which one of r words keeps r - 4
+    shingles. Most stay if the runs are as long as they may be and no word is lost between
+    them, as with words inserted; an edit at the ends is a short last run.
+    """
+    full, last = divmod(n, size - 1)
+    return n - SHINGLE + 1 - full * max(0, size - SHINGLE) - max(0, last - SHINGLE + 1)
+
+
+def window_size(
+    n: int, similarity: float, weights: list[int] | None = None, total: int | None = None
+) -> int:
+    """Longest power of two of ``n`` words that stay together at that similarity.
+
+    ``weights`` are those of the item's shingles in order, 0 for one that stands elsewhere in
+    the item too, and ``total`` is what the distinct ones weigh; without them all weigh the
+    same. The lightest shingles are taken as those that break. One whole shingle at least is
+    found, so four words always stay together.
+    """
+    each = np.ones(n - SHINGLE + 1) if weights is None else np.sort(np.array(weights, np.float64))
+    whole = each.sum() if total is None else total
+    size = 1 << (n.bit_length() - 1)
+    while size >= SHINGLE and whole - each[: broken_shingles(n, size)].sum() >= (similarity - 1e-9) * whole:
+        size //= 2
+    return size
 
 
 def fingerprints(h: np.ndarray, sizes: list[int]) -> Iterator[tuple[int, np.ndarray]]:
@@ -66,12 +90,15 @@ class Item:
     item_id: int | None
     size: int
     weights: dict[int, int]  # shingle to its number of distinct words
+    window: int
 
     @classmethod
-    def of(cls, item_id: int | None, w: np.ndarray) -> Item:
+    def of(cls, item_id: int | None, w: np.ndarray, similarity: float) -> Item:
         shingles = shingle_hashes(w).tolist()
         weights = {s: len(set(w[i : i + SHINGLE].tolist())) for i, s in enumerate(shingles)}
-        return cls(item_id, len(w), weights)
+        times = Counter(shingles)
+        once = [weights[s] if times[s] == 1 else 0 for s in shingles]
+        return cls(item_id, len(w), weights, window_size(len(w), similarity, once, sum(weights.values())))
 
     def similarity(self, region: np.ndarray) -> float:
         """Weight share of the item's distinct shingles that lie in the region."""
@@ -87,8 +114,8 @@ class Index:
         prints: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
         for number, (item_id, w) in enumerate(items):
             h = np.array(w, np.int64).view(np.uint64)
-            self.items.append(Item.of(item_id, h))
-            for size, fp in fingerprints(h, [window_size(len(h), similarity)]):
+            self.items.append(Item.of(item_id, h, similarity))
+            for size, fp in fingerprints(h, [self.items[-1].window]):
                 prints.setdefault(size, []).append((fp, np.full(len(fp), number), np.arange(len(fp))))
         self.sizes = sorted(prints)
         self.windows = {s: tuple(map(np.concatenate, zip(*p))) for s, p in prints.items()}
@@ -123,7 +150,8 @@ class Index:
         best: dict[tuple[int, int], tuple[float, int]] = {}
         if not self.sizes or not len(flat):
             return best
-        overlap, tried = self.sizes[-1] - 1, set()
+        overlap = self.sizes[-1] - 1
+        starts: dict[tuple[int, int], set[int]] = {}
         for base in range(0, len(flat), CHUNK):
             for size, fp in fingerprints(flat[base : base + CHUNK + overlap], self.sizes):
                 place, window = self.hits(size, fp)
@@ -133,15 +161,17 @@ class Index:
                 number, inner = self.windows[size][1][window], self.windows[size][2][window]
                 aligned = np.stack([doc, number, place - inner])[:, inside]
                 for d, i, start in zip(*np.unique(aligned, axis=1).tolist()):
-                    if (d, i, start) in tried:
-                        continue
-                    tried.add((d, i, start))
-                    item, low, high = self.items[i], int(offsets[d]), int(offsets[d + 1])
-                    region = flat[max(low, start - SLACK) : min(high, start + item.size + SLACK)]
-                    value = item.similarity(region)
-                    if value >= self.similarity - 1e-9:
-                        old = best.get((d, i), (0.0, 0))
-                        best[d, i] = max(old, (value, low - start), key=lambda x: x)
+                    starts.setdefault((d, i), set()).add(start)
+        for (d, i), found in starts.items():
+            item, low, high, ordered = self.items[i], int(offsets[d]), int(offsets[d + 1]), sorted(found)
+            moved = SLACK + int((1 - self.similarity) * item.size)
+            for start in ordered:
+                # Words put in or left out move the windows behind them: the region goes on to those.
+                last = ordered[bisect_right(ordered, start + moved) - 1]
+                region = flat[max(low, start - SLACK) : min(high, last + item.size + SLACK)]
+                value = item.similarity(region)
+                if value >= self.similarity - 1e-9:
+                    best[d, i] = max(best.get((d, i), (0.0, -high)), (value, low - start))
         return {k: (v, max(0, -negative)) for k, (v, negative) in best.items()}
 
 
@@ -183,8 +213,9 @@ def contaminated(
     """One row per document and benchmark item found in it: doc_id, item_id, similarity, start_word.
 
     Words are runs of letters and digits, lower-cased; shingles are five words, each as heavy
-    as it has distinct words. An item is found where a region of its own size (and
-    ``SLACK`` words around it) holds ``similarity`` of the weight of its shingles. Items of
+    as it has distinct words. An item is found where a region of its own size (with ``SLACK``
+    words around it, and as many more as words put in or left out have moved its windows, up to
+    1 - ``similarity`` of its size) holds ``similarity`` of the weight of its shingles. Items of
     fewer than five words have no shingle and take no part; null texts have no words. Rows
     that repeat a doc_id or item_id are each matched; null ids stay null. Other columns are
     not looked at. The benchmark is read in passes of at most ``pass_words`` words (one item
