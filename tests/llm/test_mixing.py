@@ -7,6 +7,7 @@ import random
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from tests.llm.test_operators import DOCS
 from tidemark.llm.mixing import Schedule, mix
 
@@ -59,3 +60,28 @@ def test_a_small_source_has_its_own_target(spark):
     for name, weight in (("s1", 0.01), ("s2", 0.006), ("s3", 0.004)):
         slots = {r.block: r.slot for r in rows if r.source == name and r.in_mix}
         assert slots and all(abs(b + 1 - weight * (t + 1)) < 2 for b, t in slots.items())
+
+
+@pytest.mark.parametrize("sizes", [[7], [50] * 20, [1000, 10], [300, 100, 30, 3]])
+def test_the_stage_keeps_every_row_in_the_order_of_the_mix(spark, tmp_path, sizes):
+    docs = sized(spark, sizes)
+    out = corpus_pipeline.mixing(spark, docs, "")
+    assert out.columns == docs.columns
+    place = {r.doc_id: r.position for r in mix(docs).collect()}
+    assert sorted(place.values()) == list(range(sum(sizes)))
+    assert [r.doc_id for r in out.collect()] == sorted(place, key=place.get)
+    turns = [r.source for r in out.collect()]
+    blocks = {f"s{n}": (-(-size // 8), size**0.9) for n, size in enumerate(sizes)}
+    owner = []
+    while turns:
+        n = min(8, turns.count(turns[0]))
+        assert len(set(turns[:n])) == 1
+        owner.append(turns[0])
+        turns = turns[n:]
+    assert strayed(blocks, owner) < 2
+
+
+def test_rows_that_repeat_an_id_or_have_none_stay(spark):
+    docs = spark.createDataFrame([(None, "a", None, "s", 1), (None, "b", None, "s", 1), (2, "b", None, "", 1), (2, "c", None, None, 1)], DOCS)
+    assert sorted(map(str, corpus_pipeline.mixing(spark, docs, "").collect())) == sorted(map(str, docs.collect()))
+    assert corpus_pipeline.mixing(spark, docs.limit(0), "").count() == 0
