@@ -3,7 +3,8 @@
 Hosts with pages under an allow rule are trusted seeds, hosts with pages under a block rule
 distrusted ones, each by its share of such pages. Trust is a personalised PageRank along
 host links; distrust is the same against them, from a blocked host to those that link to
-it. A page without a rule takes the verdict of its host.
+it. Both are spread until what is still on its way cannot change a verdict. A page without a
+rule takes the verdict of its host.
 """
 
 from __future__ import annotations
@@ -16,8 +17,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import lower_ascii, stored
 
 DAMPING = 0.85
-ROUNDS = 10
+ROUNDS = 10  # of the SQL form; here rounds go on until no verdict can change
 WRITTEN_EVERY = 5
+LEAST = 1e-12  # of score: less than this on its way is none
 THRESHOLD = 0.5  # of what a wholly blocked host without links has
 LINK = r"""(?i)(?:href|src|action)\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""
 
@@ -70,30 +72,62 @@ def host_links(pages: DataFrame) -> DataFrame:
     )
 
 
-def spread(seeds: DataFrame, edges: DataFrame) -> DataFrame:
-    """host, score: ROUNDS steps of personalised PageRank from (host, seed) along (src, dst, part).
+def spread(hosts: DataFrame, trusting: DataFrame, distrusting: DataFrame, threshold: float) -> DataFrame:
+    """host, trust, distrust: personalised PageRank from (host, allowed, blocked) along two lists of edges.
 
-    ``part`` is the share of src's score that goes to dst. Scores of hosts without links are
-    their seeds times 1 - DAMPING; what a host without outgoing links holds is not passed on.
+    ``part`` of an edge (src, dst, part) is the share of src's score that goes to dst. Scores of
+    hosts without links are their seeds times 1 - DAMPING; what a host without outgoing links
+    holds is not passed on. A round passes on what the round before has added. As all scores
+    only grow, and all of them together by DAMPING / (1 - DAMPING) of the last addition at most,
+    rounds end when that bound takes no host over ``threshold``, or is below LEAST. Every
+    ``WRITTEN_EVERY`` rounds the scores are written, and the driver sees one row of sums.
     """
-    rest = (1 - DAMPING) * F.col("seed")
-    score = seeds.select("host", rest.alias("score"))
-    for step in range(1, ROUNDS + 1):
-        sent = (
-            edges.join(score.withColumnRenamed("host", "src"), "src")
-            .groupBy(F.col("dst").alias("host"))
-            .agg(F.sum(F.col("score") * F.col("part")).alias("got"))
-        )
-        score = seeds.join(sent, "host", "left").select(
-            "host", (rest + F.lit(DAMPING) * F.coalesce("got", F.lit(0.0))).alias("score")
-        )
-        if step % WRITTEN_EVERY == 0:
-            score = stored(score, "url-score")
-    return score
-
-
-def host_scores(judged: DataFrame, links: DataFrame) -> DataFrame:
-    """host, trust, distrust of every host that has a page or is linked."""
+    state = hosts.select(
+        "host",
+        *(((1 - DAMPING) * F.col(seed)).alias(name) for seed, name in (("allowed", "trust"), ("blocked", "distrust"))),
+    )
+    reached = [
+        edges.select(F.col("dst").alias("host"), F.lit(True).alias(name)).distinct()
+        for edges, name in ((trusting, "may_trust"), (distrusting, "may_distrust"))
+    ]
+    state = state.join(reached[0], "host", "left").join(reached[1], "host", "left")
+    state = state.withColumns({"new_trust": F.col("trust"), "new_distrust": F.col("distrust")})
+
+    def passed(state: DataFrame, edges: DataFrame, name: str) -> DataFrame:
+        sent = state.where(F.col(name) > 0).select(F.col("host").alias("src"), F.col(name).alias("score"))
+        got = F.sum(F.col("score") * F.col("part")) * F.lit(DAMPING)
+        return edges.join(sent, "src").groupBy(F.col("dst").alias("host")).agg(got.alias("got_" + name))
+
+    excess = F.col("distrust") - F.col("trust")
+    while True:
+        state = stored(state, "url-score")
+        seen = state.agg(
+            F.sum("new_trust").alias("trust"),
+            F.sum("new_distrust").alias("distrust"),
+            F.min(F.when(F.col("may_distrust") & (excess <= threshold), threshold - excess)).alias("below"),
+            F.min(F.when(F.col("may_trust") & (excess > threshold), excess - threshold)).alias("above"),
+        ).first()
+        trust, distrust = ((x or 0.0) * DAMPING / (1 - DAMPING) for x in (seen.trust, seen.distrust))
+        stays = seen.below is None or distrust <= max(seen.below, LEAST)
+        if stays and (seen.above is None or trust < max(seen.above, LEAST)):
+            return state.select("host", "trust", "distrust")
+        for _ in range(WRITTEN_EVERY):
+            both = state.join(passed(state, trusting, "new_trust"), "host", "left").join(
+                passed(state, distrusting, "new_distrust"), "host", "left"
+            )
+            more = {n: F.coalesce("got_" + n, F.lit(0.0)) for n in ("new_trust", "new_distrust")}
+            state = both.select(
+                "host",
+                (F.col("trust") + more["new_trust"]).alias("trust"),
+                (F.col("distrust") + more["new_distrust"]).alias("distrust"),
+                "may_trust",
+                "may_distrust",
+                *(c.alias(n) for n, c in more.items()),
+            )
+
+
+def host_scores(judged: DataFrame, links: DataFrame, threshold: float) -> DataFrame:
+    """host, trust, distrust of every host that has a page or is linked, see ``spread``."""
     seen = judged.where("host <> ''").groupBy("host").agg(
         F.avg(F.when(F.col("found.verdict") == "allow", 1.0).otherwise(0.0)).alias("allowed"),
         F.avg(F.when(F.col("found.verdict") == "block", 1.0).otherwise(0.0)).alias("blocked"),
@@ -111,9 +145,7 @@ def host_scores(judged: DataFrame, links: DataFrame) -> DataFrame:
             moved.join(out, "src").select("src", "dst", (F.col("links") / F.col("all")).alias("part")), "url-edges"
         )
 
-    trust = spread(hosts.select("host", F.col("allowed").alias("seed")), parts("src", "dst"))
-    distrust = spread(hosts.select("host", F.col("blocked").alias("seed")), parts("dst", "src"))
-    return trust.withColumnRenamed("score", "trust").join(distrust.withColumnRenamed("score", "distrust"), "host")
+    return spread(hosts, parts("src", "dst"), parts("dst", "src"), threshold)
 
 
 def url_verdicts(pages: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
@@ -129,8 +161,9 @@ def url_verdicts(pages: DataFrame, rules: list[Rule] | None = None) -> DataFrame
     split = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     judged = split.withColumn("found", rule_of(F.col("host"), F.col("path"), rules))
     links = stored(host_links(pages), "url-links")
-    scores = host_scores(judged, links)
-    excess = F.col("distrust") - F.col("trust") > THRESHOLD * (1 - DAMPING)
+    limit = THRESHOLD * (1 - DAMPING)
+    scores = host_scores(judged, links, limit)
+    excess = F.col("distrust") - F.col("trust") > limit
     verdicts = scores.select("host", F.when(excess, "block").otherwise("allow").alias("of_host"))
     # Pages under a rule need no score of their host; the others meet one row per host.
     open_pages = judged.where("found is null").join(verdicts, "host", "left")
