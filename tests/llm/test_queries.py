@@ -28,7 +28,7 @@ def test_query_next_to_its_sql(spark, con, name):
 
 def test_all_are_registered():
     assert {*QUERIES, "pipeline"} <= set(entry_point.queries())
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
 
 
 def test_linked_pages_next_to_their_sql(spark, tmp_path):

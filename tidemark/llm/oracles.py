@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tidemark.llm.line_dedup import DENOMINATOR, NUMERATOR
 from tidemark.llm.pii import GENERALISE, KINDS, REACH, REMOVE, SUPPORT
+from tidemark.llm.resample import BUCKETS, LEAST_WORDS, PERCENT, SCALE, SEED
 from tidemark.llm.url_filter import DAMPING, ROUNDS, RULES, THRESHOLD
 
 SHARDS = r"""
@@ -270,6 +271,138 @@ SELECT page_id, j.host, path, rule,
 FROM judged j LEFT JOIN verdicts USING (host)
 """
 
+CRC_TABLE = """bits(i, v, n) AS (
+  SELECT range::BIGINT, range::BIGINT, 0 FROM range(256)
+  UNION ALL
+  SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, n + 1 FROM bits WHERE n < 8),
+crc AS (SELECT list(v ORDER BY i) AS words FROM bits WHERE n = 8)"""
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of a non-empty text, next to the table ``crc``."""
+    return f"""xor(4294967295, list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(range(octet_length(encode({text}))),
+        lambda n: ('0x' || substr(hex(encode({text})), 2 * n + 1, 2))::BIGINT)),
+      lambda x, y: xor(crc.words[(xor(x, y) & 255) + 1], x >> 8)))"""
+
+
+RESAMPLE = rf"""
+WITH RECURSIVE {CRC_TABLE},
+texts AS (
+  SELECT 's' AS side, row_number() OVER () AS id, doc_id, text FROM documents
+  UNION ALL SELECT 't', row_number() OVER (), NULL, text FROM benchmark),
+split AS (
+  SELECT side, id, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM texts),
+runs AS (
+  SELECT side, id, doc_id, len(w) AS n,
+    list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS f FROM split),
+found AS (SELECT side, id, unnest(f) AS feature FROM runs),
+hashed AS (
+  SELECT feature, ({_crc32("feature")} % {BUCKETS})::BIGINT AS bucket
+  FROM (SELECT DISTINCT feature FROM found), crc),
+counted AS (SELECT side, id, bucket, count(*)::BIGINT AS n FROM found JOIN hashed USING (feature) GROUP BY ALL),
+sides AS (SELECT side, bucket, sum(n) AS n FROM counted GROUP BY ALL),
+totals AS (
+  SELECT coalesce(sum(n) FILTER (side = 's'), 0) AS s, coalesce(sum(n) FILTER (side = 't'), 0) AS t FROM sides),
+gains AS (
+  SELECT b.bucket, floor({SCALE} * ln(
+    (coalesce(t.n, 0) + 1)::DOUBLE * (totals.s + {BUCKETS})::DOUBLE
+    / ((coalesce(s.n, 0) + 1)::DOUBLE * (totals.t + {BUCKETS})::DOUBLE)))::BIGINT AS gain
+  FROM (SELECT range AS bucket FROM range({BUCKETS})) b
+  LEFT JOIN sides s ON s.side = 's' AND s.bucket = b.bucket
+  LEFT JOIN sides t ON t.side = 't' AND t.bucket = b.bucket, totals),
+sums AS (SELECT id, sum(n * gain)::BIGINT AS total FROM counted JOIN gains USING (bucket) WHERE side = 's' GROUP BY id),
+weighed AS (
+  SELECT id, doc_id, n, len(f)::BIGINT AS n_features,
+    CASE WHEN len(f) = 0 THEN 0 ELSE (total - ((total % len(f)) + len(f)) % len(f)) // len(f) END::BIGINT AS weight
+  FROM runs LEFT JOIN sums USING (id) WHERE side = 's'),
+scored AS (
+  SELECT *, weight + floor(-{SCALE} * ln(-ln(
+    (('0x' || substr(sha256('{SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE)
+    / 4294967296)))::BIGINT AS score
+  FROM weighed),
+ranked AS (
+  SELECT id, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, id) AS place, count(*) OVER () AS able
+  FROM scored WHERE n >= {LEAST_WORDS})
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN place <= {PERCENT} * able // 100 THEN place END::BIGINT AS rank
+FROM scored LEFT JOIN ranked USING (id)
+"""
+
+# States: 0 nothing yet, 1 after a system row, 2 after a user row, 3 after an assistant row.
+# ``insert`` lists what insertions alone do, ``edit`` what one row may become.
+REPAIR = rf"""
+WITH RECURSIVE {CRC_TABLE},
+planted AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc32("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS kind
+  FROM conversations, crc),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM planted),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS pos,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again,
+    rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare
+  FROM damaged),
+facts AS (
+  SELECT *, left(role, 1) AS initial,
+    bare = '' AS blank, bare <> '' AND again AS duplicate,
+    bare <> '' AND NOT again AND right(bare, 1) NOT IN ('.', '!', '?') AS truncated,
+    lead(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS following
+  FROM placed),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+    count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+    count(*) FILTER (truncated) AS truncated,
+    count(*) FILTER (following IS NOT NULL AND initial || following NOT IN ('su', 'ua', 'au')) AS illegal,
+    max(pos) AS last
+  FROM facts GROUP BY conv_id),
+insertion(a, b, k) AS (VALUES (0, 0, 0), (0, 2, 1), (0, 3, 2), (1, 1, 0), (1, 2, 1), (1, 3, 2), (2, 2, 0), (2, 3, 1),
+  (3, 3, 0), (3, 2, 1)),
+edit(a, b, kept, cost, kind) AS (VALUES
+  (0, 0, '', 3, 'D'), (1, 1, '', 3, 'D'), (2, 2, '', 3, 'D'), (3, 3, '', 3, 'D'),
+  (0, 1, 's', 0, 'K'), (0, 2, 'u', 0, 'K'), (1, 2, 'u', 0, 'K'), (3, 2, 'u', 0, 'K'), (2, 3, 'a', 0, 'K'),
+  (0, 2, '', 2, 'R'), (1, 2, '', 2, 'R'), (3, 2, '', 2, 'R'), (2, 3, '', 2, 'R')),
+step AS (
+  SELECT i.a, e.b, e.kept, 2 * i.k + e.cost AS cost, repeat('I', i.k) || e.kind AS audit, e.kind,
+    CASE WHEN i.k = 0 THEN [] WHEN i.b = 3 AND i.k = 2 THEN ['user:', 'assistant:']
+      WHEN i.b = 3 THEN ['assistant:'] ELSE ['user:'] END AS added,
+    CASE e.b WHEN 2 THEN 'user' WHEN 3 THEN 'assistant' END AS name
+  FROM insertion i JOIN edit e ON e.a = i.b),
+walk AS (
+  SELECT conv_id, 0::BIGINT AS pos, 0 AS state, {{'cost': 0::BIGINT, 'audit': '', 'lines': []::VARCHAR[]}} AS best
+  FROM counted
+  UNION ALL
+  SELECT w.conv_id, w.pos + 1, s.b, min({{
+    'cost': w.best.cost + s.cost + CASE WHEN s.kind <> 'D' AND f.truncated THEN 1 ELSE 0 END,
+    'audit': w.best.audit || s.audit,
+    'lines': list_concat(w.best.lines, s.added, CASE s.kind WHEN 'D' THEN [] WHEN 'K' THEN [f.role || ':' || f.text]
+      ELSE [s.name || ':' || f.text] END)}})
+  FROM walk w
+  JOIN facts f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.pos = w.pos + 1
+  JOIN step s ON s.a = w.state AND (s.kind = 'D' OR NOT (f.blank OR f.duplicate))
+    AND (s.kind <> 'K' OR s.kept = f.initial)
+  GROUP BY w.conv_id, w.pos, s.b),
+ended AS (
+  SELECT w.conv_id, min({{'cost': w.best.cost + 2 * i.k, 'audit': w.best.audit || repeat('I', i.k),
+    'lines': list_concat(w.best.lines, CASE WHEN i.k = 2 THEN ['user:', 'assistant:']
+      WHEN i.k = 1 THEN ['assistant:'] ELSE [] END)}}) AS best
+  FROM walk w JOIN counted c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.last = w.pos
+  JOIN (VALUES (0, 0), (1, 2), (2, 1), (3, 0)) i(state, k) ON i.state = w.state
+  GROUP BY w.conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.cost, 0) AS cost,
+  coalesce(best.audit, '') AS audit, sha256(coalesce(array_to_string(best.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
 SQL: dict[str, str] = {
     "op3_shard_documents": SHARDS,
     "op4_line_dedup": LINES,
@@ -277,4 +410,6 @@ SQL: dict[str, str] = {
     "op7_near_duplicates": NEAR,
     "op9_warc": WARC,
     "op10_url_verdicts": URLS,
+    "op11_repair_conversations": REPAIR,
+    "op13_resample": RESAMPLE,
 }

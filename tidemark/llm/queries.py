@@ -16,7 +16,10 @@ from tidemark.llm.mixing import mix
 from tidemark.llm.near_dup import near_duplicates
 from tidemark.llm.pii import personal_data
 from tidemark.llm.quality import quality_scores
+from tidemark.llm.repair import all_repairs, damaged
+from tidemark.llm.resample import resampled
 from tidemark.llm.sharding import shard_documents
+from tidemark.llm.toxicity import toxicity_scores
 from tidemark.llm.url_filter import url_verdicts
 from tidemark.llm.warc import archived_pages
 
@@ -64,6 +67,20 @@ def op10_url_verdicts(spark: SparkSession, data: str) -> DataFrame:
     return url_verdicts(table(spark, data, "pages"))
 
 
+def op11_repair_conversations(spark: SparkSession, data: str) -> DataFrame:
+    conversations = table(spark, data, "conversations")
+    return all_repairs(conversations, damaged(conversations))
+
+
+def op12_toxicity(spark: SparkSession, data: str) -> DataFrame:
+    return toxicity_scores(table(spark, data, "documents"), table(spark, data, "labels"), 0.5)
+
+
+def op13_resample(spark: SparkSession, data: str) -> DataFrame:
+    drawn = resampled(table(spark, data, "documents"), table(spark, data, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -77,6 +94,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality,
         op9_warc,
         op10_url_verdicts,
+        op11_repair_conversations,
+        op12_toxicity,
+        op13_resample,
     )
 }
 ORACLES = oracles.SQL
