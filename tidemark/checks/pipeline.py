@@ -15,7 +15,9 @@ from tidemark.feeds import ALPHA, BETA, GAMMA
 from tidemark.functions.values import rename_columns
 from tidemark.plans import ingest
 from tidemark.plans.state import FeedState
+from tidemark.plans.versions import VersionLog
 from tidemark.session import work_folder
+from tidemark.sources.objects import number_object_rows
 from tidemark.sources import (
     parse_xml_records,
     scan_csv_objects_since,
@@ -75,7 +77,7 @@ def two_batches(spark: SparkSession, sf: str, feed: str) -> FeedState:
     """Deliver and ingest both halves of a feed; returns the state they leave."""
     spec, deliver, scan = _FEEDS[feed]
     folder = work_folder(spark, f"ingest-{feed}")
-    state = FeedState(spark, f"{folder}/state", spec.source)
+    state = VersionLog(spark, f"{folder}/state", spec.source)
     dims = seeds.dimensions(spark)
     for batch, as_of in enumerate(TIMES):
         deliver(spark, sf, f"{folder}/raw", batch)
@@ -190,7 +192,7 @@ _TRIES = [("alpha-0", False), ("alpha-0", True), ("alpha-1", False), ("alpha-2",
 )
 def run_log_of_failed_run(spark: SparkSession, sf: str) -> DataFrame:
     folder = work_folder(spark, "failed-run")
-    state = FeedState(spark, f"{folder}/state", ALPHA.source)
+    state = VersionLog(spark, f"{folder}/state", ALPHA.source)
     dims = seeds.dimensions(spark)
     without_agents = {name: rows for name, rows in dims.items() if name != "agents"}
     delivered = 0
@@ -211,10 +213,13 @@ def run_log_of_failed_run(spark: SparkSession, sf: str) -> DataFrame:
 # -- streaming -----------------------------------------------------------------
 
 
-def _stream_alpha(spark: SparkSession, sf: str, drains: int) -> FeedState:
-    """Drain the document stream after each delivery, and again with nothing new."""
+def _stream_alpha(spark: SparkSession, sf: str, drains: int, checkpoints: int = 1) -> VersionLog:
+    """Drain the document stream after each delivery, and again with nothing new.
+
+    With several ``checkpoints`` each drain takes the next one, as if its folder were new.
+    """
     folder = work_folder(spark, "stream-alpha")
-    state = FeedState(spark, f"{folder}/state", ALPHA.source)
+    state = VersionLog(spark, f"{folder}/state", ALPHA.source)
     dims = seeds.dimensions(spark)
     for round_ in range(drains):
         if round_ < len(TIMES):
@@ -225,7 +230,7 @@ def _stream_alpha(spark: SparkSession, sf: str, drains: int) -> FeedState:
             state,
             ALPHA,
             dims,
-            f"{folder}/checkpoint",
+            f"{folder}/checkpoint-{round_ % checkpoints}",
             version_time,
         ).awaitTermination()
     return state
@@ -249,6 +254,27 @@ def _log_sql(feed: str) -> str:
            {top.format("TRUE")} FROM two"""
 
 
+@check("stream_fresh_checkpoint", fact_sql("alpha"))
+def stream_fresh_checkpoint(spark: SparkSession, sf: str) -> DataFrame:
+    """Every drain starts with an empty checkpoint folder: all files come again each time."""
+    return _without_ids(ingest.fact_versions(_stream_alpha(spark, sf, 3, checkpoints=3)))
+
+
+@check("stream_ingest_gamma", fact_sql("gamma"))
+def stream_ingest_gamma(spark: SparkSession, sf: str) -> DataFrame:
+    """Objects as a stream: one drain a delivery, the first copy of a ticket in each."""
+    folder = work_folder(spark, "stream-gamma")
+    state = VersionLog(spark, f"{folder}/state", GAMMA.source)
+    dims = seeds.dimensions(spark)
+    for delivery in range(len(TIMES)):
+        _deliver_gamma(spark, sf, f"{folder}/raw", delivery)
+        stream = streaming.object_stream(spark, f"{folder}/raw")
+        streaming.stream_ingest(
+            stream, number_object_rows, state, GAMMA, dims, f"{folder}/checkpoint", version_time
+        ).awaitTermination()
+    return _without_ids(ingest.fact_versions(state))
+
+
 @check("exactly_once_resume", _log_sql("alpha"))
 def exactly_once_resume(spark: SparkSession, sf: str) -> DataFrame:
     """Three drains of two deliveries leave two runs in the log, each counted once."""
@@ -262,13 +288,9 @@ def exactly_once_resume(spark: SparkSession, sf: str) -> DataFrame:
 def cross_batch_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """Messages as a stream: a later batch supersedes an earlier one, whatever its times say."""
     folder = work_folder(spark, "stream-beta")
-    state = FeedState(spark, f"{folder}/state", BETA.source)
+    state = VersionLog(spark, f"{folder}/state", BETA.source)
     dims = seeds.dimensions(spark)
-
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        rows = parse_xml_records(batch)
-        ingest.ingest_batch(state, BETA, rows, dims, f"beta-{batch_id}", version_time(batch_id))
-
+    merge = streaming.upsert_by_position(parse_xml_records, state, BETA, dims, version_time)
     for delivery in range(len(TIMES)):
         _deliver_beta(spark, sf, f"{folder}/raw", delivery)
         stream = streaming.message_stream(spark, f"{folder}/raw")

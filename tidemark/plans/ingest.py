@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from tidemark.feeds import FeedSpec
 from tidemark.functions.keys import bucket_of, row_hash, source_identifier
 from tidemark.functions.metrics import run_duration
-from tidemark.functions.values import OPEN_END, cast_numeric, scd_defaults, tag_run, ts_literal
+from tidemark.functions.values import OPEN_END, cast_numeric, scd_defaults, tag_run
 from tidemark.operators import audit
 from tidemark.operators.conform import conform, type_landing
 from tidemark.operators.dedup import dedup_by_rank
@@ -26,7 +26,7 @@ from tidemark.operators.filters import CHANGED, filter_merge_type
 from tidemark.operators.keys import surrogate_key
 from tidemark.operators.merge import merge_classify, merge_counts
 from tidemark.operators.quality import error_rows, validate_required, without_match
-from tidemark.plans.state import CLOSED, IDENTIFIER, REBUCKETED, SLOT, Commit, FeedState
+from tidemark.plans.state import IDENTIFIER, REBUCKETED, Commit, FeedState
 from tidemark.schemas import ATTEMPT, COMMIT, RUN_LOG, VERSION_COLUMNS, struct
 from tidemark.sources.sinks import sink_overwrite
 from tidemark.sources.topic import CORRUPT
@@ -96,28 +96,6 @@ def _slots(when: Column, buckets: int) -> Column:
     return F.collect_set(F.when(when, bucket_of(IDENTIFIER, buckets)))
 
 
-def _rewrite(
-    active: DataFrame, keys: DataFrame, fresh: DataFrame, as_of: datetime, buckets: int
-) -> DataFrame:
-    """New content of the touched buckets, and the versions closed on the way.
-
-    ``keys`` may repeat an identifier, as rows without a readable key share one. The left side is never replicated,
-    and when the batch is small Spark broadcasts it and the store is not shuffled for
-    the join.
-    """
-    hit = keys.select(IDENTIFIER, F.lit(True).alias("_hit")).distinct()
-    matched = F.col("_hit").isNotNull()
-    stamped = active.join(hit, IDENTIFIER, "left").withColumns(
-        {
-            "is_active": ~matched,
-            "end_date": F.when(matched, ts_literal(as_of)).otherwise(F.col("end_date")),
-        }
-    )
-    rows = stamped.select(active.columns).unionByName(fresh.select(active.columns))
-    slot = F.when(F.col("is_active"), bucket_of(IDENTIFIER, buckets)).otherwise(CLOSED)
-    return rows.withColumn(SLOT, slot)
-
-
 class _Run:
     """The stages of one batch. Each writes what the next one reads."""
 
@@ -171,7 +149,8 @@ class _Run:
         landed = typed.agg(F.count(F.lit(1)).alias("n"), _slots(F.lit(True), buckets).alias("s"))
         landed = landed.first()
         schema = persisted_schema(typed.drop(IDENTIFIER))
-        active = state.active(self.before, PERSISTED, schema, set(landed["s"]))
+        shown = [spec.natural_key, IDS[PERSISTED], "hash_key"]
+        active = state.met(self.before, PERSISTED, schema, set(landed["s"]), typed, spec.natural_key, shown)
         classified = merge_classify(typed, active, spec.natural_key)
         snapshot = self._write(
             "classified",
@@ -194,9 +173,9 @@ class _Run:
             self.dag_run_id,
         )
         self.fresh = scd_defaults(fresh, self.as_of).select(schema.names)
-        kept = state.active(self.before, PERSISTED, schema, set(found["s"]))
         closing = filter_merge_type(snapshot, "UPDATE")
-        self._replace(PERSISTED, kept, closing, self.fresh, set(found["s"]), found["last"])
+        key = F.col(spec.natural_key)
+        self._replace(PERSISTED, closing, self.fresh, set(found["s"]), found["last"], key)
 
     def persisted_to_cdc(self) -> None:
         """The rows this run made active. They are already at hand, so the store is not read."""
@@ -222,16 +201,14 @@ class _Run:
         self.touched, self.last_fact = set(found["touched"]), found["last_fact"]
         if found["s"]:
             failing = error_rows(stored, IDS[ERRORS])
-            old = state.active(self.before, ERRORS, ERROR_SCHEMA, set(found["s"]))
-            fresh = scd_defaults(failing, self.as_of)
-            self._replace(ERRORS, old, failing, fresh, set(found["s"]), found["last_error"])
+            fresh = scd_defaults(failing, self.as_of).select(ERROR_SCHEMA.names)
+            self._replace(ERRORS, failing, fresh, set(found["s"]), found["last_error"], F.col(IDENTIFIER))
 
     def stage_to_fact(self) -> None:
         """Every stage row is appended; a fact its identifier still holds is closed."""
         stored = self._stored("stage")
-        kept = self.state.active(self.before, FACT, FACT_SCHEMA, self.touched)
-        fresh = scd_defaults(stored, self.as_of)
-        self._replace(FACT, kept, stored, fresh, self.touched, self.last_fact)
+        fresh = scd_defaults(stored, self.as_of).select(FACT_SCHEMA.names)
+        self._replace(FACT, stored, fresh, self.touched, self.last_fact, F.col(IDENTIFIER))
 
     def _numbered(self, df: DataFrame, table: str) -> DataFrame:
         """New record ids; the frame is written as it is, and read from there by all."""
@@ -240,14 +217,13 @@ class _Run:
     def _replace(
         self,
         table: str,
-        kept: DataFrame,
         closing: DataFrame,
         fresh: DataFrame,
         slots: set[int],
         last_id: int | None,
+        key: Column,
     ) -> None:
-        rows = _rewrite(kept, closing, fresh, self.as_of, self.state.bucket_count)
-        self.state.replace_buckets(self.seq, table, rows)
+        self.state.supersede(self.before, self.seq, table, fresh, closing, self.as_of, slots, key)
         for slot in slots:
             self.after.buckets[(table, slot)] = self.seq
         if last_id is not None:

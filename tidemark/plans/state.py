@@ -20,11 +20,12 @@ import uuid
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.keys import bucket_of
+from tidemark.functions.values import ts_literal
 from tidemark.schemas import ATTEMPT, COMMIT
 
 CLOSED = -1
@@ -253,6 +254,42 @@ class FeedState:
             .parquet(self._versions(table, seq))
         )
 
+    def met(
+        self, commit: Commit, table: str, schema: T.StructType, slots: set[int], landing: DataFrame, key: str, shown: list[str]
+    ) -> DataFrame:
+        """The active versions a landing may meet: those in the buckets of its keys."""
+        return self.active(commit, table, schema, slots)
+
+    def supersede(
+        self,
+        commit: Commit,
+        seq: int,
+        table: str,
+        fresh: DataFrame,
+        closing: DataFrame,
+        as_of: datetime,
+        slots: set[int],
+        key: Column,
+    ) -> None:
+        """Write the touched buckets anew, with ``fresh``, and the versions closed on the way.
+
+        ``closing`` may repeat an identifier, as rows without a readable key share one. The
+        left side is never replicated, and when the batch is small Spark broadcasts it and
+        the store is not shuffled for the join.
+        """
+        active = self.active(commit, table, T.StructType(fresh.schema.fields), slots)
+        hit = closing.select(IDENTIFIER, F.lit(True).alias("_hit")).distinct()
+        matched = F.col("_hit").isNotNull()
+        stamped = active.join(hit, IDENTIFIER, "left").withColumns(
+            {
+                "is_active": ~matched,
+                "end_date": F.when(matched, ts_literal(as_of)).otherwise(F.col("end_date")),
+            }
+        )
+        rows = stamped.select(active.columns).unionByName(fresh.select(active.columns))
+        slot = F.when(F.col("is_active"), bucket_of(IDENTIFIER, self.bucket_count)).otherwise(CLOSED)
+        self.replace_buckets(seq, table, rows.withColumn(SLOT, slot))
+
     def sweep(self, commit: Commit) -> int:
         """Delete bucket folders that ``commit`` no longer points to; returns how many.
 

@@ -43,6 +43,21 @@ def order_files_by_sequence(objects: DataFrame) -> DataFrame:
     return objects.select("file_seq", "file_name").orderBy("file_seq", "file_name")
 
 
+CSV_OPTIONS = {"sep": "|", "header": "true", "quote": '"', "escape": '"', "recursiveFileLookup": "true"}
+
+
+def with_object(rows: DataFrame) -> DataFrame:
+    """The raw fields with the number and path of the object they come from."""
+    path = F.col("_metadata.file_path")
+    return rows.select(*GAMMA_OBJECT.names, object_sequence(path).alias("file_seq"), path.alias("file_name"))
+
+
+def number_object_rows(rows: DataFrame) -> DataFrame:
+    """Rows of objects under their canonical names, empty as NULL, with ``row_id``."""
+    numbered = rows.where("file_seq IS NOT NULL").withColumn("row_id", F.monotonically_increasing_id())
+    return empty_to_null(rename_columns(numbered))
+
+
 def scan_csv_objects_since(spark: SparkSession, folder: str, checkpoint: int) -> DataFrame:
     """Rows of every object beyond the checkpoint, all text, empty as NULL.
 
@@ -51,24 +66,8 @@ def scan_csv_objects_since(spark: SparkSession, folder: str, checkpoint: int) ->
     opening them. ``row_id`` grows along a file (gzip is never split), which gives rows
     a total order together with ``file_seq`` and ``file_name``.
     """
-    path = F.col("_metadata.file_path")
-    rows = (
-        spark.read.schema(GAMMA_OBJECT)
-        .option("sep", "|")
-        .option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("recursiveFileLookup", True)
-        .csv(folder)
-        .where(object_sequence(path) > checkpoint)
-        .select(
-            *GAMMA_OBJECT.names,
-            object_sequence(path).alias("file_seq"),
-            path.alias("file_name"),
-            F.monotonically_increasing_id().alias("row_id"),
-        )
-    )
-    return empty_to_null(rename_columns(rows))
+    rows = spark.read.schema(GAMMA_OBJECT).options(**CSV_OPTIONS).csv(folder)
+    return number_object_rows(with_object(rows).where(F.col("file_seq") > checkpoint))
 
 
 def union_files(*frames: DataFrame) -> DataFrame:
