@@ -19,9 +19,10 @@ from tidemark.operators import quality as q
 from tidemark.sources import seeds
 
 
-@check("validate_required", f"WITH {STAGED} SELECT * FROM stage")
+@check("validate_required", f"WITH {STAGED} SELECT * FROM before UNION ALL BY NAME SELECT * FROM stage")
 def validate_required(spark: SparkSession, sf: str) -> DataFrame:
-    return _conformed(spark, sf, False)
+    """Both batches of messages."""
+    return _conformed(spark, sf, True).unionByName(_conformed(spark, sf, False))
 
 
 _ERROR = """dag_run_id, source_id, 'INVALID' AS error_type,

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from tidemark import functions as fn
 from tidemark.checks import carriers as c
 from tidemark.checks import oracle as o
+from tidemark.checks.merges import STAGED, _conformed, _fact
 from tidemark.checks.registry import check
-from tidemark.operators import audit, reporting
+from tidemark.operators import audit, kpi_state, reporting
 from tidemark.sources import seeds
 
 AT = datetime(1998, 7, 1)
@@ -317,3 +318,55 @@ _TIES = ("handle_time", "work_time", "customer_rating", "pseudo_code", "query_st
 )
 def latest_interactions(spark: SparkSession, sf: str) -> DataFrame:
     return reporting.latest_interactions(view(spark, sf), 25, _TIES)
+
+
+# -- the same figures, kept as a state -------------------------------------------
+
+_AFTER = f"""{STAGED},
+    f AS (SELECT b.* FROM before b LEFT JOIN stage s USING (source_system_identifier)
+          WHERE s.source_system_identifier IS NULL UNION ALL BY NAME SELECT * FROM stage),
+    star AS (
+        SELECT CAST(f.interaction_date AS DATE) AS interaction_day, a.pseudo_code, f.query_status,
+               k.customer_type_name, b.support_area_name, f.handle_time, f.customer_rating,
+               f.first_contact_resolution
+        FROM f JOIN src s USING (source_id)
+        LEFT JOIN agents a ON a.agent_id = f.agent_id
+        LEFT JOIN areas b ON b.support_area_id = f.support_area_id
+        LEFT JOIN kinds k ON k.customer_type_id = f.customer_type_id
+        WHERE f.is_valid)"""
+_LATER = datetime.fromisoformat(c.AS_OF)
+
+
+def state_after(spark: SparkSession, sf: str) -> DataFrame:
+    """The state of the stored fact, brought forward by what merging the stage opens and closes."""
+    fact, stage, dims = _fact(spark, sf), _conformed(spark, sf, False), seeds.dimensions(spark)
+
+    def shown(rows: DataFrame) -> DataFrame:
+        return reporting.customer_support_fact_view(rows, dims, _LATER)
+
+    opened, closed = kpi_state.fact_delta(fact, stage, _LATER)
+    return kpi_state.fold(kpi_state.interaction_state(shown(fact)), shown(opened), shown(closed))
+
+
+@check(
+    "kpi_increment",
+    f"""WITH {_AFTER} SELECT count(*) AS total_interactions,
+    CAST(count(*) FILTER (first_contact_resolution) AS DOUBLE) * 100 / count(*) AS first_contact_pct,
+    CAST(sum(handle_time) AS DOUBLE) / count(*) AS avg_handle_time,
+    CAST(sum(customer_rating) AS DOUBLE) / count(*) AS avg_rating FROM star""",
+)
+def kpi_increment(spark: SparkSession, sf: str) -> DataFrame:
+    return kpi_state.kpi_interactions(state_after(spark, sf))
+
+
+_BY = {
+    "query_status_increment": ["query_status"],
+    "agent_increment": ["pseudo_code"],
+    "type_area_increment": ["customer_type_name", "support_area_name"],
+    "volume_increment": ["interaction_day"],
+}
+for _name, _groups in _BY.items():
+
+    @check(_name, f"WITH {_AFTER} SELECT {', '.join(_groups)}, count(*) AS interactions FROM star GROUP BY ALL")
+    def _increment(spark: SparkSession, sf: str, groups: list[str] = _groups) -> DataFrame:
+        return kpi_state.interactions_by(state_after(spark, sf), *groups)

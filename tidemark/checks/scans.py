@@ -213,11 +213,10 @@ def order_files_by_sequence(spark: SparkSession, sf: str) -> DataFrame:
 
 @check(
     "next_checkpoint",
-    f"SELECT max(topic_offset) AS next_checkpoint FROM ({o.RAW['beta']}) b WHERE {o.FIRST['beta']}",
+    f"SELECT max(topic_offset) AS next_checkpoint FROM ({o.RAW['beta']}) b",
 )
 def next_checkpoint(spark: SparkSession, sf: str) -> DataFrame:
-    batch = c.carrier(spark, sf, c.beta).where(cut("sent", c.ORDER_CUT))
-    return audit.next_checkpoint(batch, "topic_offset")
+    return audit.next_checkpoint(c.carrier(spark, sf, c.beta), "topic_offset")
 
 
 # -- sinks ---------------------------------------------------------------------

@@ -64,3 +64,56 @@ def history_from_changes(
         .alias("end_date"),
         (~deleted & F.col("_next").isNull()).alias("is_active"),
     )
+
+
+def _from(changes: DataFrame, key: str, op_ts: str) -> DataFrame:
+    """One row per changed key: the time of its earliest change."""
+    return changes.groupBy(F.col(key).alias("_key")).agg(F.min(op_ts).alias("_from"))
+
+
+def stale_versions(history: DataFrame, changes: DataFrame, key: str, op_ts: str = "op_ts") -> DataFrame:
+    """Versions that new changes may alter: of changed keys, those that end when their earliest
+    change happens or later. Without late changes these are the open versions alone."""
+    since = _from(changes, key, op_ts)
+    return history.join(since, (history[key] == since["_key"]) & (history["end_date"] >= since["_from"]), "left_semi")
+
+
+def redone_versions(
+    history: DataFrame,
+    changes: DataFrame,
+    key: str,
+    op: str = "op",
+    op_ts: str = "op_ts",
+    seq: str = "seq",
+    chunk_seconds: int = 60,
+) -> DataFrame:
+    """The versions that stand in place of the stale ones, and those of the new changes.
+
+    A version is a change with its end worked out, so the stale versions and the new changes
+    together are a change log, and late changes fall between the versions they belong between.
+    A table format applies this as: delete the stale (key, seq), insert these.
+    """
+    stale = stale_versions(history, changes, key, op_ts)
+    body = [c for c in history.columns if c not in ("dml_operation", "start_date", "end_date", "is_active")]
+    again = stale.select(*body, F.col("dml_operation").alias(op), F.col("start_date").alias(op_ts))
+    return history_from_changes(again.unionByName(changes), key, op, op_ts, seq, chunk_seconds)
+
+
+def history_increment(
+    history: DataFrame,
+    changes: DataFrame,
+    key: str,
+    op: str = "op",
+    op_ts: str = "op_ts",
+    seq: str = "seq",
+    chunk_seconds: int = 60,
+) -> DataFrame:
+    """The history after more changes, equal to that of all changes at once.
+
+    Only versions of changed keys from their earliest change on are worked on again; all
+    others pass as they are. Changes without a key make no history, as keys are never NULL.
+    """
+    since = _from(changes, key, op_ts)
+    kept = history.join(since, (history[key] == since["_key"]) & (history["end_date"] >= since["_from"]), "left_anti")
+    redone = redone_versions(history, changes, key, op, op_ts, seq, chunk_seconds)
+    return kept.unionByName(redone.select(history.columns))

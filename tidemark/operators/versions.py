@@ -49,3 +49,16 @@ def current_of(log: DataFrame, keys: DataFrame, key: str = KEY, run: str = RUN)
 def active_of(log: DataFrame, key: str = KEY, run: str = RUN) -> DataFrame:
     """Active versions only, with ``end_date`` and ``is_active``."""
     return versions_at_read(log, key, run).where("is_active")
+
+
+def delta_since(log: DataFrame, since: int, key: str = KEY, run: str = RUN) -> tuple[DataFrame, DataFrame]:
+    """(opened, closed) by the runs after ``since``, both as they are while open.
+
+    What was active at ``since``, less what is closed, plus what is opened, is active now. A
+    version that a later one of these runs closed again is in neither. The older log is cut to
+    the keys of the newer one, so the work follows the new runs.
+    """
+    newer, older = log.where(F.col(run) > since), log.where(F.col(run) <= since)
+    keys = newer.select(F.col(key).alias("_key")).where("_key is not null").distinct()
+    met = older.join(keys, older[key] == keys["_key"], "left_semi")
+    return active_of(newer, key, run), active_of(met, key, run)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.versions import KEY, current_of, versions_at_read
+from tidemark.operators.versions import KEY, current_of, delta_since, versions_at_read
 from tidemark.plans.state import Commit, FeedState, _digest, empty_table, matching_paths
 from tidemark.schemas import COMMIT, VERSION_COLUMNS
 from tidemark.sources.sinks import create_absent, read_text, sink_overwrite
@@ -175,6 +175,11 @@ class VersionLog(FeedState):
         kept = [c for c in fresh.columns if c not in VERSION_COLUMNS or c == "start_date"]
         sink_overwrite(fresh.select(*kept, key.cast("string").alias(KEY)), self.batch_path(seq, table))
 
+    def delta(self, since: int, table: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+        """Versions that the batches after ``since`` opened and closed, for figures kept as a state."""
+        opened, closed = delta_since(self.log(self.latest(), table, schema), since)
+        return opened.select(schema.names), closed.select(schema.names)
+
     def landings(self, commit: Commit) -> list[str]:
         return self._outputs(commit, "landing")
 
