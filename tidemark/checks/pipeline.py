@@ -11,7 +11,7 @@ from tidemark.checks import carriers as c
 from tidemark.checks import oracle as o
 from tidemark.checks.registry import check
 from tidemark.checks.scans import SEQ_CUT, cut
-from tidemark.feeds import ALPHA, BETA, GAMMA
+from tidemark.feeds import ALPHA, BETA, BETA_PARTITIONED, GAMMA
 from tidemark.functions.values import rename_columns
 from tidemark.plans import ingest
 from tidemark.plans.state import FeedState
@@ -22,6 +22,7 @@ from tidemark.sources import (
     parse_xml_records,
     scan_csv_objects_since,
     scan_documents_since,
+    scan_partitions_since,
     scan_topic_since,
     seeds,
 )
@@ -132,6 +133,22 @@ def ingest_batch_gamma(spark: SparkSession, sf: str) -> DataFrame:
     return _without_ids(ingest.fact_versions(two_batches(spark, sf, "gamma")))
 
 
+@check("ingest_batch_partitions", fact_sql("beta"))
+def ingest_batch_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    """The messages from three partitions, each with a checkpoint of its own."""
+    folder = work_folder(spark, "ingest-partitions")
+    state = VersionLog(spark, f"{folder}/state", BETA.source)
+    dims = seeds.dimensions(spark)
+    edge, place = cut("sent", c.ORDER_CUT), [F.expr("CAST(offset % 3 AS int)").alias("partition")]
+    for batch, as_of in enumerate(TIMES):
+        rows = c.carrier(spark, sf, c.beta).where(edge if batch == 0 else f"NOT ({edge})")
+        split = c.as_messages(rows).select(*place, F.expr("offset div 3").alias("offset"), "value")
+        split.write.mode("append").parquet(f"{folder}/raw")
+        since = scan_partitions_since(spark, f"{folder}/raw", state.latest().positions)
+        ingest.ingest_batch(state, BETA_PARTITIONED, parse_xml_records(since), dims, f"beta-{batch}", as_of)
+    return _without_ids(ingest.fact_versions(state))
+
+
 @check("replayed_run_key", fact_sql("alpha"))
 def replayed_run_key(spark: SparkSession, sf: str) -> DataFrame:
     """The first run's key once more, with the whole feed, after two batches: nothing changes."""

@@ -9,10 +9,10 @@ from tidemark.checks import carriers as c
 from tidemark.checks import oracle as o
 from tidemark.checks.registry import check
 from tidemark.functions.values import empty_to_null, rename_columns
-from tidemark.operators import audit, conform
+from tidemark.operators import audit, conform, history, keys
 from tidemark.schemas import BETA_RECORD
 from tidemark.session import work_folder
-from tidemark.sources import objects, sinks, tables, topic
+from tidemark.sources import layouts, objects, sinks, tables, topic
 from tidemark.sources import documents as docs
 from tidemark.sources import seeds
 
@@ -69,6 +69,45 @@ def scan_topic_since(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# Three partitions with interleaved offsets.
+_SPLIT_SQL = "CAST(topic_offset % 3 AS INTEGER) AS partition, topic_offset // 3 AS \"offset\""
+_LOADED_SQL = f"""b AS ({o.RAW["beta"]}),
+    loaded AS (SELECT topic_offset % 3 AS p, max(topic_offset // 3) AS o FROM b WHERE {o.FIRST["beta"]} GROUP BY 1)"""
+
+
+def split_topic(spark: SparkSession, sf: str) -> tuple[DataFrame, dict[int, int]]:
+    """All messages in three partitions, and the checkpoint that the first half leaves."""
+    feed = c.carrier(spark, sf, c.beta)
+    place = [(F.col("topic_offset") % 3).cast("int").alias("partition"), F.expr("topic_offset div 3").alias("offset")]
+    loaded = topic.next_positions(feed.where(cut("sent", c.ORDER_CUT)).select(*place))
+    messages = c.as_messages(feed).withColumnRenamed("offset", "topic_offset").select(*place, "value")
+    return messages, {r.partition: r.position for r in loaded.collect()}
+
+
+@check(
+    "scan_topic_partitions",
+    f"""WITH {_LOADED_SQL}
+    SELECT {_SPLIT_SQL}, {_xml_sql()} AS value FROM b
+    LEFT JOIN loaded ON p = topic_offset % 3 WHERE o IS NULL OR topic_offset // 3 > o""",
+)
+def scan_topic_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    messages, checkpoints = split_topic(spark, sf)
+    path = work_folder(spark, "topic-partitions")
+    messages.write.parquet(path)
+    return topic.scan_partitions_since(spark, path, checkpoints)
+
+
+@check(
+    "topic_partition_lag",
+    f"""WITH {_LOADED_SQL}
+    SELECT CAST(topic_offset % 3 AS INTEGER) AS partition, coalesce(any_value(o), -1) AS loaded,
+           max(topic_offset // 3) + 1 AS high, max(topic_offset // 3) - coalesce(any_value(o), -1) AS waiting
+    FROM b LEFT JOIN loaded ON p = topic_offset % 3 GROUP BY topic_offset % 3""",
+)
+def topic_partition_lag(spark: SparkSession, sf: str) -> DataFrame:
+    return topic.partition_lag(*split_topic(spark, sf))
+
+
 @check(
     "scan_csv_objects_since",
     f"""SELECT {GAMMA_FIELDS} FROM ({o.RAW["gamma"]}) g WHERE file_seq > {SEQ_CUT}""",
@@ -219,6 +258,98 @@ def next_checkpoint(spark: SparkSession, sf: str) -> DataFrame:
     return audit.next_checkpoint(c.carrier(spark, sf, c.beta), "topic_offset")
 
 
+# -- layouts -------------------------------------------------------------------
+
+
+@check(
+    "routed_fact",
+    f"""WITH {o.DIMS} SELECT f.* FROM ({c.facts(True)}) f JOIN src USING (source_id)
+    WHERE source_name = 'CLIENT_BETA'""",
+)
+def routed_fact(spark: SparkSession, sf: str) -> DataFrame:
+    """The facts of one source, found through the sources dimension in a routed layout."""
+    path, facts = work_folder(spark, "routed"), c.carrier(spark, sf, c.facts)
+    layouts.write_routed(facts, path)
+    one = seeds.sources(spark).where("source_name = 'CLIENT_BETA'")
+    return layouts.of_sources(layouts.read_routed(spark, path, facts.schema), one)
+
+
+_EVENT_VERSIONS = """SELECT user_id, event_id AS seq, value, ts AS start_date,
+    coalesce(lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id), TIMESTAMP '9999-12-31 23:59:59') AS end_date
+    FROM events"""
+
+
+def event_versions(spark: SparkSession, sf: str) -> DataFrame:
+    changes = c.table(spark, sf, "events").selectExpr(
+        "user_id", "event_id AS seq", "value", "'UPDATE' AS op", "ts AS op_ts"
+    )
+    versions = history.history_from_changes(changes, "user_id")
+    return versions.select("user_id", "seq", "value", "start_date", "end_date")
+
+
+@check(
+    "versions_at_moments",
+    f"""WITH v AS ({_EVENT_VERSIONS}), m AS (
+    SELECT min(ts) + (max(ts) - min(ts)) / 4 AS a, min(ts) + (max(ts) - min(ts)) / 2 AS b, max(ts) AS c FROM events),
+    t AS (SELECT 0 AS moment, date_trunc('second', a) AS held FROM m UNION ALL SELECT 1, date_trunc('second', b) FROM m
+          UNION ALL SELECT 2, date_trunc('second', c) FROM m)
+    SELECT moment, v.* FROM v JOIN t ON start_date <= held AND end_date > held""",
+)
+def versions_at_moments(spark: SparkSession, sf: str) -> DataFrame:
+    """The versions in force at three moments, from a layout by the month of their end."""
+    path, versions = work_folder(spark, "by-end"), event_versions(spark, sf)
+    layouts.write_by_end(versions, path)
+    low, high = c.table(spark, sf, "events").agg(F.min("ts"), F.max("ts")).first()
+    moments = [(low + (high - low) / part).replace(microsecond=0) for part in (4, 2, 1)]
+    laid = layouts.read_by_end(spark, path, versions.schema)
+    found = [
+        layouts.versions_at(laid, at).withColumn("moment", F.lit(i)) for i, at in enumerate(moments)
+    ]
+    return objects.union_files(*found)
+
+
+@check(
+    "interval_lookup",
+    """SELECT e.event_id, e.user_id, e.ts, p.value AS purchase_value
+    FROM events e ASOF LEFT JOIN (SELECT user_id, ts, value FROM events WHERE event_type = 'purchase') p
+    ON e.user_id = p.user_id AND e.ts >= p.ts""",
+)
+def interval_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """Every event with its user's last purchase as of then."""
+    events = c.table(spark, sf, "events")
+    changes = events.where("event_type = 'purchase'").selectExpr(
+        "user_id", "event_id AS seq", "value AS purchase_value", "'UPDATE' AS op", "ts AS op_ts"
+    )
+    versions = history.history_from_changes(changes, "user_id")
+    shown = events.select("event_id", "user_id", "ts")
+    return layouts.interval_lookup(shown, versions, "user_id", "ts", ["purchase_value"])
+
+
+@check(
+    "dense_surrogate_key",
+    """SELECT batch, count(*) AS records, CASE batch WHEN 0 THEN 1 ELSE (SELECT count(*) FROM lineitem) + 1 END AS first_id,
+    CASE batch WHEN 0 THEN count(*) ELSE (SELECT count(*) FROM lineitem) + count(*) END AS last_id, count(*) AS ids
+    FROM (SELECT 0 AS batch FROM lineitem UNION ALL SELECT 1 FROM orders) b GROUP BY batch""",
+)
+def dense_surrogate_key(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids of two written batches: they follow each other without a gap."""
+    out, last = [], 0
+    for batch, name in enumerate(("lineitem", "orders")):
+        path = work_folder(spark, "numbered")
+        rows = c.table(spark, sf, name).repartition(7)
+        keys.surrogate_key(rows.select(F.lit(batch).alias("batch")), "id", last).write.parquet(path)
+        dense = keys.dense_key(spark.read.parquet(path), "id", last)
+        figures = dense.groupBy("batch").agg(
+            F.count(F.lit(1)).alias("records"),
+            F.min("id").alias("first_id"),
+            F.max("id").alias("last_id"),
+            F.count_distinct("id").alias("ids"),
+        )
+        out.append(figures)
+        last = figures.first()["last_id"]
+    return objects.union_files(*out)
+
+
 # -- sinks ---------------------------------------------------------------------
 
 

@@ -7,7 +7,7 @@ one per feed.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -25,7 +25,8 @@ class FeedSpec:
     ``position`` is the column the checkpoint advances on. ``newest_first`` ranks
     the copies of a key within a batch; the first in that order is kept. ``typed``
     turns landed text into stored columns and ``conformed`` turns stored columns
-    into fact columns; a column missing from either is carried over by name.
+    into fact columns; a column missing from either is carried over by name. A feed with
+    ``partition`` has a checkpoint for each of that column's values.
     """
 
     source: str
@@ -37,6 +38,7 @@ class FeedSpec:
     typed: dict[str, Callable[[], Column]]
     lookups: dict[str, str]
     conformed: dict[str, Callable[[], Column]]
+    partition: str | None = None
 
     @property
     def fields(self) -> list[str]:
@@ -122,6 +124,14 @@ BETA = FeedSpec(
     },
 )
 
+# The same messages from a topic of several partitions. Offsets say nothing across
+# partitions; of copies created at the same time the one of highest offset is kept.
+BETA_PARTITIONED = replace(
+    BETA,
+    partition="topic_partition",
+    rank=(*BETA.rank[:2], lambda: F.desc("topic_partition"), *BETA.rank[2:]),
+)
+
 GAMMA = FeedSpec(
     source="CLIENT_GAMMA",
     natural_key="ticket_identifier",

@@ -29,7 +29,7 @@ from tidemark.operators.quality import error_rows, validate_required, without_ma
 from tidemark.plans.state import IDENTIFIER, REBUCKETED, Commit, FeedState
 from tidemark.schemas import ATTEMPT, COMMIT, RUN_LOG, VERSION_COLUMNS, struct
 from tidemark.sources.sinks import sink_overwrite
-from tidemark.sources.topic import CORRUPT
+from tidemark.sources.topic import CORRUPT, next_positions
 
 PERSISTED, FACT, ERRORS = "persisted", "fact", "errors"
 IDS = {PERSISTED: "prs_record_id", FACT: "fact_id", ERRORS: "data_error_id"}
@@ -110,6 +110,7 @@ class _Run:
             run_key=self.run_key,
             last_ids=dict(before.last_ids),
             buckets=dict(before.buckets),
+            positions=dict(before.positions),
         )
         self.counts: dict[str, int] = {}
         self.schemas: dict[str, T.StructType] = {}
@@ -140,6 +141,9 @@ class _Run:
         top = seen.get["top"]
         known = [c for c in (top, self.before.source_checkpoint) if c is not None]
         self.after.source_checkpoint = max(known) if known else None
+        if spec.partition:  # one row per partition; only the two columns are read
+            for p, top in next_positions(batch, spec.partition, spec.position).collect():
+                self.after.positions[p] = max(top, self.after.positions.get(p, top))
 
     def landing_to_persisted(self) -> None:
         state, spec, buckets = self.state, self.spec, self.state.bucket_count

@@ -64,10 +64,17 @@ class Commit:
     last_ids: dict[str, int] = field(default_factory=dict)
     buckets: dict[tuple[str, int], int] = field(default_factory=dict)
     bucket_count: int | None = None
+    positions: dict[int, int] = field(default_factory=dict)
 
     def as_row(self) -> dict:
         entries = [(table, bucket, seq) for (table, bucket), seq in sorted(self.buckets.items())]
-        return {"last_ids": self.last_ids, "buckets": entries, "bucket_count": self.bucket_count}
+        positions = {str(p): offset for p, offset in self.positions.items()}
+        return {
+            "last_ids": self.last_ids,
+            "buckets": entries,
+            "bucket_count": self.bucket_count,
+            "positions": positions,
+        }
 
 
 class FeedState:
@@ -101,6 +108,7 @@ class FeedState:
             dict(row.last_ids),
             {(b.table, b.bucket): b.seq for b in row.buckets},
             self.bucket_count,
+            {int(p): offset for p, offset in (row.positions or {}).items()},
         )
 
     def publish(self, run: DataFrame, seq: int, run_key: str) -> None:
@@ -187,7 +195,7 @@ class FeedState:
             for found in matching_paths(self.spark, f"{self._versions(table, seq)}/{SLOT}=*"):
                 after[table, int(found.rsplit("=", 1)[1])] = seq
         key = f"{self.source} in {buckets} buckets, {seq}"
-        laid = Commit(seq, key, before.source_checkpoint, before.last_ids, after, buckets)
+        laid = Commit(seq, key, before.source_checkpoint, before.last_ids, after, buckets, before.positions)
         row = {
             "dag_run_id": seq,
             "run_key": key,

@@ -51,7 +51,11 @@ class VersionLog(FeedState):
             return Commit(bucket_count=self.bucket_count)
         row = json.loads(read_text(self.spark, found[-1]))
         return Commit(
-            row["dag_run_id"], row["run_key"], row.get("source_checkpoint"), dict(row.get("last_ids") or {}), {}, None
+            row["dag_run_id"],
+            row["run_key"],
+            row.get("source_checkpoint"),
+            dict(row.get("last_ids") or {}),
+            positions={int(p): offset for p, offset in (row.get("positions") or {}).items()},
         )
 
     def publish(self, run: DataFrame, seq: int, run_key: str) -> None:

@@ -39,6 +39,7 @@ BETA_RECORD = struct(
     SUPPORT_RATING string, TIME_STAMP string"""
 )
 TOPIC_MESSAGE = struct("offset bigint, value string")
+PARTITION_MESSAGE = struct("partition int, offset bigint, value string")
 GAMMA_OBJECT = struct(
     """TICKET_IDENTIFIER string, SUPPORT_CATEGORY string, AGENT_NAME string,
     DATE_OF_CALL string, CALL_STATUS string, CALL_TYPE string, TYPE_OF_CUSTOMER string,
@@ -105,6 +106,7 @@ COMMIT = T.StructType(
         T.StructField("last_ids", T.MapType(T.StringType(), T.LongType())),
         T.StructField("buckets", T.ArrayType(struct("table string, bucket int, seq bigint"))),
         T.StructField("bucket_count", T.IntegerType()),
+        T.StructField("positions", T.MapType(T.StringType(), T.LongType())),
     ]
 )
 # One try at a batch that is not published: its run-log columns and statuses so far.

@@ -16,8 +16,12 @@ from tidemark.sources.sinks import (  # noqa: F401
 )
 from tidemark.sources.tables import jdbc_subquery_scan, subquery_scan  # noqa: F401
 from tidemark.sources.topic import (  # noqa: F401
+    has_partition_lag,
     has_topic_lag,
+    next_positions,
     parse_xml_records,
+    partition_lag,
+    scan_partitions_since,
     scan_topic_since,
     topic_reader,
 )

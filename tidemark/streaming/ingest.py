@@ -13,8 +13,9 @@ from tidemark.feeds import FeedSpec
 from tidemark.operators.filters import filter_beyond_checkpoint
 from tidemark.plans.ingest import ingest_batch
 from tidemark.plans.state import FeedState
-from tidemark.schemas import ALPHA_DOCUMENT, GAMMA_OBJECT, TOPIC_MESSAGE
+from tidemark.schemas import ALPHA_DOCUMENT, GAMMA_OBJECT, PARTITION_MESSAGE, TOPIC_MESSAGE
 from tidemark.sources.objects import CSV_OPTIONS, with_object
+from tidemark.sources.topic import beyond_positions
 
 
 def _reader(spark: SparkSession, schema: StructType, files_per_batch: int | None):
@@ -38,6 +39,12 @@ def message_stream(
     return _reader(spark, TOPIC_MESSAGE, files_per_batch).parquet(folder)
 
 
+def partitioned_message_stream(
+    spark: SparkSession, folder: str, files_per_batch: int | None = None
+) -> DataFrame:
+    return _reader(spark, PARTITION_MESSAGE, files_per_batch).parquet(folder)
+
+
 def object_stream(
     spark: SparkSession, folder: str, files_per_batch: int | None = None
 ) -> DataFrame:
@@ -66,7 +73,9 @@ def upsert_by_position(
     def apply(batch: DataFrame, batch_id: int) -> None:
         before = state.latest()
         rows = prepare(batch)
-        if before.source_checkpoint is not None:
+        if spec.partition:
+            rows = rows.where(beyond_positions(before.positions, spec.partition, spec.position))
+        elif before.source_checkpoint is not None:
             rows = filter_beyond_checkpoint(rows, spec.position, before.source_checkpoint)
         ingest_batch(state, spec, rows, dims, f"{spec.source}-{before.seq}", as_of(before.seq))
 
