@@ -19,6 +19,18 @@ def test_documents_since(spark, tmp_path):
     assert rows(documents.has_new_documents(every, 2)) == [(False,)]
 
 
+def test_documents_before_the_checkpoint_are_not_opened(spark, tmp_path):
+    raw = spark.createDataFrame([tuple(document(i, i).get(n) for n in ALPHA_DOCUMENT.names) for i in range(100)], ALPHA_DOCUMENT)
+    documents.land_documents(raw, str(tmp_path / "d"), 10)
+    (tmp_path / "d" / "serial_until=9" / "broken.json").write_text("{\"serial_number\": 77}")
+    write_documents(tmp_path / "d" / "loose", "b", [document(500, 1)])
+    got = documents.scan_documents_since(spark, str(tmp_path / "d"), 74)
+    # A file in a folder of lower numbers is not looked into; one without a range is.
+    assert sorted(r.serial_number for r in got.collect()) == [*range(75, 100), 500]
+    every = documents.scan_documents_since(spark, str(tmp_path / "d"), -1)
+    assert every.count() == 102 and every.schema == ALPHA_DOCUMENT
+
+
 def test_messages_from_offset_zero_and_blank_fields(spark, tmp_path):
     path = str(tmp_path / "topic")
     values = [

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tidemark.schemas import ALPHA_DOCUMENT, BETA_RECORD, GAMMA_OBJECT
 from tidemark.sources import seeds
+from tidemark.sources.documents import land_documents
 
 # Batches are cut at these moments; everything is in one batch or the other.
 EVENT_CUT = "2024-01-16 00:00:00"
@@ -236,8 +237,8 @@ def carrier(spark: SparkSession, sf_dir: str, sql: Callable[..., str]) -> DataFr
 # -- raw formats ---------------------------------------------------------------
 
 
-def write_documents(docs: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Documents as JSON, with the field names the producer uses."""
+def write_documents(docs: DataFrame, path: str, mode: str = "overwrite", span: int = 50_000) -> None:
+    """Documents as JSON, with the field names the producer uses, by ranges of serial numbers."""
     lower = {n.lower(): n for n in ALPHA_DOCUMENT.names}
     named = docs.withColumns(
         {
@@ -245,7 +246,7 @@ def write_documents(docs: DataFrame, path: str, mode: str = "overwrite") -> None
             "record_id": F.col("interaction_id"),
         }
     )
-    named.select(*[F.col(c).alias(n) for c, n in lower.items()]).write.mode(mode).json(path)
+    land_documents(named.select(*[F.col(c).alias(n) for c, n in lower.items()]), path, span, mode)
 
 
 def as_messages(records: DataFrame) -> DataFrame:

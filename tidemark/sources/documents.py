@@ -2,22 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.filters import filter_beyond_checkpoint
 from tidemark.schemas import ALPHA_DOCUMENT
 
 
+UNTIL = "serial_until"
+
+
+def land_documents(documents: DataFrame, path: str, span: int, mode: str = "append") -> None:
+    """Raw documents in folders by ranges of ``span`` serial numbers, each named after the last
+    number it can hold, so that a scan need not open what lies before its checkpoint."""
+    until = (F.floor(F.col("serial_number") / span) + 1) * span - 1
+    documents.withColumn(UNTIL, until).write.partitionBy(UNTIL).mode(mode).json(path)
+
+
+def _may_lie_beyond(checkpoint: int) -> Column:
+    """Looks at a file's path alone: Spark drops the others before it opens them. Files whose
+    path names no range are opened."""
+    until = F.regexp_extract(F.col("_metadata.file_path"), rf"/{UNTIL}=(\d+)/", 1).try_cast("bigint")
+    return F.coalesce(until > checkpoint, F.lit(True))
+
+
 def scan_documents_since(
     spark: SparkSession, path: str, checkpoint: int, fmt: str = "json"
 ) -> DataFrame:
     """Documents strictly beyond the checkpoint.
 
     ``fmt`` names any Spark source that yields these fields, so a document-store
-    connector slots in where one is installed and receives the filter as a pushdown.
+    connector slots in where one is installed and receives the filter as a pushdown. Of raw
+    files laid out by ``land_documents`` only those are opened that can hold new numbers.
     """
-    documents = spark.read.format(fmt).schema(ALPHA_DOCUMENT).load(path)
+    documents = spark.read.format(fmt).schema(ALPHA_DOCUMENT)
+    if fmt == "json":
+        found = documents.option("recursiveFileLookup", True).load(path)
+        documents = found.where(_may_lie_beyond(checkpoint))
+    else:
+        documents = documents.load(path)
     return filter_beyond_checkpoint(documents, "serial_number", checkpoint)
 
 

@@ -30,7 +30,7 @@ def _reader(spark: SparkSession, schema: StructType, files_per_batch: int | None
 def document_stream(
     spark: SparkSession, folder: str, files_per_batch: int | None = None
 ) -> DataFrame:
-    return _reader(spark, ALPHA_DOCUMENT, files_per_batch).json(folder)
+    return _reader(spark, ALPHA_DOCUMENT, files_per_batch).option("recursiveFileLookup", True).json(folder)
 
 
 def message_stream(
