@@ -111,13 +111,15 @@ def minimax_shards(rows: DataFrame, group: str, size: str, tie: str, shards: int
     return sharded.withColumn("slot", F.col("pos") - first).drop("pos")
 
 
-def shard_documents(docs: DataFrame, shards: int = 8) -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = 8, order: Column | None = None) -> DataFrame:
     """One row per document: doc_id, size, text_crc32, shard, slot.
 
     Size is the UTF-8 bytes of the text plus one. Documents with equal texts form a group,
     null texts another one; groups lie in the order of their texts' SHA-256, so a shard is
-    as mixed as the whole. Repeated rows are placed each for itself. Other columns of
-    ``docs`` are not looked at.
+    as mixed as the whole. With ``order``, a long that differs from row to row, groups lie in
+    the order of their first row instead: shards are consecutive ranges of a given order, and
+    slots follow it. Repeated rows are placed each for itself. Other columns of ``docs`` are
+    not looked at.
     """
     text = F.col("text").cast("binary")
     rows = docs.select(
@@ -125,7 +127,15 @@ def shard_documents(docs: DataFrame, shards: int = 8) -> DataFrame:
         (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
         F.coalesce(F.crc32(text), F.lit(0)).cast("long").alias("text_crc32"),
         F.coalesce(F.unhex(F.sha2(text, 256)), F.lit(b"")).alias("text_key"),
+        *([] if order is None else [order.cast("long").alias("place")]),
     )
-    return minimax_shards(rows, "text_key", "size", "doc_id", shards).select(
+    if order is None:
+        sharded = minimax_shards(rows, "text_key", "size", "doc_id", shards)
+    else:
+        # The first place of a text names it as well as its hash does.
+        first = rows.groupBy("text_key").agg(F.min("place").alias("first"))
+        rows = rows.join(first, "text_key").drop("text_key")
+        sharded = minimax_shards(rows, "first", "size", "place", shards)
+    return sharded.select(
         "doc_id", "size", "text_crc32", F.col("shard").cast("int"), F.col("slot").cast("long")
     )
