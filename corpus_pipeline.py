@@ -7,6 +7,7 @@ written as Parquet, and the next stage reads it. All but the last return the col
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,15 +22,24 @@ QUALITY_THRESHOLD = 0.7
 SHARDS = 8
 
 
-def _named(docs: DataFrame, decided: DataFrame) -> Column:
-    return docs["doc_id"].eqNullSafe(decided["_id"])
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have."""
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` less the rows whose doc_id is among those of ``gone``; a null matches a null."""
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone[gone.columns[0]]), "left_anti")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go. Rows of one doc_id are judged together."""
+    """Documents that the classifier rejects go. Rows of one doc_id are judged together: the
+    best counts; rows without doc_id likewise. Without labels of a bad class all stay."""
     scored = quality_scores(docs, table(spark, sf_dir, "labels"), QUALITY_THRESHOLD)
-    poor = scored.groupBy(F.col("doc_id").alias("_id")).agg(F.max("predicted").alias("best"))
-    return docs.join(poor.where("best = 0"), _named(docs, poor), "left_anti")
+    poor = scored.groupBy(F.col("doc_id").alias(_free(docs, "_id"))).agg(F.max("predicted").alias("best"))
+    return _without(docs, poor.where("best = 0").drop("best"))
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,11 +48,11 @@ def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     Shingles are five words, the similarity 0.8. Of rows that repeat a doc_id one stays, that
     of the smallest text; rows without doc_id all stay.
     """
-    found = near_duplicates(docs, width=5, percent=80)
-    kept = found.where("kept and doc_id is not null").select(F.col("doc_id").alias("_id")).distinct()
+    found, name = near_duplicates(docs, width=5, percent=80), _free(docs, "_id")
+    kept = found.where("kept and doc_id is not null").select(F.col("doc_id").alias(name)).distinct()
     rest = [c for c in docs.columns if c != "doc_id"]
     one = (
-        docs.join(kept, docs["doc_id"] == kept["_id"])
+        docs.join(kept, docs["doc_id"] == kept[name])
         .groupBy("doc_id")
         .agg(F.min(F.struct(F.col("text").alias("text"), *(F.col(c) for c in rest if c != "text"))).alias("row"))
         .select("doc_id", "row.*")
@@ -51,26 +61,45 @@ def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go, with all rows of their doc_id; null and empty
+    texts hold none. Without a benchmark all stay."""
     found = contaminated(docs, table(spark, sf_dir, "benchmark"))
-    leaks = found.select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(leaks, _named(docs, leaks), "left_anti")
+    return _without(docs, found.select(F.col("doc_id").alias(_free(docs, "_id"))).distinct())
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, in the order of the mix: sources have their target weights, to less than
     two blocks; one that has run dry leaves, and the others go on by their weights.
 
-    Rows of one doc_id stand together, at the place of the first.
+    Rows of one doc_id stand together, at the place of the first. The order is that of the
+    rows in the files written, by which the next stage cuts its shards.
     """
-    places = mix(docs).groupBy(F.col("doc_id").alias("_id")).agg(F.min("position").alias("_at"))
-    placed = docs.join(places, _named(docs, places), "left")
-    return placed.orderBy("_at", F.xxhash64("text")).select(*(docs[c] for c in docs.columns))
+    name, at = _free(docs, "_id"), _free(docs, "_at")
+    places = mix(docs).groupBy(F.col("doc_id").alias(name)).agg(F.min("position").alias(at))
+    placed = docs.join(places, docs["doc_id"].eqNullSafe(places[name]), "left")
+    return placed.orderBy(at, F.xxhash64("text")).select(*(docs[c] for c in docs.columns))
+
+
+def stored_order(docs: DataFrame) -> Column | None:
+    """The place of each row in the files ``docs`` is read from, in the order of their numbers;
+    None where it does not come from files."""
+    try:
+        docs.select("_metadata.file_name", "_metadata.row_index")
+    except AnalysisException:
+        return None
+    part = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1).try_cast("long")
+    return F.coalesce(part, F.lit(0)) * (1 << 40) + F.col("_metadata.row_index")
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, size, text_crc32, shard and slot of every document."""
-    return shard_documents(docs, SHARDS)
+    """doc_id, size, text_crc32, shard and slot of every document.
+
+    Shards are consecutive ranges of the mix, of near-equal bytes, and slots follow it, so
+    that each shard, read in order, has the sources' target weights. Equal texts stand
+    together, where the first of them does; a null text counts as an empty one with its own
+    group. No documents give no rows.
+    """
+    return shard_documents(docs, SHARDS, stored_order(docs))
 
 
 STAGES = [
@@ -81,7 +110,8 @@ STAGES = [
     ("sharding", sharding),
 ]
 
-# A trained classifier has no SQL form; tests hold run() against a brute-force version.
+# A trained classifier has no SQL form; tests hold run() against its single stages and the
+# last two against plain Python.
 ORACLE_SQL: str | None = None
 
 
