@@ -13,7 +13,9 @@ from tidemark.checks import oracle as o
 from tidemark.checks.merges import STAGED, _conformed, _fact
 from tidemark.checks.registry import check
 from tidemark.operators import audit, kpi_state, reporting
+from tidemark.session import work_folder
 from tidemark.sources import seeds
+from tidemark.sources.sinks import sink_overwrite
 
 AT = datetime(1998, 7, 1)
 RUNS = c.runs(True)
@@ -338,8 +340,13 @@ _LATER = datetime.fromisoformat(c.AS_OF)
 
 
 def state_after(spark: SparkSession, sf: str) -> DataFrame:
-    """The state of the stored fact, brought forward by what merging the stage opens and closes."""
-    fact, stage, dims = _fact(spark, sf), _conformed(spark, sf, False), seeds.dimensions(spark)
+    """The state of the stored fact, brought forward by what merging the stored stage opens and closes."""
+    dims, stored = seeds.dimensions(spark), []
+    for name, rows in (("fact", _fact(spark, sf)), ("stage", _conformed(spark, sf, False))):
+        path = work_folder(spark, f"kpi-{name}")
+        sink_overwrite(rows, path)
+        stored.append(spark.read.schema(rows.schema).parquet(path))
+    fact, stage = stored
 
     def shown(rows: DataFrame) -> DataFrame:
         return reporting.customer_support_fact_view(rows, dims, _LATER)
