@@ -69,7 +69,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, in the order of the mix: sources have their target weights, to less than
-    two blocks; one that has run dry leaves, and the others go on by their weights.
+    one block; one that has run dry leaves, and the others go on by their weights.
 
     Rows of one doc_id stand together, at the place of the first. The order is that of the
     rows in the files written, by which the next stage cuts its shards.
