@@ -237,6 +237,27 @@ def test_personal_data_spans_and_disclosing_terms(spark):
     assert personal_data(docs.limit(0)).count() == 0
 
 
+def test_terms_far_from_a_mention_and_at_all_their_places(spark):
+    far = " filler" * 40
+    texts = [f"Bo runs it.{far} bo@mail.example.com{far} ask bo, (Bo)", f"ann and Bo.{far} BO@mail.example.com"]
+    texts += ["filler mail example com and it ask runs"] * 3 + [f"other {i}" for i in range(20)]
+    docs = docs_of(spark, texts)
+    rows = personal_data(docs).orderBy("doc_id").collect()
+    marked = [[(m.kind, t[m.start : m.stop]) for m in r.marks] for r, t in zip(rows, texts)]
+    assert marked[0] == [("removed", "Bo"), ("email", "bo@mail.example.com"), ("removed", "bo"), ("removed", "Bo")]
+    assert marked[1] == [("removed", "Bo"), ("email", "BO@mail.example.com")]
+    assert not any(marked[2:])
+
+
+def test_entities_of_the_same_documents_count_as_one_and_long_texts_end(spark):
+    listed = " ".join(f"{i}: user{i}@mail.example.com word{i}" for i in range(5_000))
+    docs = docs_of(spark, [listed, "copy " + listed, "plain words mail example com"] + [f"other {i}" for i in range(10)])
+    rows = personal_data(clashing(docs)).orderBy("doc_id").collect()
+    assert [r.n_email for r in rows[:3]] == [5_000, 5_000, 0]
+    assert all(sum(m.kind == "removed" for m in r.marks) == 5_000 for r in rows[:2])
+    assert rows[2].spans == ""
+
+
 # 7 near duplicates
 
 

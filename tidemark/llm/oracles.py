@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tidemark.llm.line_dedup import DENOMINATOR, NUMERATOR
-from tidemark.llm.pii import GENERALISE, KINDS, REACH, REMOVE, SUPPORT
+from tidemark.llm.pii import GENERALISE, KINDS, REMOVE, SUPPORT
 from tidemark.llm.resample import BUCKETS, LEAST_WORDS, PERCENT, SCALE, SEED
 from tidemark.llm.url_filter import DAMPING, ROUNDS, RULES, THRESHOLD
 
@@ -108,13 +108,12 @@ _BASE = {
 }
 
 
-def _kind(name: str) -> str:
-    pattern, valid = _BASE[name]
+def _places(pattern: str, valid: str = "true") -> str:
+    """Matches of a pattern in whole texts with their code points, where v or its digits are valid."""
     return f"""
-  SELECT doc_id, text_key, {KINDS.index(name)} AS ord, '{name}' AS kind, start, start + length(v) AS stop, v, before, after
+  SELECT doc_id, text_key, start, start + length(v) AS stop, v
   FROM (
-    SELECT *, regexp_replace(v, '[^0-9]', '', 'g') AS digits, right(gap, {REACH}) AS before,
-      left(lead(gap) OVER w, {REACH}) AS after,
+    SELECT *, regexp_replace(v, '[^0-9]', '', 'g') AS digits,
       (sum(length(gap)) OVER w + coalesce(sum(length(v)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS start
     FROM (
       SELECT doc_id, text_key, unnest(range(len(regexp_split_to_array(text, '{pattern}')))) AS i,
@@ -124,51 +123,41 @@ def _kind(name: str) -> str:
   WHERE v IS NOT NULL AND {valid}"""
 
 
-_TERM = r"\p{L}[\p{L}\p{N}]{3,}"
+def _kind(name: str) -> str:
+    return f"SELECT *, {KINDS.index(name)} AS ord, '{name}' AS kind FROM ({_places(*_BASE[name])})"
 
 
-def _context(side: str, origin: str, whole: str) -> str:
-    return f"""
-  SELECT doc_id, text_key, entity, lower(v) AS term, ({origin} + start)::BIGINT AS start, ({origin} + start + length(v))::BIGINT AS stop
-  FROM (
-    SELECT *, (sum(length(gap)) OVER w + coalesce(sum(length(v)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS start
-    FROM (
-      SELECT doc_id, text_key, entity, ord, b_start, b_stop, {side} AS area, unnest(range(len(regexp_split_to_array({side}, '{_TERM}')))) AS i,
-        unnest(regexp_split_to_array({side}, '{_TERM}')) AS gap, unnest(regexp_extract_all({side}, '{_TERM}')) AS v
-      FROM m)
-    WINDOW w AS (PARTITION BY doc_id, text_key, entity, ord, b_start ORDER BY i))
-  WHERE v IS NOT NULL AND ({whole})"""
+_TERM = r"\p{L}[\p{L}\p{N}]*"
 
 
 PERSONAL = f"""
-WITH d AS (SELECT DISTINCT doc_id, coalesce(text, '') AS text, md5(coalesce(text, '')) AS text_key FROM documents),
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, md5(coalesce(text, '')) AS text_key, count(*) AS rows FROM documents GROUP BY ALL),
 base AS ({' UNION ALL '.join(map(_kind, KINDS))}),
 m AS (
-  SELECT doc_id, text_key, ord, start AS b_start, stop AS b_stop, before, after, kind || ':' ||
+  SELECT DISTINCT doc_id, text_key, rows, kind || ':' ||
     CASE kind WHEN 'email' THEN lower(v) WHEN 'ip' THEN v ELSE regexp_replace(v, '[^0-9]', '', 'g') END AS entity
-  FROM base),
-near AS (
-  {_context('before', 'b_start - length(area)', f'length(area) < {REACH} OR start > 0')}
-  UNION ALL
-  {_context('after', 'b_stop', f'length(area) < {REACH} OR start + length(v) < {REACH}')}),
-context AS (
-  SELECT * FROM near n WHERE NOT EXISTS (
-    SELECT 1 FROM base b WHERE b.doc_id = n.doc_id AND b.text_key = n.text_key AND b.start < n.stop AND n.start < b.stop)),
-n_e AS (SELECT entity, count(DISTINCT row(doc_id, text_key)) AS n_e FROM m GROUP BY entity),
+  FROM base JOIN d USING (doc_id, text_key)),
+t AS (
+  SELECT doc_id, text_key, rows, unnest(list_distinct(list_transform(regexp_extract_all(text, '{_TERM}'), lambda x: lower(x)))) AS term
+  FROM d),
+n_e AS (SELECT entity, sum(rows) AS n_e FROM m GROUP BY entity HAVING count(*) >= {SUPPORT}),
+n_t AS (SELECT term, sum(rows) AS n_t FROM t GROUP BY term),
 n_et AS (
-  SELECT entity, term, count(DISTINCT row(doc_id, text_key)) AS n_et FROM context GROUP BY ALL HAVING n_et >= {SUPPORT}),
-n_t AS (
-  SELECT term, count(*) AS n_t FROM (
-    SELECT unnest(list_distinct(regexp_extract_all(lower(text), '{_TERM}'))) AS term FROM documents)
-  WHERE term IN (SELECT term FROM n_et) GROUP BY term),
+  SELECT entity, term, sum(m.rows) AS n_et FROM m JOIN n_e USING (entity) JOIN t USING (doc_id, text_key)
+  GROUP BY entity, term HAVING count(*) >= {SUPPORT}),
 n AS (SELECT count(*)::DOUBLE AS n FROM documents),
 shares AS (
   SELECT entity, term, log2(n * n_et / (n_e * n_t)) / log2(n / n_e) AS share
   FROM n_et JOIN n_e USING (entity) JOIN n_t USING (term), n WHERE n_e < n),
+found AS (
+  SELECT doc_id, text_key, term, max(share) AS share
+  FROM m JOIN shares USING (entity) JOIN t USING (doc_id, text_key, term) WHERE share >= {GENERALISE} GROUP BY ALL),
 added AS (
-  SELECT doc_id, text_key, {len(KINDS)} AS ord, CASE WHEN max(share) >= {REMOVE} THEN 'removed' ELSE 'generalised' END AS kind, start, stop
-  FROM context JOIN shares USING (entity, term) WHERE share >= {GENERALISE}
-  GROUP BY doc_id, text_key, start, stop),
+  SELECT p.doc_id, p.text_key, {len(KINDS)} AS ord, CASE WHEN share >= {REMOVE} THEN 'removed' ELSE 'generalised' END AS kind, start, stop
+  FROM ({_places(_TERM)}) p JOIN found f ON p.doc_id = f.doc_id AND p.text_key = f.text_key AND lower(v) = term
+  WHERE NOT EXISTS (
+    SELECT 1 FROM base b WHERE b.doc_id = p.doc_id AND b.text_key = p.text_key AND b.start < p.stop AND p.start < b.stop)),
 marks AS (SELECT doc_id, text_key, ord, kind, start, stop FROM base UNION ALL SELECT doc_id, text_key, ord, kind, start, stop FROM added),
 listed AS (
   SELECT doc_id, text_key,
