@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import random
 
+import duckdb
 import numpy as np
 import pytest
 
+from tidemark.llm.oracles import URLS
 from tidemark.llm.url_filter import DAMPING, THRESHOLD, Rule, url_verdicts
 
 RULES = [Rule("bad", "/", "block"), Rule("good", "/", "allow")]
@@ -66,3 +68,22 @@ def test_a_tie_ends(spark):
     hosts = ["x.bad", "half", "p", "q"]
     links = [("p", "x.bad"), ("p", "q"), ("q", "p"), ("q", "half")]
     assert verdicts(spark, links, hosts) == solved(links, hosts)
+
+
+@pytest.mark.parametrize("seed", [None, 3, 4])
+def test_the_sql_on_linked_hosts(spark, seed):
+    """A chain that ten rounds do not reach the end of, and random links, under the rules of the query."""
+    if seed is None:
+        bad, chain = [f"b{i}.net" for i in range(40)], [f"c{i}" for i in range(14)]
+        hosts, links = bad + chain, [(chain[0], b) for b in bad] + list(zip(chain[1:], chain))
+    else:
+        rng = random.Random(seed)
+        hosts = [f"h{i}" + rng.choice(["", "", ".net"]) for i in range(60)]
+        links = [tuple(rng.sample(hosts, 2)) for _ in range(150)]
+    pages = pages_of(spark, links, hosts)
+    base = duckdb.connect()
+    base.register("pages", pages.toPandas())
+    expected = sorted(base.sql(URLS).fetchall())
+    assert sorted(tuple(r) for r in url_verdicts(pages).collect()) == expected
+    if seed is None:
+        assert {r[4] for r in expected if r[1] == "c13"} == {"block"}

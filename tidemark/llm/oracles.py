@@ -5,7 +5,7 @@ from __future__ import annotations
 from tidemark.llm.line_dedup import DENOMINATOR, NUMERATOR
 from tidemark.llm.pii import GENERALISE, KINDS, REMOVE, SUPPORT
 from tidemark.llm.resample import BUCKETS, LEAST_WORDS, PERCENT, SCALE, SEED
-from tidemark.llm.url_filter import DAMPING, ROUNDS, RULES, THRESHOLD
+from tidemark.llm.url_filter import DAMPING, LEAST, RULES, THRESHOLD
 
 SHARDS = r"""
 WITH RECURSIVE d AS (
@@ -220,16 +220,18 @@ _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 
 def _spread(seed: str, source: str, target: str) -> str:
+    """Scores of each round, and what the round has added, until all hosts together gain next to nothing."""
     return f"""
-  SELECT 0 AS n, host, {1 - DAMPING} * {seed} AS score FROM hosts
+  SELECT 0 AS n, host, {1 - DAMPING} * {seed} AS score, {1 - DAMPING} * {seed} AS added FROM hosts
   UNION ALL
-  SELECT any_value(r.n) + 1, h.host, {1 - DAMPING} * any_value(h.{seed}) + {DAMPING} * coalesce(sum(r.score * e.part), 0)
-  FROM (SELECT n, host, score FROM {seed}_r WHERE n < {ROUNDS}) o
-  JOIN hosts h ON h.host = o.host
-  JOIN (SELECT n, host, score FROM {seed}_r WHERE n < {ROUNDS}) r ON true
+  SELECT any_value(r.n) + 1, r.host, any_value(r.score) + {DAMPING} * coalesce(sum(e.part * s.added), 0),
+    {DAMPING} * coalesce(sum(e.part * s.added), 0)
+  FROM (SELECT *, sum(added) OVER () AS moving FROM {seed}_r) r
   LEFT JOIN (SELECT {target} AS dst, {source} AS src, links / sum(links) OVER (PARTITION BY {source}) AS part FROM links) e
-    ON e.dst = h.host AND e.src = r.host
-  GROUP BY h.host"""
+    ON e.dst = r.host
+  LEFT JOIN {seed}_r s ON s.host = e.src
+  WHERE r.moving > {LEAST}
+  GROUP BY r.host"""
 
 
 URLS = rf"""
@@ -253,8 +255,9 @@ hosts AS (
 allowed_r AS ({_spread('allowed', 'src', 'dst')}),
 blocked_r AS ({_spread('blocked', 'dst', 'src')}),
 verdicts AS (
-  SELECT a.host, CASE WHEN b.score - a.score > {THRESHOLD * (1 - DAMPING)} THEN 'block' ELSE 'allow' END AS of_host
-  FROM allowed_r a JOIN blocked_r b USING (host) WHERE a.n = {ROUNDS} AND b.n = {ROUNDS})
+  SELECT host, CASE WHEN b.score - a.score > {THRESHOLD * (1 - DAMPING)} THEN 'block' ELSE 'allow' END AS of_host
+  FROM (SELECT host, arg_max(score, n) AS score FROM allowed_r GROUP BY host) a
+  JOIN (SELECT host, arg_max(score, n) AS score FROM blocked_r GROUP BY host) b USING (host))
 SELECT page_id, j.host, path, rule,
   CASE WHEN rule IN ({_BLOCKS}) THEN 'block' WHEN rule IS NOT NULL THEN 'allow' ELSE coalesce(of_host, 'allow') END AS verdict
 FROM judged j LEFT JOIN verdicts USING (host)

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import lower_ascii, stored
 
 DAMPING = 0.85
-ROUNDS = 10  # of the SQL form; here rounds go on until no verdict can change
 WRITTEN_EVERY = 5
 LEAST = 1e-12  # of score: less than this on its way is none
 THRESHOLD = 0.5  # of what a wholly blocked host without links has
