@@ -325,6 +325,9 @@ def interval_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return layouts.interval_lookup(shown, versions, "user_id", "ts", ["purchase_value"])
 
 
+TASK_ROWS = 4_000_000
+
+
 @check(
     "dense_surrogate_key",
     """SELECT batch, count(*) AS records, CASE batch WHEN 0 THEN 1 ELSE (SELECT count(*) FROM lineitem) + 1 END AS first_id,
@@ -336,15 +339,11 @@ def dense_surrogate_key(spark: SparkSession, sf: str) -> DataFrame:
     out, last = [], 0
     for batch, name in enumerate(("lineitem", "orders")):
         path = work_folder(spark, "numbered")
-        rows = c.table(spark, sf, name).repartition(7)
+        stored = c.table(spark, sf, name)
+        rows = stored.repartition(7 + stored.count() // TASK_ROWS)
         keys.surrogate_key(rows.select(F.lit(batch).alias("batch")), "id", last).write.parquet(path)
         dense = keys.dense_key(spark.read.parquet(path), "id", last)
-        figures = dense.groupBy("batch").agg(
-            F.count(F.lit(1)).alias("records"),
-            F.min("id").alias("first_id"),
-            F.max("id").alias("last_id"),
-            F.count_distinct("id").alias("ids"),
-        )
+        figures = keys.id_figures(dense, "batch", "id")
         out.append(figures)
         last = figures.first()["last_id"]
     return objects.union_files(*out)

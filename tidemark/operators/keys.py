@@ -40,3 +40,25 @@ def dense_key(stored: DataFrame, name: str, last: int = 0) -> DataFrame:
         .withColumn(name, place)
         .select(stored.columns)
     )
+
+
+def id_figures(df: DataFrame, group: str, name: str) -> DataFrame:
+    """``records``, ``first_id``, ``last_id`` and the exact number of different ``ids`` of each group.
+
+    Ids are counted as the bits of one word for each 64 numbers. So where they follow each
+    other a task holds, and the shuffle moves, a word for 64 rows and not a row for each.
+    """
+    id_ = F.col(name)
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(id_, F.lit(64)).cast("int"))
+    words = df.groupBy(group, F.shiftright(id_, 6).alias("_word")).agg(
+        F.count(F.lit(1)).alias("records"),
+        F.min(id_).alias("first_id"),
+        F.max(id_).alias("last_id"),
+        F.bit_or(bit).alias("_bits"),
+    )
+    return words.groupBy(group).agg(
+        F.sum("records").alias("records"),
+        F.min("first_id").alias("first_id"),
+        F.max("last_id").alias("last_id"),
+        F.sum(F.bit_count("_bits")).alias("ids"),
+    )
