@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 import __spark_entry__ as entry_point
 from tidemark.operators import keys
 from tests.helpers import rows
@@ -14,3 +16,9 @@ def test_ids_are_counted_exactly_and_not_moved_one_by_one(spark):
     assert rows(got) == [(0, 202, 1, 1000, 200), (1, 4, -65, -1, 3)]
     text = plan(entry_point.queries()["dense_surrogate_key"](spark, DATA))
     assert "count(distinct" not in text and "_bits" in text
+
+
+@pytest.mark.parametrize("name", ["dedup_first_seen"])
+def test_object_texts_are_derived_after_the_shuffle(spark, name):
+    text = plan(entry_point.queries()[name](spark, DATA))
+    assert text.rindex("WORST") < text.rindex("Exchange hashpartitioning")

@@ -149,6 +149,10 @@ GAMMA_ORDER = [
 ]
 
 
+GAMMA_SEQ = "CAST((year(l_shipdate) - 1995) * 12 + month(l_shipdate) AS BIGINT)"
+GAMMA_TICKET = "CAST(l_orderkey * 8 + l_linenumber AS STRING)"
+
+
 def gamma(duck: bool = False) -> str:
     """Object rows, one per line item, with the month as sequence number."""
     area = pick("l_partkey % 11", _dim(seeds.SUPPORT_AREAS, "CLIENT_GAMMA"))
@@ -156,8 +160,8 @@ def gamma(duck: bool = False) -> str:
     kind = pick("l_partkey % 10", _dim(seeds.CUSTOMER_TYPES, "CLIENT_GAMMA"))
     rating = pick("l_partkey % 5", ["WORST", "BAD", "NEUTRAL", "GOOD", "BEST"])
     return f"""
-    SELECT CAST((year(l_shipdate) - 1995) * 12 + month(l_shipdate) AS BIGINT) AS file_seq,
-           CAST(l_orderkey * 8 + l_linenumber AS STRING) AS ticket_identifier,
+    SELECT {GAMMA_SEQ} AS file_seq,
+           {GAMMA_TICKET} AS ticket_identifier,
            {area} AS support_category, {agent} AS agent_name,
            {text("l_shipdate", "MMddyyyyHHmmss", duck)} AS date_of_call,
            CASE WHEN l_linestatus = 'O' THEN 'COMPLETED' ELSE 'DROPPED' END AS call_status,
@@ -225,13 +229,30 @@ def facts(duck: bool = False) -> str:
 _BASE = {alpha: "events", beta: "orders", gamma: "lineitem", runs: "orders", facts: "lineitem"}
 
 
-def carrier(spark: SparkSession, sf_dir: str, sql: Callable[..., str]) -> DataFrame:
-    """Run one of the SELECTs above in Spark."""
+def derive(rows: DataFrame, sql: Callable[..., str], *kept: str) -> DataFrame:
+    """Run one of the SELECTs above in Spark over rows of its table, with further columns of
+    theirs in ``kept``."""
     base = _BASE[sql]
-    query = sql().replace(f"FROM {base}", f"FROM {{{base}}}").replace(
+    shown = "".join(f", {column}" for column in kept)
+    query = sql().replace(f"FROM {base}", f"{shown} FROM {{{base}}}").replace(
         "TIMESTAMP '", "TIMESTAMP_NTZ '"
     )
-    return spark.sql(query, **{base: table(spark, sf_dir, base)})
+    return rows.sparkSession.sql(query, **{base: rows})
+
+
+def carrier(spark: SparkSession, sf_dir: str, sql: Callable[..., str]) -> DataFrame:
+    """Run one of the SELECTs above in Spark."""
+    return derive(table(spark, sf_dir, _BASE[sql]), sql)
+
+
+def gamma_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with the object and ticket that ``gamma`` gives them.
+
+    What moves or sorts all rows does so with these, and derives the texts afterwards: they
+    follow from the row, and are several times as wide.
+    """
+    lines = table(spark, sf_dir, "lineitem")
+    return lines.selectExpr("*", f"{GAMMA_SEQ} AS file_seq", f"{GAMMA_TICKET} AS ticket_identifier")
 
 
 # -- raw formats ---------------------------------------------------------------

@@ -11,7 +11,7 @@ from tidemark import functions as fn
 from tidemark.checks import carriers as c
 from tidemark.checks import oracle as o
 from tidemark.checks.registry import check
-from tidemark.checks.scalars import AS_OF, alpha, beta, gamma, in_order, typed_store
+from tidemark.checks.scalars import AS_OF, alpha, beta, gamma_first, gamma_store, typed_store
 from tidemark.feeds import ALPHA, BETA, GAMMA
 from tidemark.operators import audit, conform, dedup, filters, history, merge, quality
 from tidemark.sources import seeds
@@ -87,8 +87,7 @@ def dedup_latest_by_created(spark: SparkSession, sf: str) -> DataFrame:
 
 @check("dedup_first_seen", o.latest("gamma").replace("SELECT * EXCLUDE (rn)", "SELECT * EXCLUDE (rn, hash_key)"))
 def dedup_first_seen(spark: SparkSession, sf: str) -> DataFrame:
-    order = ("file_seq", *c.GAMMA_ORDER)
-    return dedup.dedup_first_seen(gamma(spark, sf), "ticket_identifier", order)
+    return gamma_first(spark, sf)
 
 
 # -- filters -------------------------------------------------------------------
@@ -397,10 +396,11 @@ def distinct(spark: SparkSession, sf: str) -> DataFrame:
 )
 def fact_all_sources(spark: SparkSession, sf: str) -> DataFrame:
     dims = seeds.dimensions(spark)
-    feeds = [(alpha, ALPHA, None), (beta, BETA, None), (gamma, GAMMA, in_order())]
+    stores = [
+        (typed_store(alpha(spark, sf), ALPHA), ALPHA),
+        (typed_store(beta(spark, sf), BETA), BETA),
+        (gamma_store(spark, sf), GAMMA),
+    ]
     return conform.fact_all_sources(
-        *[
-            conform.conform(merge.cdc_extract(typed_store(rows(spark, sf), s, rank), 1), s, dims)
-            for rows, s, rank in feeds
-        ]
+        *[conform.conform(merge.cdc_extract(store, 1), spec, dims) for store, spec in stores]
     )

@@ -13,7 +13,7 @@ from tidemark.checks import oracle as o
 from tidemark.checks.registry import check
 from tidemark.feeds import ALPHA, BETA, GAMMA, FeedSpec
 from tidemark.operators import conform as conforming
-from tidemark.operators.dedup import dedup_by_rank
+from tidemark.operators.dedup import dedup_by_rank, dedup_first_seen
 from tidemark.operators.keys import surrogate_key as add_key
 from tidemark.operators.merge import cdc_extract
 from tidemark.sources.seeds import dimensions
@@ -174,10 +174,25 @@ def rating_from_label(spark: SparkSession, sf: str) -> DataFrame:
     return gamma(spark, sf).select("ticket_identifier", "rating", score.alias("customer_rating"))
 
 
-def typed_store(rows: DataFrame, spec: FeedSpec, rank: list | None = None) -> DataFrame:
+def gamma_first(spark: SparkSession, sf: str) -> DataFrame:
+    """The first object row of each ticket, found among the line items, which are narrower."""
+    first = dedup_first_seen(c.gamma_lines(spark, sf), "ticket_identifier", ("file_seq", *c.GAMMA_ORDER))
+    return c.derive(first.drop("file_seq", "ticket_identifier"), c.gamma)
+
+
+def typed_store(rows: DataFrame, spec: FeedSpec) -> DataFrame:
     """One active version per key, as the versioned store would hold it after run 1."""
     hashed = rows.withColumn("hash_key", fn.row_hash(list(spec.hash_columns)))
-    kept = dedup_by_rank(hashed, spec.natural_key, rank or [r() for r in spec.rank])
+    return _as_stored(dedup_by_rank(hashed, spec.natural_key, [r() for r in spec.rank]), spec)
+
+
+def gamma_store(spark: SparkSession, sf: str) -> DataFrame:
+    """The same for object rows, which have not been through a file."""
+    kept = gamma_first(spark, sf)
+    return _as_stored(kept.withColumn("hash_key", fn.row_hash(list(GAMMA.hash_columns))), GAMMA)
+
+
+def _as_stored(kept: DataFrame, spec: FeedSpec) -> DataFrame:
     number = F.col(spec.natural_key).cast("bigint")
     stored = fn.tag_run(
         conforming.type_landing(kept, spec).withColumns(
@@ -192,11 +207,6 @@ def typed_store(rows: DataFrame, spec: FeedSpec, rank: list | None = None) -> Da
     return fn.scd_defaults(stored, AS_OF)
 
 
-def in_order() -> list:
-    """Rank of object rows that have not been through a file."""
-    return [F.asc(x) for x in ("file_seq", *c.GAMMA_ORDER)]
-
-
 def _conform_sql(feed: str) -> str:
     return f"WITH {o.DIMS} {o.conformed(feed, o.latest(feed))}"
 
@@ -215,7 +225,7 @@ def conform_beta(spark: SparkSession, sf: str) -> DataFrame:
 
 @check("conform_gamma", _conform_sql("gamma"))
 def conform_gamma(spark: SparkSession, sf: str) -> DataFrame:
-    store = typed_store(gamma(spark, sf), GAMMA, in_order())
+    store = gamma_store(spark, sf)
     return conforming.conform_gamma(cdc_extract(store, 1), dimensions(spark))
 
 
