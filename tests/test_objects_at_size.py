@@ -18,7 +18,7 @@ def test_ids_are_counted_exactly_and_not_moved_one_by_one(spark):
     assert "count(distinct" not in text and "_bits" in text
 
 
-@pytest.mark.parametrize("name", ["dedup_first_seen", "conform_gamma"])
+@pytest.mark.parametrize("name", ["dedup_first_seen", "conform_gamma", "fact_all_sources"])
 def test_object_texts_are_derived_after_the_shuffle(spark, name):
     text = plan(entry_point.queries()[name](spark, DATA))
     assert text.rindex("WORST") < text.rindex("Exchange hashpartitioning")
