@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
+from tidemark.checks import carriers as c
 from tidemark.operators import keys
+from tidemark.sources import objects
 from tests.helpers import rows
 from tests.test_plans import DATA, plan
 
@@ -22,3 +25,23 @@ def test_ids_are_counted_exactly_and_not_moved_one_by_one(spark):
 def test_object_texts_are_derived_after_the_shuffle(spark, name):
     text = plan(entry_point.queries()[name](spark, DATA))
     assert text.rindex("WORST") < text.rindex("Exchange hashpartitioning")
+
+
+def test_written_objects_derive_their_texts_after_the_shuffle(spark):
+    text = plan(c.object_rows(c.gamma_lines(spark, DATA)))
+    assert text.rindex("WORST") < text.index("Exchange rangepartitioning")
+
+
+def test_an_objects_number_stands_in_the_last_two_parts(spark):
+    name = "%20%20%20%20%20%20%20%20%2042_client_gamma_support_data_20240101_000000.csv.gz"
+    paths = {
+        f"file:/a/b/{name}": 42,
+        f"file:/a/object={name}/part-0.csv.gz": 42,
+        name: 42,
+        f"file:/a/{name}/b/part-0.csv.gz": None,
+        f"file:/a/x{name}": None,
+        "file:/a/notes.csv.gz": None,
+    }
+    got = spark.createDataFrame([(p,) for p in paths], "p string")
+    found = got.select("p", objects.object_sequence(F.col("p"))).collect()
+    assert {r[0]: r[1] for r in found} == paths

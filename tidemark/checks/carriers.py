@@ -283,21 +283,26 @@ def as_messages(records: DataFrame) -> DataFrame:
 OBJECT_FORMAT = "%10d_client_gamma_support_data_20240101_000000.csv.gz"
 
 
-def write_objects(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Rows as gzip pipe CSV, one object per sequence number.
+def object_rows(lines: DataFrame) -> DataFrame:
+    """Rows of ``gamma_lines`` as raw object rows, in the order of the objects and their rows.
 
-    Rows are range-partitioned over object and row order, so a large object becomes
-    several part files in order instead of one task's work.
+    Lines are range-partitioned over object and row order, so a large object becomes
+    several part files in order instead of one task's work. The texts are derived where they
+    are written: the pass that samples the ranges and the shuffle do without them.
     """
     # Not nullable and first in the sort: otherwise the writer sorts by object again,
     # and an unstable second sort would lose the row order.
     name = F.coalesce(F.format_string(OBJECT_FORMAT, "file_seq"), F.lit(""))
+    moved = lines.withColumn("object", name).drop("file_seq", "ticket_identifier")
+    placed = moved.repartitionByRange("object", *GAMMA_ORDER).sortWithinPartitions("object", *GAMMA_ORDER)
     columns = [F.col(n.lower()).alias(n) for n in GAMMA_OBJECT.names]
+    return derive(placed, gamma, "object").select(*columns, "object")
+
+
+def write_objects(lines: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Rows of ``gamma_lines`` as gzip pipe CSV, one object per sequence number."""
     (
-        rows.withColumn("object", name)
-        .repartitionByRange("object", *GAMMA_ORDER)
-        .sortWithinPartitions("object", *GAMMA_ORDER)
-        .select(*columns, "object")
+        object_rows(lines)
         .write.partitionBy("object")
         .mode(mode)
         .option("sep", "|")

@@ -51,8 +51,8 @@ def _deliver_beta(spark: SparkSession, sf: str, path: str, batch: int) -> None:
 
 def _deliver_gamma(spark: SparkSession, sf: str, path: str, batch: int) -> None:
     edge = f"file_seq <= {SEQ_CUT}"
-    rows = c.carrier(spark, sf, c.gamma).where(edge if batch == 0 else f"NOT ({edge})")
-    c.write_objects(rows, path, "append")
+    lines = c.gamma_lines(spark, sf).where(edge if batch == 0 else f"NOT ({edge})")
+    c.write_objects(lines, path, "append")
 
 
 def _scan_alpha(spark: SparkSession, path: str, state: FeedState) -> DataFrame:

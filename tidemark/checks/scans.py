@@ -114,7 +114,7 @@ def topic_partition_lag(spark: SparkSession, sf: str) -> DataFrame:
 )
 def scan_csv_objects_since(spark: SparkSession, sf: str) -> DataFrame:
     path = work_folder(spark, "objects")
-    c.write_objects(c.carrier(spark, sf, c.gamma), path)
+    c.write_objects(c.gamma_lines(spark, sf), path)
     rows = objects.scan_csv_objects_since(spark, path, SEQ_CUT)
     return rows.selectExpr(GAMMA_FIELDS.split(", "))
 

@@ -14,8 +14,13 @@ OBJECT_NAME = r"(?:^|/)(?:object=)?\s*(\d{1,10})_client_gamma_support_data_\d{8}
 
 
 def object_sequence(path: Column) -> Column:
-    """Sequence number in an object's path; NULL when the name is not one of ours."""
-    return F.regexp_extract(F.url_decode(path), OBJECT_NAME, 1).try_cast("bigint")
+    """Sequence number in an object's path; NULL when the name is not one of ours.
+
+    Spark computes this for every row, not once a file. The name is among the last two parts
+    of the path, so only these are decoded and searched.
+    """
+    named = F.url_decode(F.substring_index(path, "/", -2))
+    return F.regexp_extract(named, OBJECT_NAME, 1).try_cast("bigint")
 
 
 def list_objects(spark: SparkSession, folder: str) -> DataFrame:
@@ -54,8 +59,11 @@ def with_object(rows: DataFrame) -> DataFrame:
 
 def number_object_rows(rows: DataFrame) -> DataFrame:
     """Rows of objects under their canonical names, empty as NULL, with ``row_id``."""
-    numbered = rows.where("file_seq IS NOT NULL").withColumn("row_id", F.monotonically_increasing_id())
-    return empty_to_null(rename_columns(numbered))
+    return _with_row_id(rows.where("file_seq IS NOT NULL"))
+
+
+def _with_row_id(rows: DataFrame) -> DataFrame:
+    return empty_to_null(rename_columns(rows.withColumn("row_id", F.monotonically_increasing_id())))
 
 
 def scan_csv_objects_since(spark: SparkSession, folder: str, checkpoint: int) -> DataFrame:
@@ -67,7 +75,7 @@ def scan_csv_objects_since(spark: SparkSession, folder: str, checkpoint: int) ->
     a total order together with ``file_seq`` and ``file_name``.
     """
     rows = spark.read.schema(GAMMA_OBJECT).options(**CSV_OPTIONS).csv(folder)
-    return number_object_rows(with_object(rows).where(F.col("file_seq") > checkpoint))
+    return _with_row_id(with_object(rows).where(F.col("file_seq") > checkpoint))
 
 
 def union_files(*frames: DataFrame) -> DataFrame:
