@@ -9,7 +9,7 @@ import __spark_entry__ as entry_point
 from tidemark.checks import carriers as c
 from tidemark.operators import keys
 from tidemark.sources import objects
-from tests.helpers import rows
+from tests.helpers import rows, ticket, write_object
 from tests.test_plans import DATA, plan
 
 
@@ -32,6 +32,13 @@ def test_written_objects_derive_their_texts_after_the_shuffle(spark):
     assert text.rindex("WORST") < text.index("Exchange rangepartitioning")
 
 
+def test_an_objects_path_is_searched_at_its_end_and_for_one_condition(spark, tmp_path):
+    write_object(tmp_path, 3, [ticket("1")])
+    text = plan(objects.scan_csv_objects_since(spark, str(tmp_path), 1))
+    # Once to filter, once to show, and once more where the scan lists its filters.
+    assert text.count("regexp_extract") == text.count("substring_index") <= 3
+
+
 def test_an_objects_number_stands_in_the_last_two_parts(spark):
     name = "%20%20%20%20%20%20%20%20%2042_client_gamma_support_data_20240101_000000.csv.gz"
     paths = {
