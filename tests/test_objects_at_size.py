@@ -52,3 +52,12 @@ def test_an_objects_number_stands_in_the_last_two_parts(spark):
     got = spark.createDataFrame([(p,) for p in paths], "p string")
     found = got.select("p", objects.object_sequence(F.col("p"))).collect()
     assert {r[0]: r[1] for r in found} == paths
+
+
+def test_messages_lie_in_files_of_bounded_length(spark, tmp_path):
+    path = str(tmp_path / "topic")
+    messages = spark.range(250).selectExpr("id AS offset", "'<RECORD></RECORD>' AS value").coalesce(1)
+    for _ in range(2):
+        c.write_messages(messages, path, most=100)
+    assert len(list((tmp_path / "topic").glob("*.parquet"))) == 6
+    assert spark.read.parquet(path).count() == 500

@@ -280,6 +280,12 @@ def as_messages(records: DataFrame) -> DataFrame:
     return records.select(F.col("topic_offset").alias("offset"), body.alias("value"))
 
 
+def write_messages(messages: DataFrame, path: str, most: int = 100_000) -> None:
+    """Messages as Parquet, at most ``most`` a file: a file of many, well compressed, would be
+    one row group and so one task's parsing."""
+    messages.write.mode("append").option("maxRecordsPerFile", most).parquet(path)
+
+
 OBJECT_FORMAT = "%10d_client_gamma_support_data_20240101_000000.csv.gz"
 
 

@@ -46,7 +46,7 @@ def _deliver_alpha(spark: SparkSession, sf: str, path: str, batch: int) -> None:
 def _deliver_beta(spark: SparkSession, sf: str, path: str, batch: int) -> None:
     edge = cut("sent", c.ORDER_CUT)
     rows = c.carrier(spark, sf, c.beta).where(edge if batch == 0 else f"NOT ({edge})")
-    c.as_messages(rows).write.mode("append").parquet(path)
+    c.write_messages(c.as_messages(rows), path)
 
 
 def _deliver_gamma(spark: SparkSession, sf: str, path: str, batch: int) -> None:
@@ -143,7 +143,7 @@ def ingest_batch_partitions(spark: SparkSession, sf: str) -> DataFrame:
     for batch, as_of in enumerate(TIMES):
         rows = c.carrier(spark, sf, c.beta).where(edge if batch == 0 else f"NOT ({edge})")
         split = c.as_messages(rows).select(*place, F.expr("offset div 3").alias("offset"), "value")
-        split.write.mode("append").parquet(f"{folder}/raw")
+        c.write_messages(split, f"{folder}/raw")
         since = scan_partitions_since(spark, f"{folder}/raw", state.latest().positions)
         ingest.ingest_batch(state, BETA_PARTITIONED, parse_xml_records(since), dims, f"beta-{batch}", as_of)
     return _without_ids(ingest.fact_versions(state))
