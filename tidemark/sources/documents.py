@@ -21,8 +21,10 @@ def land_documents(documents: DataFrame, path: str, span: int, mode: str = "appe
 
 def _may_lie_beyond(checkpoint: int) -> Column:
     """Looks at a file's path alone: Spark drops the others before it opens them. Files whose
-    path names no range are opened."""
-    until = F.regexp_extract(F.col("_metadata.file_path"), rf"/{UNTIL}=(\d+)/", 1).try_cast("bigint")
+    path names no range are opened. Spark asks this of every row too, so only the end of the
+    path, the folder and the file, is searched."""
+    place = F.substring_index(F.col("_metadata.file_path"), "/", -2)
+    until = F.regexp_extract(place, rf"^{UNTIL}=(\d+)/", 1).try_cast("bigint")
     return F.coalesce(until > checkpoint, F.lit(True))
 
 
