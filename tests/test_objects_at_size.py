@@ -27,6 +27,14 @@ def test_object_texts_are_derived_after_the_shuffle(spark, name):
     assert text.rindex("WORST") < text.rindex("Exchange hashpartitioning")
 
 
+@pytest.mark.parametrize("name", ["dedup_first_seen", "conform_gamma"])
+def test_a_tickets_rows_are_sorted_by_number_and_order_alone(spark, name):
+    text = plan(entry_point.queries()[name](spark, DATA))
+    sorts = [line for line in text.splitlines() if "Sort [" in line and "l_shipdate" in line]
+    assert sorts and all("l_linenumber" in line for line in sorts)
+    assert not any("file_seq" in line or "ticket_identifier" in line for line in sorts)
+
+
 def test_written_objects_derive_their_texts_after_the_shuffle(spark):
     text = plan(c.object_rows(c.gamma_lines(spark, DATA)))
     assert text.rindex("WORST") < text.index("Exchange rangepartitioning")

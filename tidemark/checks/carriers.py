@@ -150,7 +150,8 @@ GAMMA_ORDER = [
 
 
 GAMMA_SEQ = "CAST((year(l_shipdate) - 1995) * 12 + month(l_shipdate) AS BIGINT)"
-GAMMA_TICKET = "CAST(l_orderkey * 8 + l_linenumber AS STRING)"
+GAMMA_NUMBER = "l_orderkey * 8 + l_linenumber"
+GAMMA_TICKET = f"CAST({GAMMA_NUMBER} AS STRING)"
 
 
 def gamma(duck: bool = False) -> str:

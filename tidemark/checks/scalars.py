@@ -175,9 +175,14 @@ def rating_from_label(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gamma_first(spark: SparkSession, sf: str) -> DataFrame:
-    """The first object row of each ticket, found among the line items, which are narrower."""
-    first = dedup_first_seen(c.gamma_lines(spark, sf), "ticket_identifier", ("file_seq", *c.GAMMA_ORDER))
-    return c.derive(first.drop("file_seq", "ticket_identifier"), c.gamma)
+    """The first object row of each ticket, found among the line items, which are narrower.
+
+    What is sorted before and after the shuffle is a ticket's number and what orders its rows.
+    The object follows from the first of these, so it need not be compared.
+    """
+    lines = c.table(spark, sf, "lineitem").selectExpr(f"{c.GAMMA_NUMBER} AS l_linenumber", *c.GAMMA_ORDER)
+    first = dedup_first_seen(lines, "l_linenumber", tuple(c.GAMMA_ORDER))
+    return c.derive(first.withColumn("l_orderkey", F.lit(0).cast("bigint")), c.gamma)
 
 
 def typed_store(rows: DataFrame, spec: FeedSpec) -> DataFrame:
