@@ -47,6 +47,17 @@ def test_an_objects_path_is_searched_at_its_end_and_for_one_condition(spark, tmp
     assert text.count("regexp_extract") == text.count("substring_index") <= 3
 
 
+def test_an_objects_number_is_found_once_a_file(spark, tmp_path):
+    for number in (1, 2, 30):
+        write_object(tmp_path, number, [ticket(str(10 * number + i)) for i in range(3)])
+    (tmp_path / "notes.csv.gz").write_bytes(b"")
+    got = objects.scan_csv_objects_since(spark, str(tmp_path), 1)
+    text = plan(got)
+    assert "regexp_extract" not in text and "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+    assert rows(got, "file_seq", "ticket_identifier") == [(n, str(10 * n + i)) for n in (2, 30) for i in range(3)]
+    assert rows(objects.scan_csv_objects_since(spark, str(tmp_path), 30)) == []
+
+
 def test_an_objects_number_stands_in_the_last_two_parts(spark):
     name = "%20%20%20%20%20%20%20%20%2042_client_gamma_support_data_20240101_000000.csv.gz"
     paths = {

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,12 +71,26 @@ def scan_csv_objects_since(spark: SparkSession, folder: str, checkpoint: int) ->
     """Rows of every object beyond the checkpoint, all text, empty as NULL.
 
     One multi-file read. Each file's own header is skipped, so no data row is lost.
-    The sequence filter looks only at file metadata, so Spark drops older files before
-    opening them. ``row_id`` grows along a file (gzip is never split), which gives rows
-    a total order together with ``file_seq`` and ``file_name``.
+    Paths are listed and searched for their number once a file; a row finds that of its file
+    by a join. They are listed after the read is planned, so none of its files is missed. The
+    filter on paths looks only at file metadata, so Spark drops older files before opening
+    them. ``row_id`` grows along a file (gzip is never
+    split), which gives rows a total order together with ``file_seq`` and ``file_name``.
     """
     rows = spark.read.schema(GAMMA_OBJECT).options(**CSV_OPTIONS).csv(folder)
-    return _with_row_id(with_object(rows).where(F.col("file_seq") > checkpoint))
+    path = F.col("_metadata.file_path")
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    numbered = listed.select(path.alias("file_name"), object_sequence(path).alias("file_seq"))
+    newer = [tuple(r) for r in numbered.where(F.col("file_seq") > checkpoint).collect()]
+    named = rows.where(path.isin([name for name, _ in newer])).select("*", path.alias("file_name"))
+    ordered = named.withColumn("row_id", F.monotonically_increasing_id())
+    # An Arrow table becomes a local relation: Spark knows its size and moves no object row.
+    names, sequences = ([r[i] for r in newer] for i in (0, 1))
+    numbers = spark.createDataFrame(
+        pa.table({"file_name": pa.array(names, pa.string()), "file_seq": pa.array(sequences, pa.int64())})
+    )
+    met = ordered.join(numbers, "file_name").select(*GAMMA_OBJECT.names, "file_seq", "file_name", "row_id")
+    return empty_to_null(rename_columns(met))
 
 
 def union_files(*frames: DataFrame) -> DataFrame:
