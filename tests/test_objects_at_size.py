@@ -7,9 +7,14 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 from tidemark.checks import carriers as c
+from tidemark.feeds import GAMMA
 from tidemark.operators import keys
+from tidemark.plans import ingest
+from tidemark.plans.versions import VersionLog
+from tidemark.schemas import GAMMA_OBJECT
 from tidemark.sources import objects
-from tests.helpers import rows, ticket, write_object
+from tidemark.streaming import ingest as streaming
+from tests.helpers import T1, T2, rows, ticket, write_object
 from tests.test_plans import DATA, plan
 
 
@@ -58,6 +63,31 @@ def test_an_objects_number_is_found_once_a_file(spark, tmp_path):
     assert rows(objects.scan_csv_objects_since(spark, str(tmp_path), 30)) == []
 
 
+def test_a_streamed_objects_number_is_found_once_a_file(spark, dims, tmp_path):
+    folder, state = str(tmp_path / "objects"), VersionLog(spark, str(tmp_path / "state"), "CLIENT_GAMMA")
+    prepare = objects.number_by_listing(folder, lambda: ingest.scan_since(state, 0))
+    plans = []
+
+    def seen(batch):
+        named = spark.read.schema(GAMMA_OBJECT).options(**objects.CSV_OPTIONS).csv(folder)
+        plans.append(plan(prepare(named.select("*", F.col("_metadata.file_path").alias("file_name")))))
+        return prepare(batch)
+
+    for numbers in ((1, 2), (30,)):
+        for number in numbers:
+            write_object(tmp_path / "objects", number, [ticket(str(number % 2)), ticket(str(10 * number))])
+        (tmp_path / "objects" / "notes.csv.gz").write_bytes(b"")
+        stream = streaming.named_object_stream(spark, folder)
+        streaming.stream_ingest(
+            stream, seen, state, GAMMA, dims, str(tmp_path / "checkpoint"), [T1, T2].__getitem__
+        ).awaitTermination()
+    assert len(plans) == 2
+    assert not any("regexp_extract" in text or "Exchange hashpartitioning" in text for text in plans)
+    assert all("BroadcastHashJoin" in text for text in plans)
+    assert state.latest().source_checkpoint == 30
+    assert rows(ingest.run_log(state), "dag_run_id", "insert_count", "duplicate_count") == [(1, 4, 0), (2, 1, 1)]
+
+
 def test_an_objects_number_stands_in_the_last_two_parts(spark):
     name = "%20%20%20%20%20%20%20%20%2042_client_gamma_support_data_20240101_000000.csv.gz"
     paths = {

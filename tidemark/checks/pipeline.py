@@ -17,7 +17,7 @@ from tidemark.plans import ingest
 from tidemark.plans.state import FeedState
 from tidemark.plans.versions import VersionLog
 from tidemark.session import work_folder
-from tidemark.sources.objects import number_object_rows
+from tidemark.sources.objects import number_by_listing
 from tidemark.sources import (
     parse_xml_records,
     scan_csv_objects_since,
@@ -285,9 +285,10 @@ def stream_ingest_gamma(spark: SparkSession, sf: str) -> DataFrame:
     dims = seeds.dimensions(spark)
     for delivery in range(len(TIMES)):
         _deliver_gamma(spark, sf, f"{folder}/raw", delivery)
-        stream = streaming.object_stream(spark, f"{folder}/raw")
+        stream = streaming.named_object_stream(spark, f"{folder}/raw")
+        prepare = number_by_listing(f"{folder}/raw", lambda: ingest.scan_since(state, 0))
         streaming.stream_ingest(
-            stream, number_object_rows, state, GAMMA, dims, f"{folder}/checkpoint", version_time
+            stream, prepare, state, GAMMA, dims, f"{folder}/checkpoint", version_time
         ).awaitTermination()
     return _without_ids(ingest.fact_versions(state))
 

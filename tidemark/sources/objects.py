@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,6 +69,26 @@ def _with_row_id(rows: DataFrame) -> DataFrame:
     return empty_to_null(rename_columns(rows.withColumn("row_id", F.monotonically_increasing_id())))
 
 
+def _newer(spark: SparkSession, folder: str, checkpoint: int) -> list[tuple[str, int]]:
+    """Path and number of every object file beyond the checkpoint, searched once a file."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    path = F.col("_metadata.file_path")
+    numbered = listed.select(path.alias("file_name"), object_sequence(path).alias("file_seq"))
+    return [tuple(r) for r in numbered.where(F.col("file_seq") > checkpoint).collect()]
+
+
+def _met(named: DataFrame, newer: list[tuple[str, int]]) -> DataFrame:
+    """Rows with their ``file_name``, numbered where it is among ``newer``; the others go."""
+    ordered = named.withColumn("row_id", F.monotonically_increasing_id())
+    # An Arrow table becomes a local relation: Spark knows its size and moves no object row.
+    names, sequences = ([r[i] for r in newer] for i in (0, 1))
+    numbers = named.sparkSession.createDataFrame(
+        pa.table({"file_name": pa.array(names, pa.string()), "file_seq": pa.array(sequences, pa.int64())})
+    )
+    met = ordered.join(numbers, "file_name").select(*GAMMA_OBJECT.names, "file_seq", "file_name", "row_id")
+    return empty_to_null(rename_columns(met))
+
+
 def scan_csv_objects_since(spark: SparkSession, folder: str, checkpoint: int) -> DataFrame:
     """Rows of every object beyond the checkpoint, all text, empty as NULL.
 
@@ -79,18 +101,18 @@ def scan_csv_objects_since(spark: SparkSession, folder: str, checkpoint: int) ->
     """
     rows = spark.read.schema(GAMMA_OBJECT).options(**CSV_OPTIONS).csv(folder)
     path = F.col("_metadata.file_path")
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    numbered = listed.select(path.alias("file_name"), object_sequence(path).alias("file_seq"))
-    newer = [tuple(r) for r in numbered.where(F.col("file_seq") > checkpoint).collect()]
+    newer = _newer(spark, folder, checkpoint)
     named = rows.where(path.isin([name for name, _ in newer])).select("*", path.alias("file_name"))
-    ordered = named.withColumn("row_id", F.monotonically_increasing_id())
-    # An Arrow table becomes a local relation: Spark knows its size and moves no object row.
-    names, sequences = ([r[i] for r in newer] for i in (0, 1))
-    numbers = spark.createDataFrame(
-        pa.table({"file_name": pa.array(names, pa.string()), "file_seq": pa.array(sequences, pa.int64())})
-    )
-    met = ordered.join(numbers, "file_name").select(*GAMMA_OBJECT.names, "file_seq", "file_name", "row_id")
-    return empty_to_null(rename_columns(met))
+    return _met(named, newer)
+
+
+def number_by_listing(folder: str, since: Callable[[], int]) -> Callable[[DataFrame], DataFrame]:
+    """Prepares micro-batches of rows with their ``file_name`` as ``scan_csv_objects_since`` does.
+
+    ``since`` tells the checkpoint, asked for each micro-batch. The folder is listed then too,
+    after Spark has chosen the micro-batch's files, so none of them is missed.
+    """
+    return lambda rows: _met(rows, _newer(rows.sparkSession, folder, since()))
 
 
 def union_files(*frames: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -54,6 +55,15 @@ def object_stream(
     return with_object(reader.csv(folder))
 
 
+def named_object_stream(
+    spark: SparkSession, folder: str, files_per_batch: int | None = None
+) -> DataFrame:
+    """Rows of the object feed with their file's path alone; ``number_by_listing`` prepares a
+    micro-batch of them and searches a path once a file, not once a row."""
+    reader = _reader(spark, GAMMA_OBJECT, files_per_batch).options(**CSV_OPTIONS)
+    return reader.csv(folder).select("*", F.col("_metadata.file_path").alias("file_name"))
+
+
 def upsert_by_position(
     prepare: Callable[[DataFrame], DataFrame],
     state: FeedState,
