@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 from tidemark.checks import carriers as c
-from tidemark.feeds import GAMMA
+from tidemark.checks import scalars
+from tidemark.feeds import ALPHA, BETA, GAMMA
 from tidemark.operators import keys
 from tidemark.plans import ingest
 from tidemark.plans.versions import VersionLog
@@ -40,6 +43,32 @@ def test_a_tickets_rows_are_sorted_by_number_and_order_alone(spark, name):
     assert not any("file_seq" in line or "ticket_identifier" in line for line in sorts)
 
 
+@pytest.mark.parametrize("name", ["conform_alpha", "conform_beta"])
+def test_document_and_message_texts_are_derived_after_the_shuffle(spark, name):
+    found = plan(entry_point.queries()[name](spark, DATA))
+    # Of the two derivations the lower one makes the hash of rows of equal rank.
+    assert found.rindex("SELF-HELP") < found.index("Exchange hashpartitioning(number")
+    whole = plan(entry_point.queries()["fact_all_sources"](spark, DATA))
+    assert whole.count("Exchange hashpartitioning(number") == 2
+
+
+def test_rows_of_one_rank_are_told_apart_by_their_hash(spark):
+    at = datetime(2024, 1, 2, 3, 4, 5)
+    events = [(7, at, 1, "click", 1.0, '{"k": 5}'), (7, at, 1, "view", 2.0, '{"k": 5}'), (6, at, 1, "error", 9.0, '{"k": 5}')]
+    events += [(8, at, None, "view", 3.0, '{"k": 5}'), (9, None, 2, "view", None, '{"k": 6}')]
+    orders = [(5, 1, "O", float(p), at.replace(microsecond=p), "1-URGENT") for p in (10, 20, 30)]
+    orders += [(4, 2, "F", 1.0, None, "1-URGENT"), (3, 2, "F", 2.0, at, "1-URGENT"), (6, None, "P", 3.0, at, "2-HIGH")]
+    for sql, spec, table, schema in (
+        (c.alpha, ALPHA, events, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"),
+        (c.beta, BETA, orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double,"
+         " o_orderdate timestamp_ntz, o_orderpriority string"),
+    ):
+        given = spark.createDataFrame(table, schema)
+        want = scalars.typed_store(c.derive(given, sql), spec)
+        got = scalars.latest_store(given, sql, spec)
+        assert got.columns == want.columns and rows(got) == rows(want) and got.count() == 3
+
+
 def test_written_objects_derive_their_texts_after_the_shuffle(spark):
     text = plan(c.object_rows(c.gamma_lines(spark, DATA)))
     assert text.rindex("WORST") < text.index("Exchange rangepartitioning")

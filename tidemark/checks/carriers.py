@@ -81,6 +81,9 @@ def _dim(block: dict[str, str], source: str) -> list[str]:
     return seeds.names(block[source])
 
 
+ALPHA_K = "CAST(regexp_extract(props, '[0-9]+', 0) AS INT)"
+
+
 def alpha(duck: bool = False) -> str:
     """Raw documents, one per event; ``ts`` is kept to cut batches by."""
     area = pick("k % 11", _dim(seeds.SUPPORT_AREAS, "CLIENT_ALPHA"))
@@ -102,7 +105,12 @@ def alpha(duck: bool = False) -> str:
                 WHEN 'signup' THEN 'NO' ELSE 'UNKNOWN' END AS resolved_in_first_contact,
            {pick("k % 2", SOLUTION)} AS solution_type,
            CAST(event_id % 10 + 1 AS INT) AS rating, ts
-    FROM (SELECT *, CAST(regexp_extract(props, '[0-9]+', 0) AS INT) AS k FROM events) e"""
+    FROM (SELECT *, {ALPHA_K} AS k FROM events) e"""
+
+
+BETA_NUMBER = "o_custkey * 5 + CAST(substr(o_orderpriority, 1, 1) AS INT)"
+BETA_OFFSET = f"""CASE WHEN o_orderdate < TIMESTAMP '{ORDER_CUT}' THEN o_orderkey
+                ELSE o_orderkey + {LATER_OFFSETS} END"""
 
 
 def beta(duck: bool = False) -> str:
@@ -111,9 +119,8 @@ def beta(duck: bool = False) -> str:
     agent = pick("o_custkey % 11", _dim(seeds.AGENTS, "CLIENT_BETA"), "'NOBODY'")
     kind = pick("o_orderkey % 10", _dim(seeds.CUSTOMER_TYPES, "CLIENT_BETA"))
     return f"""
-    SELECT CASE WHEN o_orderdate < TIMESTAMP '{ORDER_CUT}' THEN o_orderkey
-                ELSE o_orderkey + {LATER_OFFSETS} END AS topic_offset,
-           CAST(o_custkey * 5 + CAST(substr(o_orderpriority, 1, 1) AS INT) AS STRING)
+    SELECT {BETA_OFFSET} AS topic_offset,
+           CAST({BETA_NUMBER} AS STRING)
                AS support_identifier,
            {area} AS contact_regarding, {agent} AS agent_code,
            {text("o_orderdate", "yyyyMMddHHmmss", duck)} AS date_of_interaction,
@@ -230,17 +237,31 @@ def facts(duck: bool = False) -> str:
 _BASE = {alpha: "events", beta: "orders", gamma: "lineitem", runs: "orders", facts: "lineitem"}
 
 
+def _spark(expr: str) -> str:
+    return expr.replace("TIMESTAMP '", "TIMESTAMP_NTZ '")
+
+
 def derive(rows: DataFrame, sql: Callable[..., str], *kept: str) -> DataFrame:
     """Run one of the SELECTs above in Spark over rows of its table, with further columns of
     theirs in ``kept``."""
     base = _BASE[sql]
-    shown = "".join(f", {column}" for column in kept)
-    query = sql().replace(f"FROM {base}", f"{shown} FROM {{{base}}}").replace(
-        "TIMESTAMP '", "TIMESTAMP_NTZ '"
-    )
+    shown, rest = sql().split("\n    FROM ", 1)
+    rest = f"FROM {rest}".replace(f"FROM {base}", f"FROM {{{base}}}")
+    query = _spark(f"{', '.join([shown, *kept])} {rest}")
     return rows.sparkSession.sql(query, **{base: rows})
 
 
+def ranked(rows: DataFrame, sql: Callable[..., str]) -> DataFrame:
+    """Rows of a table with the ``number`` that their document's or message's key is made of, and
+    what ranks them within it: ``at`` and for messages the ``created`` text."""
+    key, at, *created = {
+        alpha: (f"user_id * 100 + {ALPHA_K}", "event_id"),
+        beta: (BETA_NUMBER, BETA_OFFSET, text("o_orderdate", "yyyy/MM/dd HH:mm:ss", False)),
+    }[sql]
+    more = [f"{_spark(e)} AS {n}" for e, n in zip((key, at, *created), ("number", "at", "created"))]
+    return rows.selectExpr("*", *more)
+
+
 def carrier(spark: SparkSession, sf_dir: str, sql: Callable[..., str]) -> DataFrame:
     """Run one of the SELECTs above in Spark."""
     return derive(table(spark, sf_dir, _BASE[sql]), sql)

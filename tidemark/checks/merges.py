@@ -11,7 +11,7 @@ from tidemark import functions as fn
 from tidemark.checks import carriers as c
 from tidemark.checks import oracle as o
 from tidemark.checks.registry import check
-from tidemark.checks.scalars import AS_OF, alpha, beta, gamma_first, gamma_store, typed_store
+from tidemark.checks.scalars import AS_OF, alpha, beta, gamma_first, gamma_store, latest_store
 from tidemark.feeds import ALPHA, BETA, GAMMA
 from tidemark.operators import audit, conform, dedup, filters, history, merge, quality
 from tidemark.sources import seeds
@@ -191,9 +191,9 @@ def lookup_join(spark: SparkSession, sf: str) -> DataFrame:
 
 def _conformed(spark: SparkSession, sf: str, first: bool) -> DataFrame:
     """Validated stage rows of the message feed, one batch or the other."""
-    edge = f"sent < timestamp_ntz'{c.ORDER_CUT}'"
-    rows = beta(spark, sf).where(edge if first else f"NOT ({edge})")
-    stored = typed_store(rows, BETA).withColumn("dag_run_id", F.lit(1 if first else 2).cast("long"))
+    edge = f"o_orderdate < timestamp_ntz'{c.ORDER_CUT}'"
+    rows = c.table(spark, sf, "orders").where(edge if first else f"NOT ({edge})")
+    stored = latest_store(rows, c.beta, BETA).withColumn("dag_run_id", F.lit(1 if first else 2).cast("long"))
     cdc = merge.cdc_extract(stored, 1 if first else 2)
     staged = conform.conform_beta(cdc, seeds.dimensions(spark))
     return quality.validate_required(staged)
@@ -397,8 +397,8 @@ def distinct(spark: SparkSession, sf: str) -> DataFrame:
 def fact_all_sources(spark: SparkSession, sf: str) -> DataFrame:
     dims = seeds.dimensions(spark)
     stores = [
-        (typed_store(alpha(spark, sf), ALPHA), ALPHA),
-        (typed_store(beta(spark, sf), BETA), BETA),
+        (latest_store(c.table(spark, sf, "events"), c.alpha, ALPHA), ALPHA),
+        (latest_store(c.table(spark, sf, "orders"), c.beta, BETA), BETA),
         (gamma_store(spark, sf), GAMMA),
     ]
     return conform.fact_all_sources(

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark import functions as fn
@@ -185,12 +186,41 @@ def gamma_first(spark: SparkSession, sf: str) -> DataFrame:
     return c.derive(first.withColumn("l_orderkey", F.lit(0).cast("bigint")), c.gamma)
 
 
+# How rows stand within their key, but for the hash that decides between equal ones.
+_RANK = {
+    c.alpha: lambda: [F.desc("at")],
+    c.beta: lambda: [fn.parse_ts_created("created").desc_nulls_last(), F.desc("at")],
+}
+
+
+def latest_rows(rows: DataFrame, sql: Callable[..., str], spec: FeedSpec) -> DataFrame:
+    """The latest document or message of each key, found among the rows of the table.
+
+    These are sorted and shuffled, with no text but their own; the raw row follows from them. The
+    hash is made only where a key has several rows of equal rank.
+    """
+    by_key = Window.partitionBy("number")
+    top = c.ranked(rows, sql).withColumn("_rank", F.rank().over(by_key.orderBy(*_RANK[sql]())))
+    tied = top.where("_rank = 1").select(
+        "number", F.struct(*rows.columns).alias("_row"), *rows.columns, F.count("*").over(by_key).alias("_copies")
+    )
+    hashed = F.when(F.col("_copies") > 1, fn.row_hash(list(spec.hash_columns)))
+    judged = c.derive(tied, sql, "number", "_row", "_copies").select("number", "_row.*", hashed.alias("_hash"))
+    return c.derive(dedup_by_rank(judged, "number", [F.desc("_hash")]).select(rows.columns), sql)
+
+
 def typed_store(rows: DataFrame, spec: FeedSpec) -> DataFrame:
     """One active version per key, as the versioned store would hold it after run 1."""
     hashed = rows.withColumn("hash_key", fn.row_hash(list(spec.hash_columns)))
     return _as_stored(dedup_by_rank(hashed, spec.natural_key, [r() for r in spec.rank]), spec)
 
 
+def latest_store(rows: DataFrame, sql: Callable[..., str], spec: FeedSpec) -> DataFrame:
+    """The same for a table's rows, which have not been through a file."""
+    kept = latest_rows(rows, sql, spec)
+    return _as_stored(kept.withColumn("hash_key", fn.row_hash(list(spec.hash_columns))), spec)
+
+
 def gamma_store(spark: SparkSession, sf: str) -> DataFrame:
     """The same for object rows, which have not been through a file."""
     kept = gamma_first(spark, sf)
@@ -218,13 +248,13 @@ def _conform_sql(feed: str) -> str:
 
 @check("conform_alpha", _conform_sql("alpha"))
 def conform_alpha(spark: SparkSession, sf: str) -> DataFrame:
-    store = typed_store(alpha(spark, sf), ALPHA)
+    store = latest_store(c.table(spark, sf, "events"), c.alpha, ALPHA)
     return conforming.conform_alpha(cdc_extract(store, 1), dimensions(spark))
 
 
 @check("conform_beta", _conform_sql("beta"))
 def conform_beta(spark: SparkSession, sf: str) -> DataFrame:
-    store = typed_store(beta(spark, sf), BETA)
+    store = latest_store(c.table(spark, sf, "orders"), c.beta, BETA)
     return conforming.conform_beta(cdc_extract(store, 1), dimensions(spark))
 
 
