@@ -26,6 +26,7 @@ from tidemark.feeds import ALPHA, GAMMA
 from tidemark.functions.values import rename_columns
 from tidemark.operators.versions import active_of, current_of, versions_at_read
 from tidemark.plans import ingest
+from tidemark.plans.state import FeedState
 from tidemark.plans.versions import AlreadyPublished, VersionLog
 from tidemark.sources.objects import number_object_rows
 from tidemark.sources.sinks import create_absent, read_text
@@ -201,3 +202,19 @@ def test_objects_stream_and_go_on_after_a_crash(spark, dims, tmp_path, monkeypat
     assert rows(ingest.fact_versions(state).where("is_active"), "source_system_identifier", "customer_rating") == [
         ("CLIENT_GAMMA-1", 1), ("CLIENT_GAMMA-2", None), ("CLIENT_GAMMA-3", 5),
     ]
+
+
+def test_changed_rows_are_read_where_the_batch_stored_them(spark, dims, tmp_path):
+    """They are not written a second time, and a single bucket is not asked for by hash."""
+    logged, bucketed = VersionLog(spark, str(tmp_path / "a"), "CLIENT_ALPHA"), FeedState(spark, str(tmp_path / "b"), "CLIENT_ALPHA")
+    for state in (logged, bucketed):
+        for name, docs, as_of in (("one", FIRST, T1), ("two", SECOND, T2)):
+            write_documents(tmp_path / name, name, docs)
+            batch = rename_columns(spark.read.schema(ALPHA.raw).json(str(tmp_path / name)))
+            ingest.ingest_batch(state, ALPHA, batch, dims, name, as_of)
+    ids = ("fact_id", "source_record_id")
+    assert rows(ingest.fact_versions(logged).drop(*ids)) == rows(ingest.fact_versions(bucketed).drop(*ids))
+    assert len(list((tmp_path / "b").glob("*/batches/*/cdc"))) == 2
+    assert not list((tmp_path / "a").glob("*/batches/*/cdc"))
+    counted = spark.range(3).agg(ingest._slots(F.col("id") > 1, 1).alias("s"), ingest._slots(F.col("id") > 5, 1).alias("t"))
+    assert tuple(counted.first()) == ([0], []) and "ObjectHashAggregate" not in counted._jdf.queryExecution().executedPlan().toString()

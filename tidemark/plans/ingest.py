@@ -92,7 +92,12 @@ def persisted_schema(typed: DataFrame) -> T.StructType:
 
 
 def _slots(when: Column, buckets: int) -> Column:
-    """Buckets of the rows ``when`` picks: at most as many values as there are buckets."""
+    """Buckets of the rows ``when`` picks: at most as many values as there are buckets.
+
+    Of a single bucket no row's hash is asked.
+    """
+    if buckets == 1:
+        return F.array_compact(F.array(F.max(F.when(when, F.lit(0)))))
     return F.collect_set(F.when(when, bucket_of(IDENTIFIER, buckets)))
 
 
@@ -182,15 +187,20 @@ class _Run:
         self._replace(PERSISTED, closing, self.fresh, set(found["s"]), found["last"], key)
 
     def persisted_to_cdc(self) -> None:
-        """The rows this run made active. They are already at hand, so the store is not read."""
+        """The rows this run made active.
+
+        Where the batch's own folder of the store holds them and nothing else, they are read
+        from there. Else they are written, from what is at hand, so the store is not read.
+        """
         kept = [c for c in self.fresh.columns if c not in ("hash_key", "is_active", "end_date")]
-        cdc = self.fresh.select(kept).withColumnRenamed(IDS[PERSISTED], "cdc_record_id")
-        self._write("cdc", cdc)
+        opened = self.state.opened(self.seq, PERSISTED, self.fresh.select(kept).schema)
+        rows = self.fresh.select(kept) if opened is None else opened
+        cdc = rows.withColumnRenamed(IDS[PERSISTED], "cdc_record_id")
+        self.cdc = self._write("cdc", cdc) if opened is None else cdc
 
     def cdc_to_stage(self) -> None:
         state, buckets = self.state, self.state.bucket_count
-        cdc = self._stored("cdc")
-        stage = validate_required(conform(cdc, self.spec, self.dims))
+        stage = validate_required(conform(self.cdc, self.spec, self.dims))
         stored = self._write("stage", self._numbered(self._numbered(stage, FACT), ERRORS))
 
         invalid = ~F.col("is_valid")

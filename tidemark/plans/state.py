@@ -298,6 +298,10 @@ class FeedState:
         slot = F.when(F.col("is_active"), bucket_of(IDENTIFIER, self.bucket_count)).otherwise(CLOSED)
         self.replace_buckets(seq, table, rows.withColumn(SLOT, slot))
 
+    def opened(self, seq: int, table: str, schema: T.StructType) -> DataFrame | None:
+        """What a running batch has opened, where that is stored apart from older versions."""
+        return None
+
     def sweep(self, commit: Commit) -> int:
         """Delete bucket folders that ``commit`` no longer points to; returns how many.
 

@@ -179,6 +179,9 @@ class VersionLog(FeedState):
         kept = [c for c in fresh.columns if c not in VERSION_COLUMNS or c == "start_date"]
         sink_overwrite(fresh.select(*kept, key.cast("string").alias(KEY)), self.batch_path(seq, table))
 
+    def opened(self, seq: int, table: str, schema: T.StructType) -> DataFrame | None:
+        return self.spark.read.schema(schema).parquet(self.batch_path(seq, table))
+
     def delta(self, since: int, table: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
         """Versions that the batches after ``since`` opened and closed, for figures kept as a state."""
         opened, closed = delta_since(self.log(self.latest(), table, schema), since)
