@@ -111,3 +111,11 @@ def test_seeds(spark, dims):
     assert rows(fields.groupBy("source_id").count()) == [(1, 14), (2, 14), (3, 13)]
     unknown = spark.createDataFrame([("x", "NOBODY")], "name string, source_name string")
     assert rows(seeds.seed_dimension(unknown, dims["sources"])) == [("x", None)]
+
+
+def test_raw_documents_lie_in_compressed_files_of_bounded_length(spark, tmp_path):
+    docs = spark.range(250).selectExpr("CAST(NULL AS bigint) AS serial_number", "repeat('x', 1000) AS body")
+    documents.land_documents(docs.coalesce(1), str(tmp_path / "d"), 100)
+    files = list((tmp_path / "d").glob("*/*.json.gz"))
+    assert len(files) == 3 and sum(f.stat().st_size for f in files) < 25_000
+    assert spark.read.json(str(tmp_path / "d")).count() == 250

@@ -14,9 +14,11 @@ UNTIL = "serial_until"
 
 def land_documents(documents: DataFrame, path: str, span: int, mode: str = "append") -> None:
     """Raw documents in folders by ranges of ``span`` serial numbers, each named after the last
-    number it can hold, so that a scan need not open what lies before its checkpoint."""
+    number it can hold, so that a scan need not open what lies before its checkpoint. Files are
+    compressed, and as each is then read by one task, they hold ``span`` documents at most."""
     until = (F.floor(F.col("serial_number") / span) + 1) * span - 1
-    documents.withColumn(UNTIL, until).write.partitionBy(UNTIL).mode(mode).json(path)
+    writer = documents.withColumn(UNTIL, until).write.partitionBy(UNTIL).mode(mode)
+    writer.option("maxRecordsPerFile", span).json(path, compression="gzip")
 
 
 def _may_lie_beyond(checkpoint: int) -> Column:
