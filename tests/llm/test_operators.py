@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import near_dup, warc
+from tidemark.llm import line_dedup, near_dup, warc
 from tidemark.llm.ann import nearest
 from tidemark.llm.common import components, table
 from tidemark.llm.decontaminate import contaminated
@@ -183,6 +183,29 @@ def test_lines_match_brute_force(spark):
     assert line_report(docs.limit(0)).count() == 0
 
 
+def test_long_unlike_lines_are_hardly_compared(spark, monkeypatch):
+    rng = random.Random(9)
+    names = [f"w{i}" for i in range(400)]
+    lines = [rng.sample(names, 180) for _ in range(60)]
+    # Near copies over a border of size bands, in both orders, and one of lines removed themselves.
+    for i in (0, 1, 2):
+        lines.append(lines[i] + [f"x{i}-{k}" for k in range(40)])
+        lines.append(lines[i][:-30])
+    texts = [" ".join(line) for line in lines]
+    compared = []
+    whole = line_dedup.verified
+
+    def counting(docs, pairs):
+        compared.append(pairs.count())
+        return whole(docs, pairs)
+
+    monkeypatch.setattr(line_dedup, "verified", counting)
+    rows = line_report(docs_of(spark, texts)).orderBy("doc_id").collect()
+    assert [r.removed for r in rows] == removed_by_force(texts)
+    assert sum(map(len, removed_by_force(texts))) == 6
+    assert sum(compared) < 60
+
+
 # 5 decontamination
 
 

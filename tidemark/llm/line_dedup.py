@@ -12,9 +12,9 @@ Words of a prefix that no other set of fitting size and reach has are dropped be
 are compared.
 
 A set is removed if any earlier set is similar. So that groups of near copies do not meet
-in all pairs, each set is first compared with one lead: of the earliest sets of its size at
-each of its prefix words, the one that leads most of them. Only sets not removed by that are
-compared with all earlier ones.
+in all pairs, each set is first compared with its leads: the earliest set at each of a few of
+its prefix words, chosen by their hashes. Only sets not removed by that are compared with all
+earlier ones.
 """
 
 from __future__ import annotations
@@ -32,6 +32,12 @@ RARITY_SLOTS = 1 << 19
 HASH_BITS = 47
 # Ranks run from 0 to 64000. Words of at least this rank are 1/4096 of all words or more.
 TOP_RANK, HEAVY_RANK = 64_000, 52_000
+LEAD_WORDS = 3
+# Sets of at least so many words have a bitmap twice as long.
+LONG_SET = 40
+# Sets meet by words and by bands of sizes; each band's largest size is so many times its smallest.
+BAND = 1.5
+HOME = 1 << 31
 LAST = (1 << 63) - 1
 
 
@@ -85,7 +91,7 @@ def prefix_length(n: Column) -> Column:
 
 
 def line_sets(docs: DataFrame) -> DataFrame:
-    """doc (doc_id, null as the last), line, and of its set: s1, s2, n, parity, prefix."""
+    """doc (doc_id, null as the last), line, and of its set: s1, s2, n, parity, upper, prefix."""
     lines = docs.where("text is not null").select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.posexplode(F.split("text", "\n")).alias("line", "string")
     ).withColumn("ranks", rarity(docs))
@@ -103,59 +109,111 @@ def line_sets(docs: DataFrame) -> DataFrame:
     keyed = made.select("doc", "line", F.explode(F.array("made")).alias("keys"))
     keyed = keyed.where(F.size("keys") > 0)
     n = F.size("keys")
-    bit = lambda k: F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))
+    at = lambda k: k.bitwiseAND(F.lit(63)).cast("int")
+    parity = lambda value: F.aggregate(
+        "keys", F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(F.call_function("shiftleft", value(k), at(k)))
+    )
+    one = F.lit(1).cast("long")
     return keyed.select(
         "doc",
         "line",
         F.xxhash64("keys").alias("s1"),
         F.hash("keys").alias("s2"),
         n.alias("n"),
-        F.aggregate("keys", F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(bit(k))).alias("parity"),
+        parity(lambda k: one).alias("parity"),
+        # Of those words alone whose next bit is set, six places on: with parity a bitmap of 122 bits.
+        F.when(n >= LONG_SET, parity(lambda k: k.bitwiseAND(one * 64))).otherwise(0 * one).alias("upper"),
         F.transform(F.slice("keys", F.lit(1), prefix_length(n).cast("int")), _short).alias("prefix"),
     )
 
 
+def _reach(entry: Callable[[str], Column]) -> Column:
+    return F.shiftright(entry("span"), 32)
+
+
+def _limit(entry: Callable[[str], Column]) -> Column:
+    return entry("span").bitwiseAND(F.lit(0x7FFFFFFF))
+
+
 def _may_match(a: Callable[[str], Column], b: Callable[[str], Column]) -> Column:
     """Filters on two postings of one word; a is the earlier set."""
     earlier = (a("doc") < b("doc")) | ((a("doc") == b("doc")) & (a("line") < b("line")))
-    sizes = (a("n") <= b("reach")) & (b("n") <= a("reach"))
+    within = (a("n") <= _limit(b)) & (b("n") <= _reach(a))
+    # In the band of the larger one, and not in a further one as well.
+    home = a("span").bitwiseOR(b("span")).bitwiseAND(F.lit(HOME)) != 0
+    return within & home & earlier & _near(a, b)
+
+
+def _near(a: Callable[[str], Column], b: Callable[[str], Column]) -> Column:
+    """False only if the bitmaps of two sets differ in more places than similar sets do."""
     both = a("n") + b("n")
-    differing = F.bit_count(a("parity").bitwiseXOR(b("parity")))
+    upper = F.when(F.least(a("n"), b("n")) >= LONG_SET, a("upper").bitwiseXOR(b("upper"))).otherwise(F.lit(0).cast("long"))
+    lower = a("parity").bitwiseXOR(b("parity")).bitwiseXOR(F.shiftrightunsigned(upper, 6))
     # Twice the common words, for each of which the needed share of both sizes.
-    common = (both - differing) * (NUMERATOR + DENOMINATOR) >= both * (2 * NUMERATOR)
-    return earlier & sizes & common
+    return (both - F.bit_count(upper) - F.bit_count(lower)) * (NUMERATOR + DENOMINATOR) >= both * (2 * NUMERATOR)
+
 
+def distinct_sets(docs: DataFrame) -> DataFrame:
+    """doc, line, n, parity, upper, prefix of the first line of each set; ``copy`` marks its other lines."""
+    rows = stored(line_sets(docs), "line-rows")
+    group = ["s1", "s2", "n", "parity", "upper"]
+    place = F.struct("doc", "line")
+    # A line that very many documents hold is one row a task before it is shuffled.
+    several = rows.groupBy(*group).agg(F.min(place).alias("first"), F.count("*").alias("copies")).where("copies > 1")
+    copy = F.coalesce(place > F.col("first"), F.lit(False))
+    known = rows.join(several, group, "left")
+    return known.select(
+        "doc", "line", "n", "parity", "upper", F.when(~copy, F.col("prefix")).alias("prefix"), copy.alias("copy")
+    )
 
-ENTRY = ["doc", "line", "n", "reach", "parity"]
 
+ENTRY = ["doc", "line", "n", "parity", "upper"]
 
-def postings(sets: DataFrame) -> DataFrame:
-    """The prefix words that may join a set to another: key, ENTRY, and lead_doc, lead_line.
 
-    The last two name the earliest set of the same size and word where it may be similar,
-    else they are null. Few words are frequent; their postings are all kept and meet their
-    leads by a join, since a window would gather each such word in one task.
+def leads(sets: DataFrame) -> DataFrame:
+    """doc, line and the places of at most LEAD_WORDS earlier sets that may be similar.
+
+    Few words are frequent; they meet their leads by a join, since a window would gather each
+    such word in one task.
     """
-    spread = lambda found: found.select("doc", "line", "n", "parity", F.posexplode("prefix").alias("at", "key")).select(
-        "key", "doc", "line", "n", reach(F.col("n"), F.col("at")).alias("reach"), "parity"
-    )
-    by_size = Window.partitionBy("key").orderBy("n", "doc", "line")
-    same_size = Window.partitionBy("key", "n").orderBy("doc", "line")
-    rare = spread(sets).where("key >= 0").select(
-        "*",
-        F.lead("n").over(by_size).alias("next_n"),
-        F.max("reach").over(by_size.rowsBetween(Window.unboundedPreceding, -1)).alias("reached"),
-        F.first(F.struct(*ENTRY)).over(same_size.rowsBetween(Window.unboundedPreceding, 0)).alias("lead"),
+    # The smallest hashes of a prefix: near copies have most of them in common.
+    few = F.slice(F.sort_array("prefix"), 1, LEAD_WORDS)
+    spread = sets.select(*ENTRY, "prefix", F.explode(few).alias("key"))
+    rare, frequent = spread.drop("prefix").where("key >= 0"), spread.where((F.array_min("prefix") < 0) & (F.col("key") < 0))
+    first = Window.partitionBy("key").orderBy("doc", "line").rowsBetween(Window.unboundedPreceding, 0)
+    least = frequent.groupBy("key").agg(F.min(F.struct(*ENTRY)).alias("lead"))
+    met = rare.select("*", F.first(F.struct(*ENTRY)).over(first).alias("lead")).unionByName(
+        frequent.drop("prefix").join(least, "key")
     )
-    # The next larger set is within reach, or a smaller one reaches this.
-    rare = rare.where("next_n <= reach or reached >= n").select("key", *ENTRY, "lead")
-    frequent = spread(sets.where(F.array_min("prefix") < 0)).where("key < 0")
-    leads = frequent.groupBy("key", "n").agg(F.min(F.struct(*ENTRY)).alias("lead"))
-    met = rare.unionByName(frequent.join(leads, ["key", "n"]))
-    led = _may_match(lambda c: F.col(f"lead.{c}"), F.col)
-    return met.select(
-        "key", *ENTRY, F.when(led, F.col("lead.doc")).alias("lead_doc"), F.when(led, F.col("lead.line")).alias("lead_line")
+    lead = lambda c: F.col(f"lead.{c}")
+    other = (lead("doc") < F.col("doc")) | (lead("line") < F.col("line"))
+    sizes = (lead("n") * DENOMINATOR >= F.col("n") * NUMERATOR) & (F.col("n") * DENOMINATOR >= lead("n") * NUMERATOR)
+    led = met.where(other & sizes & _near(lead, F.col))
+    return led.select("doc", "line", "lead.doc", "lead.line").toDF(*PAIR).distinct()
+
+
+def postings(sets: DataFrame, removed: DataFrame) -> DataFrame:
+    """The prefix words of all sets: key, ENTRY, and span, which holds reach (high) and limit (low half).
+
+    ``limit`` is the size of earlier sets that a set is compared with: none if it is removed.
+    In one column, so that both sides of a join on these rows have the same columns. The key
+    is the word and a band of sizes: those of the set's size up to its reach, so that two
+    similar sets meet in the band of the larger one. Between reach and limit stands whether
+    the band is that of the set's own size.
+    """
+    known = sets.join(removed.withColumn("gone", F.lit(True)), ["doc", "line"], "left")
+    within = F.greatest(reach(F.col("n"), F.col("at")), F.lit(0))
+    spread = known.select(*ENTRY, "gone", F.posexplode("prefix").alias("at", "word")).select(
+        *ENTRY, "gone", "word", within.alias("within")
     )
+    band = lambda size: F.floor(F.log(size) / F.log(F.lit(BAND))).cast("int")
+    up = F.greatest(F.col("within"), F.col("n"))
+    bands = spread.select("*", F.explode(F.sequence(band(F.col("n")), band(up))).alias("band"))
+    key = F.shiftleft(F.col("word").cast("long"), 8).bitwiseOR(F.col("band").cast("long"))
+    wide = F.col("within").cast("long")
+    home = F.when(F.col("band") == band(F.col("n")), F.lit(HOME)).otherwise(0)
+    span = F.shiftleft(wide, 32).bitwiseOR(home).bitwiseOR(F.when(F.col("gone").isNull(), wide).otherwise(0))
+    return bands.select(key.alias("key"), *ENTRY, span.alias("span"))
 
 
 PAIR = ["doc", "line", "other_doc", "other_line"]
@@ -194,34 +252,17 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def removed_lines(docs: DataFrame) -> DataFrame:
     """doc and line of every line to remove; doc is doc_id, null as the last."""
-    rows = stored(line_sets(docs), "line-rows")
-    group = ["s1", "s2", "n", "parity"]
-    sets = stored(
-        rows.groupBy(*group)
-        .agg(F.min(F.struct("doc", "line")).alias("first"), F.first("prefix").alias("prefix"), F.count("*").alias("copies"))
-        .select("first.doc", "first.line", *group, "prefix", "copies"),
-        "line-sets",
-    )
-    posted = stored(postings(sets), "line-postings")
-    # Of the leads of a set, the one it shares most prefix words with; one shuffle serves both steps.
-    leads = posted.where("lead_doc is not null").select("doc", "line", "lead_doc", "lead_line").toDF(*PAIR)
-    shared = leads.repartition("doc", "line").groupBy(*PAIR).agg(F.count("*").alias("words"))
-    best = shared.groupBy("doc", "line").agg(F.max(F.struct("words", "other_doc", "other_line")).alias("lead"))
-    firsts = stored(best.select("doc", "line", "lead.other_doc", "lead.other_line"), "line-leaders")
+    lines = stored(distinct_sets(docs), "line-sets")
+    sets = lines.where("not copy").drop("copy")
+    firsts = stored(leads(sets), "line-leaders")
     by_first = stored(verified(docs, firsts), "line-matched")
-    left = posted.join(by_first, ["doc", "line"], "left_anti").alias("b")
+    posted = postings(sets, by_first)
     side = lambda name: lambda c: F.col(f"{name}.{c}")
-    met = left.join(posted.alias("a"), (F.col("a.key") == F.col("b.key")) & _may_match(side("a"), side("b")))
+    # Both sides are one shuffle: which sets are compared is told by their limit.
+    met = posted.alias("b").join(posted.alias("a"), (F.col("a.key") == F.col("b.key")) & _may_match(side("a"), side("b")))
     pairs = met.select("b.doc", "b.line", "a.doc", "a.line").toDF(*PAIR).distinct()
     rest = stored(pairs.join(firsts, PAIR, "left_anti"), "line-rest")
-    gone = by_first.union(verified(docs, rest)).withColumn("gone", F.lit(True))
-    judged = (
-        sets.join(gone, ["doc", "line"], "left")
-        .where("gone or copies > 1")
-        .select(*group, F.col("doc").alias("first_doc"), F.col("line").alias("first_line"), "gone")
-    )
-    first = (F.col("doc") == F.col("first_doc")) & (F.col("line") == F.col("first_line"))
-    return rows.join(judged, group).where(F.coalesce("gone", F.lit(False)) | ~first).select("doc", "line")
+    return lines.where("copy").select("doc", "line").union(by_first).union(verified(docs, rest))
 
 
 def line_report(docs: DataFrame) -> DataFrame:
