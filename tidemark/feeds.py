@@ -26,7 +26,9 @@ class FeedSpec:
     the copies of a key within a batch; the first in that order is kept. ``typed``
     turns landed text into stored columns and ``conformed`` turns stored columns
     into fact columns; a column missing from either is carried over by name. A feed with
-    ``partition`` has a checkpoint for each of that column's values.
+    ``partition`` has a checkpoint for each of that column's values. ``place`` names the columns
+    of a rank that is nothing but the row's place: its file's, and last its number, which is that
+    of ``monotonically_increasing_id``.
     """
 
     source: str
@@ -39,6 +41,7 @@ class FeedSpec:
     lookups: dict[str, str]
     conformed: dict[str, Callable[[], Column]]
     partition: str | None = None
+    place: tuple[str, ...] = ()
 
     @property
     def fields(self) -> list[str]:
@@ -162,6 +165,7 @@ GAMMA = FeedSpec(
         "solution_type": _copy("resolution_category"),
         "customer_rating": lambda: v.rating_from_label("rating"),
     },
+    place=("file_seq", "file_name", "row_id"),
 )
 
 FEEDS = {spec.source: spec for spec in (ALPHA, BETA, GAMMA)}

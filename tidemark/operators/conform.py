@@ -49,12 +49,12 @@ def lookup_join(df: DataFrame, *lookups: tuple[DataFrame, str, str, str]) -> Dat
     return df
 
 
-def type_landing(landing: DataFrame, spec: FeedSpec) -> DataFrame:
-    """Landed text to stored types; the landing hash is kept."""
+def type_landing(landing: DataFrame, spec: FeedSpec, *more: str) -> DataFrame:
+    """Landed text to stored types; the landing hash is kept, and any further columns asked for."""
     columns = [
         (spec.typed[c]() if c in spec.typed else F.col(c)).alias(c) for c in spec.fields
     ]
-    return landing.select(*columns, "hash_key")
+    return landing.select(*columns, "hash_key", *more)
 
 
 def conform(cdc: DataFrame, spec: FeedSpec, dims: dict[str, DataFrame]) -> DataFrame:

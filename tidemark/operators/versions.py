@@ -33,6 +33,11 @@ def versions_at_read(log: DataFrame, key: str = KEY, run: str = RUN) -> DataFram
     ).drop("_key", "_run", "_next")
 
 
+def open_ended(log: DataFrame) -> DataFrame:
+    """The log's rows as versions that none has ended."""
+    return log.withColumns({"is_active": F.lit(True), "end_date": ts_literal(OPEN_END)})
+
+
 def current_of(log: DataFrame, keys: DataFrame, key: str = KEY, run: str = RUN) -> DataFrame:
     """The newest version of each of ``keys``, with the log's columns.
 

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,9 +23,10 @@ from tidemark.functions.values import OPEN_END, cast_numeric, scd_defaults, tag_
 from tidemark.operators import audit
 from tidemark.operators.conform import conform, type_landing
 from tidemark.operators.dedup import dedup_by_rank
-from tidemark.operators.filters import CHANGED, filter_merge_type
+from tidemark.operators.filters import CHANGED, filter_active, filter_merge_type
 from tidemark.operators.keys import surrogate_key
-from tidemark.operators.merge import merge_classify, merge_counts
+from tidemark.operators.marks import count_marks, marked, read_marks, write_marks
+from tidemark.operators.merge import merge_classify, merge_counts, merge_type
 from tidemark.operators.quality import error_rows, validate_required, without_match
 from tidemark.plans.state import IDENTIFIER, REBUCKETED, Commit, FeedState
 from tidemark.schemas import ATTEMPT, COMMIT, RUN_LOG, VERSION_COLUMNS, struct
@@ -33,6 +35,7 @@ from tidemark.sources.topic import CORRUPT, next_positions
 
 PERSISTED, FACT, ERRORS = "persisted", "fact", "errors"
 IDS = {PERSISTED: "prs_record_id", FACT: "fact_id", ERRORS: "data_error_id"}
+LANDING_ID = "landing_id"
 
 _VERSION = "is_active boolean, start_date timestamp_ntz, end_date timestamp_ntz"
 FACT_SCHEMA = struct(
@@ -71,20 +74,61 @@ class StageFailed(RuntimeError):
         self.trail = trail
 
 
-def land(batch: DataFrame, spec: FeedSpec) -> DataFrame:
-    """Hash the raw rows and keep one per natural key.
+def _keyed(batch: DataFrame, spec: FeedSpec) -> DataFrame:
+    """Rows with their natural key read.
 
     Keys that cannot be read stay apart by their text, although all become NULL; only rows
     without any key form one group.
     """
-    hashed = batch.withColumn("hash_key", row_hash(list(spec.hash_columns)))
     read = cast_numeric(spec.natural_key, "bigint")
     unread = F.when(read.isNull(), F.col(spec.natural_key).cast("string"))
-    keyed = hashed.withColumns({"_unread": unread, spec.natural_key: read})
-    kept = dedup_by_rank(keyed, [spec.natural_key, "_unread"], [r() for r in spec.rank])
+    return batch.withColumns({"_unread": unread, spec.natural_key: read})
+
+
+def _hashed(batch: DataFrame, spec: FeedSpec) -> DataFrame:
+    return batch.withColumn("hash_key", row_hash(list(spec.hash_columns)))
+
+
+def _landed(kept: DataFrame, spec: FeedSpec) -> DataFrame:
     return kept.select(spec.position, *spec.hash_columns, "hash_key")
 
 
+def land(batch: DataFrame, spec: FeedSpec) -> DataFrame:
+    """Hash the raw rows and keep one per natural key."""
+    keyed = _keyed(_hashed(batch, spec), spec)
+    kept = dedup_by_rank(keyed, [spec.natural_key, "_unread"], [r() for r in spec.rank])
+    return _landed(kept, spec)
+
+
+def with_place(scanned: DataFrame, spec: FeedSpec) -> DataFrame | None:
+    """Stored rows with ``_place``, one number that grows as the feed's rank does.
+
+    Of a file the rows that one task has read are numbered in a row; the driver lines up these
+    spans, which are as many as files. None where a row has no number. Rows that share their
+    place have the same one.
+    """
+    *file, number = spec.place
+    # The upper bits of ``monotonically_increasing_id`` are the task's.
+    tasked = scanned.withColumn("_task", F.shiftright(number, 33))
+    spans = tasked.groupBy(*file, "_task").agg(F.min(number).alias("_from"), F.max(number).alias("_to"))
+    found = [tuple(r) for r in spans.collect()]
+    if any(span[-1] is None for span in found):
+        return None
+    found.sort(key=lambda span: [(v is not None, v) for v in span])
+    shifts, total = [], 0
+    for *_, first, last in found:
+        shifts.append(total - first)
+        total += last - first + 1
+    # An Arrow table becomes a local relation, whose size Spark knows.
+    named = [*file, "_task"]
+    columns = {f"_{c}": pa.array([span[i] for span in found]) for i, c in enumerate(named)}
+    lined = scanned.sparkSession.createDataFrame(pa.table(columns | {"_shift": pa.array(shifts, pa.int64())}))
+    kinds = {c: spans.schema[c].dataType for c in named}
+    lined = lined.select(*[F.col(f"_{c}").cast(kinds[c]).alias(f"_{c}") for c in named], "_shift")
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in file] + [F.col("_task") == F.col("__task")]
+    return tasked.join(lined, same).select(*scanned.columns, (F.col(number) + F.col("_shift")).alias("_place"))
+
+
 def persisted_schema(typed: DataFrame) -> T.StructType:
     """Schema of the versioned store: the typed landing row with its keys and interval."""
     head = f"{IDS[PERSISTED]} bigint, source_id int, dag_run_id bigint, {IDENTIFIER} string"
@@ -140,7 +184,11 @@ class _Run:
             F.max(spec.position).alias("top"),
             F.count_if(unreadable).alias("unreadable"),
         )
-        self._write("landing", land(watched.where(~unreadable), spec))
+        readable = watched.where(~unreadable)
+        if spec.place:
+            self._land_by_place(readable)
+        else:
+            self._write_landing(land(readable, spec))
         if seen.get["unreadable"]:  # messages are parsed again only when one is broken
             self._write("rejected", batch.where(unreadable).select(spec.position, CORRUPT))
         top = seen.get["top"]
@@ -150,21 +198,70 @@ class _Run:
             for p, top in next_positions(batch, spec.partition, spec.position).collect():
                 self.after.positions[p] = max(top, self.after.positions.get(p, top))
 
+    def _write_landing(self, landed: DataFrame) -> DataFrame:
+        return self._write("landing", surrogate_key(landed, LANDING_ID))
+
+    def _land_by_place(self, batch: DataFrame) -> None:
+        """As ``land``, by rows that are stored first and then stay where they are.
+
+        A key's first row is found from keys and places alone, as a minimum that is combined
+        before the shuffle. The rows it is are marked, and only these are read on.
+        """
+        spec, marks = self.spec, self.state.batch_path(self.seq, "firsts")
+        scanned = self._write("scanned", batch)
+        placed = with_place(scanned, spec)
+        landed = None
+        if placed is not None:
+            keyed = _keyed(placed.select(spec.natural_key, "_place"), spec)
+            firsts = keyed.groupBy(spec.natural_key, "_unread").agg(F.min("_place").alias("_place"))
+            write_marks(firsts, "_place", marks)
+            found = read_marks(self.state.spark, marks)
+            kept = marked(placed, "_place", found, "_first").where("_first")
+            landed = self._write_landing(_landed(_keyed(_hashed(kept, spec), spec), spec))
+        # Where rows share a place, a mark names several; then they are ranked one by one.
+        if landed is None or landed.count() != count_marks(self.state.spark, marks):
+            self._write_landing(land(scanned, spec))
+        self.state.drop(self.seq, "scanned", "firsts")
+
+    def _typed(self, landing: DataFrame, *more: str) -> DataFrame:
+        spec = self.spec
+        identifier = source_identifier(spec.source, spec.natural_key)
+        return type_landing(landing, spec, *more).withColumn(IDENTIFIER, identifier)
+
+    def _classified(self, active: DataFrame) -> DataFrame:
+        """The typed landing rows with their class.
+
+        Only what rows meet is looked up by key, and only rows that meet something are moved.
+        """
+        key, record, path = self.spec.natural_key, IDS[PERSISTED], self.state.batch_path(self.seq, "meeting")
+        landing = self._stored("landing")
+        if not self.before.seq:
+            return merge_classify(self._typed(landing), active, key)
+        stored = filter_active(active).select(key, record, F.col("hash_key").alias("prs_hash_key"))
+        met = self._write("met", stored.join(landing.select(key, LANDING_ID), key).drop(key))
+        write_marks(met, LANDING_ID, path)
+        split = marked(landing, LANDING_ID, read_marks(self.state.spark, path), "_met")
+        hit = self._typed(split.where("_met"), LANDING_ID).join(met, LANDING_ID).drop(LANDING_ID)
+        rest = self._typed(split.where("NOT _met")).withColumns(
+            {record: F.lit(None).cast("bigint"), "prs_hash_key": F.lit(None).cast("string")}
+        )
+        rows = hit.unionByName(rest).withColumnRenamed("hash_key", "lnd_hash_key")
+        return rows.withColumn("merge_type", merge_type(record))
+
     def landing_to_persisted(self) -> None:
         state, spec, buckets = self.state, self.spec, self.state.bucket_count
-        typed = type_landing(self._stored("landing"), spec).withColumn(
-            IDENTIFIER, source_identifier(spec.source, spec.natural_key)
-        )
+        typed = self._typed(self._stored("landing"))
         landed = typed.agg(F.count(F.lit(1)).alias("n"), _slots(F.lit(True), buckets).alias("s"))
         landed = landed.first()
         schema = persisted_schema(typed.drop(IDENTIFIER))
         shown = [spec.natural_key, IDS[PERSISTED], "hash_key"]
         active = state.met(self.before, PERSISTED, schema, set(landed["s"]), typed, spec.natural_key, shown)
-        classified = merge_classify(typed, active, spec.natural_key)
+        classified = self._classified(active)
         snapshot = self._write(
             "classified",
             self._numbered(classified.withColumnRenamed(IDS[PERSISTED], "matched_id"), PERSISTED),
         )
+        state.drop(self.seq, "met", "meeting")
 
         changed = F.col("merge_type").isin(*CHANGED)
         found = merge_counts(
@@ -185,6 +282,7 @@ class _Run:
         closing = filter_merge_type(snapshot, "UPDATE")
         key = F.col(spec.natural_key)
         self._replace(PERSISTED, closing, self.fresh, set(found["s"]), found["last"], key)
+        state.note_closed(self.seq, closing, "matched_id", self.as_of)
 
     def persisted_to_cdc(self) -> None:
         """The rows this run made active.

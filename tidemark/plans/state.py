@@ -213,6 +213,11 @@ class FeedState:
     def batch_path(self, seq: int, name: str) -> str:
         return f"{self.folder}/batches/{seq:012d}/{name}"
 
+    def drop(self, seq: int, *names: str) -> None:
+        """Delete what a running batch has put down for itself and needs no more."""
+        for name in names:
+            self._delete(self.batch_path(seq, name))
+
     def _versions(self, table: str, seq: int | str) -> str:
         number = seq if isinstance(seq, str) else f"{seq:012d}"
         return f"{self.folder}/versions/{table}/{number}"
@@ -302,6 +307,12 @@ class FeedState:
         """What a running batch has opened, where that is stored apart from older versions."""
         return None
 
+    def note_closed(self, seq: int, closing: DataFrame, record: str, as_of: datetime) -> None:
+        """Told which persisted versions, by their ids in ``record``, a running batch closes.
+
+        Here closed versions are stored with their ends, so there is nothing to note.
+        """
+
     def sweep(self, commit: Commit) -> int:
         """Delete bucket folders that ``commit`` no longer points to; returns how many.
 

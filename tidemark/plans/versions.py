@@ -3,8 +3,10 @@
 Each try at a batch writes into a folder of its own; what it writes are the rows it opened,
 for every table. The commit of a batch is one small file named after its number alone, made
 only if it is not there yet. So of two writers that worked on the same number one is
-published and the other refused, and a reader never sees a folder no commit names. End dates
-and active flags are derived at read (``operators.versions``).
+published and the other refused, and a reader never sees a folder no commit names. A batch also
+notes the ids of the persisted versions it closes. End dates and active flags are derived at
+read, from these notes or, for errors and rows without a key, from the keys
+(``operators.versions``).
 """
 
 from __future__ import annotations
@@ -17,11 +19,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.versions import KEY, current_of, delta_since, versions_at_read
+from tidemark.functions.values import OPEN_END, ts_literal
+from tidemark.operators.marks import MOST_PARTS, marked, read_marks, write_marks
+from tidemark.operators.versions import KEY, RUN, current_of, delta_since, open_ended, versions_at_read
 from tidemark.plans.state import Commit, FeedState, _digest, empty_table, matching_paths
 from tidemark.schemas import COMMIT, VERSION_COLUMNS
 from tidemark.sources.sinks import create_absent, read_text, sink_overwrite
 
+CLOSED, CLOSED_MARKS = "closed", "closed_marks"
+# Tables whose rows name the persisted version that they are or come from.
+RECORD = {"persisted": "prs_record_id", "fact": "source_record_id"}
 LOGGED = T.StructType([*COMMIT.fields, T.StructField("folder", T.StringType())])
 
 
@@ -148,7 +155,34 @@ class VersionLog(FeedState):
         return self.spark.read.schema(stored).parquet(*found) if found else empty_table(self.spark, stored)
 
     def table(self, commit: Commit, table: str, schema: T.StructType) -> DataFrame:
-        return versions_at_read(self.log(commit, table, schema)).select(schema.names)
+        log = self.log(commit, table, schema)
+        closed, marks = self._outputs(commit, CLOSED), self._outputs(commit, CLOSED_MARKS)
+        if table not in RECORD or len(closed) < len(self._outputs(commit, "persisted")):
+            return versions_at_read(log).select(schema.names)
+        return self._ended(log, commit.seq, RECORD[table], closed, marks).select(schema.names)
+
+    def _ended(self, log: DataFrame, last: int, record: str, closed: list[str], marks: list[str]) -> DataFrame:
+        """The log with ``end_date`` and ``is_active``, from what the batches noted to close.
+
+        The last run's versions are open, and so is a version that no mark names; where the marks
+        of many batches are too many parts to look up, all older rows are joined. Rows without
+        a natural key share the source's name for a key where they have one, and close each
+        other by it; these are lined up by run.
+        """
+        keyless = F.col(KEY).eqNullSafe(F.lit(self.source))
+        keyed, newest = log.where(~keyless), F.col(RUN).eqNullSafe(F.lit(last))
+        older, parts = keyed.where(~newest), [part for path in marks for part in read_marks(self.spark, path)]
+        ends = self.spark.read.schema("_record bigint, end_date timestamp_ntz").parquet(*closed) if closed else None
+        out = open_ended(keyed.where(newest)).unionByName(versions_at_read(log.where(keyless)))
+        if len(parts) <= MOST_PARTS:
+            split = marked(older, record, parts, "_closed")
+            out = out.unionByName(open_ended(split.where("NOT _closed").drop("_closed")))
+            older = split.where("_closed").drop("_closed")
+        if not parts:
+            return out
+        met = older.join(ends, F.col(record) == F.col("_record"), "left").drop("_record")
+        open_ = F.col("end_date").isNull()
+        return out.unionByName(met.withColumns({"is_active": open_, "end_date": F.coalesce("end_date", ts_literal(OPEN_END))}))
 
     def active(self, commit: Commit, table: str, schema: T.StructType, only: set[int] | None = None) -> DataFrame:
         return self.table(commit, table, schema).where("is_active")
@@ -175,13 +209,20 @@ class VersionLog(FeedState):
         slots: set[int],
         key: Column,
     ) -> None:
-        """Append what the batch opened. What it closes follows from the keys."""
+        """Append what the batch opened. What it closes follows from the keys and ``note_closed``."""
         kept = [c for c in fresh.columns if c not in VERSION_COLUMNS or c == "start_date"]
         sink_overwrite(fresh.select(*kept, key.cast("string").alias(KEY)), self.batch_path(seq, table))
 
     def opened(self, seq: int, table: str, schema: T.StructType) -> DataFrame | None:
         return self.spark.read.schema(schema).parquet(self.batch_path(seq, table))
 
+    def note_closed(self, seq: int, closing: DataFrame, record: str, as_of: datetime) -> None:
+        """The ids and the end of the versions a batch closes, and the ids once more as marks."""
+        ids = closing.select(F.col(record).alias("_record"))
+        path = self.batch_path(seq, CLOSED)
+        sink_overwrite(ids.withColumn("end_date", ts_literal(as_of)), path)
+        write_marks(self.spark.read.schema(ids.schema).parquet(path), "_record", self.batch_path(seq, CLOSED_MARKS))
+
     def delta(self, since: int, table: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
         """Versions that the batches after ``since`` opened and closed, for figures kept as a state."""
         opened, closed = delta_since(self.log(self.latest(), table, schema), since)
